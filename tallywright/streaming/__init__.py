@@ -1,0 +1,5 @@
+"""Empty on purpose: every model here is a batch rebuild.
+
+Late data is handled in batch by the completeness boundary
+(``tallywright.operators.completeness``).
+"""
