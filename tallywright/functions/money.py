@@ -30,8 +30,8 @@ def net_revenue(price: Column, status: Column, revenue_statuses: Iterable[str])
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """numerator / denominator, rounded; null where the denominator is 0 or null.
 
-    Both sides become decimal(28,2): wide enough for totals, narrow enough that
-    the quotient keeps ten decimals.
+    Both sides become decimal(22,2): room for totals up to 10**20, and a quotient
+    with sixteen decimals, so rounding to nine or fewer does not round twice.
     """
-    wide = "decimal(28,2)"
+    wide = "decimal(22,2)"
     return F.round(F.try_divide(numerator.cast(wide), denominator.cast(wide)), digits)

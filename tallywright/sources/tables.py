@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tallywright.config import Config
 from tallywright.sources.schemas import SCHEMAS, conform
 
-#: column that tells when a row was loaded; centers have none
-LOADED_AT = {name: "created_at" for name in SCHEMAS if name != "distribution_centers"}
+#: column that tells when a row was loaded, for the tables that have one
+LOADED_AT = {name: "created_at" for name, schema in SCHEMAS.items() if "created_at" in schema.fieldNames()}
 
 
 def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
