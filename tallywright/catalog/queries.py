@@ -23,7 +23,7 @@ from tallywright.functions import fixed_values as fixed
 from tallywright.operators import calendar, checks, completeness, economics, history, ranking, staging
 from tallywright.plans import contracts, core, finance, invariants, marketing, metrics
 from tallywright.plans.warehouse import Warehouse, build
-from tallywright.session import shared_folder
+from tallywright.session import configure, shared_folder
 from tallywright.sources import sinks, tables
 from tallywright.sources.sample import raw_orders_and_items, raw_tables, sample_sources
 
@@ -524,5 +524,5 @@ def _(w):
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    configure(spark)
     return portable(QUERIES[name](Sample(spark, folder)))

@@ -7,6 +7,7 @@ Amounts are ``decimal(18,2)``. Ratios are divided as decimals, so a tie such as
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +23,21 @@ def money(c: Column) -> Column:
     return F.round(c.cast("decimal(38,9)"), 2).cast(MONEY)
 
 
+def cents(c: Column) -> Column:
+    """The amount as a whole number of cents: sums of longs stay in registers,
+    sums of wide decimals allocate."""
+    return (c * 100).cast("bigint")
+
+
+def from_cents(c: Column) -> Column:
+    return (c * F.lit(Decimal("0.01"))).cast("decimal(20,2)")
+
+
+def total(c: Column) -> Column:
+    """Exact sum of an amount."""
+    return from_cents(F.sum(cents(c)))
+
+
 def net_revenue(price: Column, status: Column, revenue_statuses: Iterable[str]) -> Column:
     """The price when the status counts toward revenue, else zero."""
     return F.when(status.isin(*revenue_statuses), price).otherwise(F.lit(0)).cast(MONEY)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.functions.money import MONEY, ratio, zero
+from tallywright.functions.money import MONEY, cents, from_cents, ratio, total, zero
 
 #: amounts that add up from units to orders, days and months
 AMOUNTS = ("gross_revenue", "net_revenue", "net_cogs", "net_gross_profit", "returned_revenue", "discount_amount")
@@ -87,7 +87,7 @@ def roll_up_orders(items: DataFrame) -> DataFrame:
     Three small groupings replace two distinct counts: (order, category,
     product), then (order, category), then order. Each one combines before its
     shuffle, so an order with very many lines is spread over its products first,
-    and no per-order set is ever collected.
+    and no per-order set is ever collected. Amounts travel as cents.
     """
     sums = ["line_items", "units_sold", *AMOUNTS, "returned_items", "cancelled_items"]
 
@@ -97,7 +97,7 @@ def roll_up_orders(items: DataFrame) -> DataFrame:
     by_product = items.groupBy("order_id", "category", "product_id").agg(
         F.count("*").alias("line_items"),
         F.sum("net_units").alias("units_sold"),
-        *(F.sum(name).alias(name) for name in AMOUNTS),
+        *(F.sum(cents(F.col(name))).alias(name) for name in AMOUNTS),
         F.count_if("is_returned").alias("returned_items"),
         F.count_if("is_cancelled").alias("cancelled_items"),
         F.max("gross_revenue").alias("top_unit"),
@@ -120,7 +120,7 @@ def roll_up_orders(items: DataFrame) -> DataFrame:
         "units_sold",
         "distinct_products",
         "distinct_categories",
-        *(F.col(name).cast("decimal(28,2)").alias(name) for name in AMOUNTS),
+        *(from_cents(F.col(name)).cast(MONEY).alias(name) for name in AMOUNTS),
         "returned_items",
         "cancelled_items",
         F.col("dearest.category").alias("sample_category"),
@@ -128,4 +128,4 @@ def roll_up_orders(items: DataFrame) -> DataFrame:
 
 
 def revenue_by_order(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(F.sum("net_revenue").alias("net_revenue"))
+    return items.groupBy("order_id").agg(total(F.col("net_revenue")).alias("net_revenue"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywright.config import Config
 from tallywright.functions.dates import day_diff
-from tallywright.functions.money import MONEY, ratio, zero
+from tallywright.functions.money import MONEY, ratio, total, zero
 from tallywright.functions.rules import customer_status, price_tier
 from tallywright.operators.completeness import with_one_row
 from tallywright.operators.history import join_economics, sequence_orders
@@ -61,8 +61,8 @@ def customer_orders(orders: DataFrame) -> DataFrame:
         F.count_if(bought).alias("lifetime_orders"),
         F.count_if("is_cancelled").alias("lifetime_cancelled_orders"),
         F.count_if("is_returned").alias("lifetime_returned_orders"),
-        F.sum(recognised("net_revenue")).alias("lifetime_net_revenue"),
-        F.sum(recognised("net_gross_profit")).alias("lifetime_gross_profit"),
+        total(recognised("net_revenue")).alias("lifetime_net_revenue"),
+        total(recognised("net_gross_profit")).alias("lifetime_gross_profit"),
         F.sum(recognised("units_sold")).alias("lifetime_units"),
         # late (may still grow) and missing (unknown) are different things
         F.count_if(bought & ~F.col("is_revenue_complete")).alias("lifetime_incomplete_orders"),
@@ -134,7 +134,7 @@ def inventory_by_product(inventory: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("units_stocked"),
             F.count_if("is_sold").alias("units_sold_all_time"),
-            F.sum("unit_cost").alias("_cost"),
+            total(F.col("unit_cost")).alias("_cost"),
             F.count("unit_cost").alias("_costed"),
             F.sum(F.when(F.col("is_sold"), F.col("days_on_shelf"))).alias("_days"),
             F.count(F.when(F.col("is_sold"), F.col("days_on_shelf"))).alias("_shelved"),

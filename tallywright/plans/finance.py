@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywright.functions.dates import day_name, is_weekend, truncate, week_of
 from tallywright.functions.fixed_values import SAME_WEEKDAY_LAST_YEAR_DAYS
-from tallywright.functions.money import ratio
+from tallywright.functions.money import ratio, total
 from tallywright.operators.calendar import fill_days
 from tallywright.operators.ranking import rank_within
 
@@ -28,7 +28,7 @@ def daily_orders(orders: DataFrame) -> DataFrame:
         F.count_if("is_repeat_purchase").alias("repeat_customer_orders"),
         F.countDistinct("user_id").alias("customers"),
         F.sum("units_sold").alias("units_sold"),
-        *(F.sum(name).alias(name) for name in _DAY_AMOUNTS),
+        *(total(F.col(name)).alias(name) for name in _DAY_AMOUNTS),
         F.bool_or("is_revenue_complete").alias("any_complete"),
     )
 
@@ -77,7 +77,10 @@ def product_month(items: DataFrame) -> DataFrame:
         F.sum("net_units").alias("units_sold"),
         F.count_if("is_returned").alias("units_returned"),
         F.countDistinct("user_id").alias("customers"),
-        *(F.sum(name).alias(name) for name in ("net_revenue", "net_cogs", "net_gross_profit", "discount_amount")),
+        *(
+            total(F.col(name)).alias(name)
+            for name in ("net_revenue", "net_cogs", "net_gross_profit", "discount_amount")
+        ),
     )
 
 
@@ -128,7 +131,7 @@ def with_share_of_month(df: DataFrame) -> DataFrame:
     Totals are aggregated and joined back (one row per calendar month), where a
     window would gather a whole month in one task.
     """
-    totals = df.groupBy(F.col("revenue_month").alias("_month")).agg(F.sum("net_revenue").alias("_total"))
+    totals = df.groupBy(F.col("revenue_month").alias("_month")).agg(total(F.col("net_revenue")).alias("_total"))
     return (
         df.join(F.broadcast(totals), F.col("revenue_month").eqNullSafe(F.col("_month")))
         .withColumn("pct_of_month_revenue", ratio(F.col("net_revenue"), F.col("_total"), 6))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywright.config import Config
 from tallywright.functions.dates import month_diff, truncate
-from tallywright.functions.money import ratio
+from tallywright.functions.money import ratio, total
 from tallywright.operators.calendar import each_number
 from tallywright.operators.history import cohort_purchases
 from tallywright.operators.ranking import with_ntile
@@ -26,8 +26,8 @@ def cohort_activity(history: DataFrame) -> DataFrame:
         .agg(
             F.countDistinct("user_id").alias("active_customers"),
             F.count("order_id").alias("orders"),
-            F.sum("net_revenue").alias("net_revenue"),
-            F.sum("net_gross_profit").alias("net_gross_profit"),
+            total(F.col("net_revenue")).alias("net_revenue"),
+            total(F.col("net_gross_profit")).alias("net_gross_profit"),
             F.count_if(first).alias("first_purchases"),
         )
     )
@@ -125,8 +125,8 @@ def mart_acquisition_channels(customers: DataFrame) -> DataFrame:
         F.count_if("is_repeat_customer").alias("repeat_customers"),
         F.count_if("is_active").alias("still_active_customers"),
         F.sum("lifetime_orders").alias("lifetime_orders"),
-        F.sum("lifetime_net_revenue").alias("lifetime_net_revenue"),
-        F.sum("lifetime_gross_profit").alias("lifetime_gross_profit"),
+        total(F.col("lifetime_net_revenue")).alias("lifetime_net_revenue"),
+        total(F.col("lifetime_gross_profit")).alias("lifetime_gross_profit"),
     )
     acquired, purchased = F.col("customers_acquired"), F.col("customers_who_purchased")
     return totals.select(
@@ -152,13 +152,13 @@ def revenue_concentration(customers: DataFrame) -> DataFrame:
     per_decile = (
         customer_deciles(customers)
         .groupBy("revenue_decile")
-        .agg(F.count("*").alias("customers"), F.sum("lifetime_net_revenue").alias("revenue"))
+        .agg(F.count("*").alias("customers"), total(F.col("lifetime_net_revenue")).alias("revenue"))
     )
-    total = F.sum("revenue").over(Window.partitionBy())
+    all_revenue = F.sum("revenue").over(Window.partitionBy())
     return per_decile.select(
         "revenue_decile",
         "customers",
         F.round("revenue", 2).alias("revenue"),
-        ratio(F.col("revenue"), total, 4).alias("pct_of_total_revenue"),
+        ratio(F.col("revenue"), all_revenue, 4).alias("pct_of_total_revenue"),
         ratio(F.col("revenue"), F.col("customers"), 2).alias("avg_ltv"),
     ).orderBy("revenue_decile")

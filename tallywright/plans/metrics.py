@@ -14,20 +14,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions.dates import GRAINS, truncate
+from tallywright.functions.money import total
 
 
 @dataclass(frozen=True)
 class Measure:
-    """``agg`` is "sum" or "count_distinct" of a column, literal or flag."""
+    """``agg`` is "sum", "total" (of money) or "count_distinct"."""
 
     expr: Callable[[], Column]
     agg: str = "sum"
 
     def column(self) -> Column:
-        return F.countDistinct(self.expr()) if self.agg == "count_distinct" else F.sum(self.expr())
+        aggregates = {"sum": F.sum, "total": total, "count_distinct": F.countDistinct}
+        return aggregates[self.agg](self.expr())
 
 
 def _amount(name: str) -> Measure:
+    return Measure(lambda: F.col(name), "total")
+
+
+def _number(name: str) -> Measure:
     return Measure(lambda: F.col(name))
 
 
@@ -88,7 +94,7 @@ MODELS: dict[str, Model] = {
             "returned_order_measure": _flag("is_returned"),
             "repeat_order_measure": _flag("is_repeat_purchase"),
             "purchasing_customers_measure": Measure(lambda: F.col("user_id"), "count_distinct"),
-            "units_sold_measure": _amount("units_sold"),
+            "units_sold_measure": _number("units_sold"),
         },
     ),
     "customers": Model(
@@ -114,7 +120,7 @@ MODELS: dict[str, Model] = {
         categorical=("category", "department", "brand", "item_status"),
         measures={
             "item_revenue_measure": _amount("net_revenue"),
-            "item_units_measure": _amount("net_units"),
+            "item_units_measure": _number("net_units"),
             "returned_units_measure": _flag("is_returned"),
             "line_item_measure": _rows(),
         },

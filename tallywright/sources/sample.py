@@ -16,6 +16,18 @@ from pyspark.sql import functions as F
 ITEMS_LANDED_BEFORE = datetime(2001, 7, 30)
 
 
+def _spread(lines: DataFrame) -> DataFrame:
+    """Distribute rows that arrive in fewer splits than there are cores.
+
+    The test files have one row group each, which a single task would read and
+    map. Tables with enough splits pass unchanged.
+    """
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() >= cores:
+        return lines
+    return lines.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def _days_after(ts: Column, days: Column) -> Column:
     return ts + F.make_dt_interval(days.cast("int"))
 
@@ -111,7 +123,7 @@ def _orders(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _order_items(t: dict[str, DataFrame]) -> DataFrame:
-    lines = t["lineitem"].select(
+    lines = _spread(t["lineitem"]).select(
         _line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -145,7 +157,7 @@ def _order_items(t: dict[str, DataFrame]) -> DataFrame:
 def _inventory_items(t: dict[str, DataFrame]) -> DataFrame:
     cents = _retail_cents(F.col("l_partkey"))
     sold = (
-        t["lineitem"]
+        _spread(t["lineitem"])
         .where(~((F.col("l_linenumber") == 7) & (F.col("l_orderkey") % 50 == 0)))
         .select(
             _line_id().alias("id"),
