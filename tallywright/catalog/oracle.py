@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 
 from tallywright.functions import fixed_values as fixed
+from tallywright.plans.contracts import CONTRACTS, Contract
 from tallywright.plans.core import ITEM_COLUMNS, ORDER_COLUMNS
 
 
@@ -1006,3 +1007,84 @@ ORACLES["mq_ratio"] = _out(
 ORACLES["mq_zero_fill"] = _out(
     "metric_time net_revenue orders_placed", "SELECT revenue_date AS metric_time, net_revenue, orders_placed FROM m_daily"
 )
+
+# every contract and assertion counted, like the check report
+_RELATION_OF = {f"source.{table}": relation for table, relation in _SOURCES.items()} | {
+    "users": "c_users",
+    "orders": "c_orders",
+    "order_items": "c_items",
+    "products": "c_products",
+    "inventory_items": "c_inventory",
+    "distribution_centers": "c_centers",
+    "events": "c_events",
+    "fct_orders": "m_orders",
+    "fct_order_items": "units",
+    "dim_customers": "m_customers",
+    "dim_products": "m_products",
+    "fct_daily_revenue": "m_daily",
+    "mart_product_performance": "m_performance",
+    "mart_customer_cohorts": "m_cohorts",
+    "mart_acquisition_channels": "m_channels",
+    "time_spine": "spine_days",
+}
+RELATIONS["spine_days"] = (
+    "SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2030-12-31', INTERVAL 1 DAY)) AS date_day"
+)
+
+
+def _failing_rows(c: Contract) -> str:
+    relation, column = _RELATION_OF[c.table], c.columns[0]
+    only = f" AND ({c.where})" if c.where else ""
+    if c.check == "unique":
+        return f"SELECT {column} FROM {relation} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+    if c.check == "unique_combination":
+        return f"SELECT {c.column} FROM {relation} GROUP BY ALL HAVING count(*) > 1"
+    if c.check == "relationships":
+        parent = _RELATION_OF[c.parent]
+        return f"SELECT 1 FROM {relation} WHERE {column} NOT IN (SELECT {c.parent_key} FROM {parent})"
+    if c.check == "not_null":
+        return f"SELECT 1 FROM {relation} WHERE {column} IS NULL{only}"
+    if c.check == "accepted_values":
+        return f"SELECT 1 FROM {relation} WHERE {column} NOT IN ({_quoted(c.values)}){only}"
+    low, high = ("<", ">") if c.inclusive else ("<=", ">=")
+    bounds = [f"{column} {low} {c.min_value}"] * (c.min_value is not None)
+    bounds += [f"{column} {high} {c.max_value}"] * (c.max_value is not None)
+    return f"SELECT 1 FROM {relation} WHERE ({' OR '.join(bounds)}){only}"
+
+
+_ASSERTED = [
+    ("cancelled_orders_have_zero_revenue", "fct_orders",
+     "SELECT 1 FROM m_orders WHERE order_status IN ('Cancelled', 'Returned') AND net_revenue > 0"),
+    ("complete_orders_have_items", "fct_orders", "SELECT 1 FROM m_orders WHERE is_revenue_complete AND line_items IS NULL"),
+    ("incomplete_orders_have_null_revenue", "fct_orders",
+     "SELECT 1 FROM m_orders WHERE line_items IS NULL AND net_revenue IS NOT NULL"),
+    ("no_future_orders", "fct_orders", "SELECT 1 FROM m_orders WHERE ordered_at > TIMESTAMP '2001-08-01'"),
+    ("cohort_starts_at_full_retention", "mart_customer_cohorts",
+     "SELECT 1 FROM m_cohorts WHERE months_since_first_purchase = 0 AND active_customers < cohort_customers"),
+    ("first_order_not_before_registration", "dim_customers",
+     "SELECT 1 FROM m_customers WHERE registered_date > first_order_date"),
+    ("unknown_value_is_not_zero", "dim_customers",
+     "SELECT 1 FROM m_customers WHERE has_purchased AND lifetime_orders = lifetime_orders_missing_economics "
+     "AND avg_order_value IS NOT NULL"),
+    ("complete_days_have_plausible_volume", "fct_daily_revenue",
+     "SELECT 1 FROM usual_volume WHERE is_revenue_complete AND trailing_avg_orders > 2 AND "
+     "(orders_placed > trailing_avg_orders * 2 OR orders_placed < trailing_avg_orders * 0.35::DOUBLE)"),
+    ("completeness_window_is_sane", "fct_orders",
+     "SELECT 1 FROM (SELECT max(ordered_date) AS d, max(ordered_date) FILTER (is_revenue_complete) AS c FROM m_orders) "
+     "WHERE c IS NULL OR d - c > 14"),
+    ("order_revenue_ties_to_items", "fct_orders",
+     "SELECT 1 FROM m_orders o JOIN (SELECT order_id, sum(net_revenue) AS total FROM units GROUP BY 1) i "
+     "USING (order_id) WHERE abs(o.net_revenue - i.total) > 0.01"),
+]
+_COUNTED = [
+    f"SELECT '{c.check}' AS check_name, '{c.table}' AS table_name, '{c.column}' AS column_name, "
+    f"'{c.severity}' AS severity, (SELECT count(*) FROM ({_failing_rows(c)})) AS failures"
+    for c in CONTRACTS
+] + [
+    f"SELECT '{name}', '{mart}', '', 'error', (SELECT count(*) FROM ({rows}))" for name, mart, rows in _ASSERTED
+]
+ORACLES["chk_run_report"] = _out(
+    "check_name table_name column_name severity failures status",
+    "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status "
+    f"FROM ({' UNION ALL '.join(_COUNTED)})",
+)

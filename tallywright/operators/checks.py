@@ -65,10 +65,10 @@ def orphans(
     return counted.join(known, "key", "left_anti")
 
 
-def failures_by_rule(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
-    """Counts many row rules in one pass: ``name, failures``."""
+def failures_by_rule(df: DataFrame, rules: Sequence[tuple[Column, Column]]) -> DataFrame:
+    """Counts many ``(label, row rule)`` pairs in one pass: ``label, failures``."""
     counts = df.agg(*(F.count_if(rule).alias(f"r{i}") for i, (_, rule) in enumerate(rules)))
     pairs = F.array(
-        *(F.struct(F.lit(name).alias("name"), F.col(f"r{i}").alias("failures")) for i, (name, _) in enumerate(rules))
+        *(F.struct(label.alias("label"), F.col(f"r{i}").alias("failures")) for i, (label, _) in enumerate(rules))
     )
     return counts.select(F.inline(pairs))

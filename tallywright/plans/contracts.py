@@ -191,75 +191,105 @@ SPINE_CONTRACTS = [*_key("time_spine", "date_day")]
 CONTRACTS: list[Contract] = [*SOURCE_CONTRACTS, *STAGING_CONTRACTS, *MART_CONTRACTS, *SPINE_CONTRACTS]
 
 
-def contract_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
-    """``check_name, table_name, column_name, severity, failures`` per contract.
+def _label(check: str, table: str, column: str, severity: str) -> Column:
+    return F.struct(
+        F.lit(check).alias("check_name"),
+        F.lit(table).alias("table_name"),
+        F.lit(column).alias("column_name"),
+        F.lit(severity).alias("severity"),
+    )
 
-    All one-row rules of a table are counted in a single pass over it.
-    """
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Contract]] = {}
-    for contract in contracts:
-        if contract.row_rule() is None:
-            # orphans carry the rows per key, duplicates count as one per key
-            failures = F.sum("n_rows") if contract.check == "relationships" else F.count("*")
-            counted = contract.violations(frames).agg(F.coalesce(failures, F.lit(0)).alias("failures"))
-            parts.append(_labelled(counted, contract))
+
+def _contract_label(contract: Contract) -> Column:
+    return _label(contract.check, contract.table, contract.column, contract.severity)
+
+
+def _by_number(counted: DataFrame, contracts: Sequence[Contract]) -> DataFrame:
+    """Turn ``number, failures`` into labelled rows, 0 for checks without any."""
+    labels = F.array(*(_contract_label(c) for c in contracts))
+    numbers = counted.sparkSession.range(len(contracts)).select(F.col("id").cast("int").alias("number"))
+    return numbers.join(counted, "number", "left").select(
+        F.get(labels, F.col("number")).alias("label"), F.coalesce("failures", F.lit(0)).alias("failures")
+    ).select("label.*", "failures")
+
+
+def key_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
+    """Duplicate keys per uniqueness check: the keys of all tables share one shuffle."""
+
+    def keys(number: int, contract: Contract) -> DataFrame:
+        rows = checks.restrict(frames(contract.table), contract.where)
+        if len(contract.columns) == 1:
+            key = F.col(contract.columns[0])
+            rows = rows.where(key.isNotNull())
         else:
-            by_table.setdefault(contract.table, []).append(contract)
-    for table, group in by_table.items():
-        rules = []
-        for contract in group:
-            rule = contract.row_rule()
-            rules.append((str(group.index(contract)), rule if contract.where is None else F.expr(contract.where) & rule))
-        counted = checks.failures_by_rule(frames(table), rules)
-        labels = F.array(*(_label(c) for c in group))
-        parts.append(
-            counted.select(F.get(labels, F.col("name").cast("int")).alias("label"), "failures").select(
-                "label.*", "failures"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+            key = F.struct(*contract.columns)
+        return rows.select(F.lit(number).alias("number"), key.cast("string").alias("key"))
 
+    stacked = reduce(DataFrame.unionByName, [keys(i, c) for i, c in enumerate(contracts)])
+    repeated = stacked.groupBy("number", "key").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    return _by_number(repeated.groupBy("number").agg(F.count("*").alias("failures")), contracts)
 
-def _label(contract: Contract) -> Column:
-    return F.struct(
-        F.lit(contract.check).alias("check_name"),
-        F.lit(contract.table).alias("table_name"),
-        F.lit(contract.column).alias("column_name"),
-        F.lit(contract.severity).alias("severity"),
-    )
 
+def reference_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
+    """Rows without a parent per reference check, in one join.
 
-def _labelled(counted: DataFrame, contract: Contract) -> DataFrame:
-    return counted.select(_label(contract).alias("label"), "failures").select("label.*", "failures")
+    Children are counted per key first, so a key that fills a table is one row.
+    """
 
+    def children(number: int, contract: Contract) -> DataFrame:
+        rows = checks.restrict(frames(contract.table), contract.where)
+        key = F.col(contract.columns[0])
+        return rows.where(key.isNotNull()).select(F.lit(number).alias("number"), key.cast("string").alias("key"))
 
-def invariant_failures(frames: Callable[[str], DataFrame], cfg: Config) -> DataFrame:
-    """The same columns for the business assertions."""
-    parts: list[DataFrame] = []
-    by_mart: dict[str, list[tuple[str, Column]]] = {}
-    for name, (mart, rule, _) in ROW_INVARIANTS.items():
-        by_mart.setdefault(mart, []).append((name, rule(cfg)))
-    for mart, rules in by_mart.items():
-        parts.append(checks.failures_by_rule(frames(mart), rules).withColumn("table_name", F.lit(mart)))
-    for name, mart in FRAME_INVARIANTS.items():
-        counted = invariant(name, frames, cfg).agg(F.count("*").alias("failures"))
-        parts.append(counted.select(F.lit(name).alias("name"), "failures", F.lit(mart).alias("table_name")))
-    return reduce(DataFrame.unionByName, parts).select(
-        F.col("name").alias("check_name"),
-        "table_name",
-        F.lit("").alias("column_name"),
-        F.lit("error").alias("severity"),
-        "failures",
-    )
+    def parents(number: int, contract: Contract) -> DataFrame:
+        key = F.col(contract.parent_key).cast("string")
+        return frames(contract.parent).select(F.lit(number).alias("number"), key.alias("key"))
+
+    numbered = list(enumerate(contracts))
+    referring = reduce(DataFrame.unionByName, [children(i, c) for i, c in numbered])
+    counted = referring.groupBy("number", "key").agg(F.count("*").alias("n_rows"))
+    known = reduce(DataFrame.unionByName, [parents(i, c) for i, c in numbered])
+    lost = counted.join(known, ["number", "key"], "left_anti")
+    return _by_number(lost.groupBy("number").agg(F.sum("n_rows").alias("failures")), contracts)
+
+
+def row_failures(
+    frames: Callable[[str], DataFrame], rules: Sequence[tuple[str, Column, Column]]
+) -> DataFrame:
+    """Counts of ``(table, label, rule)``, one pass per table for all its rules."""
+    by_table: dict[str, list[tuple[Column, Column]]] = {}
+    for table, label, rule in rules:
+        by_table.setdefault(table, []).append((label, rule))
+    parts = [
+        checks.failures_by_rule(frames(table), group).select("label.*", "failures")
+        for table, group in by_table.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_report(
     frames: Callable[[str], DataFrame], cfg: Config, contracts: Sequence[Contract] = tuple(CONTRACTS)
 ) -> DataFrame:
     """Every contract and assertion with its failures and status."""
-    found = contract_failures(frames, contracts).unionByName(invariant_failures(frames, cfg))
-    return found.withColumn(
+    rules = [
+        (c.table, _contract_label(c), rule if c.where is None else F.expr(c.where) & rule)
+        for c in contracts
+        if (rule := c.row_rule()) is not None
+    ]
+    rules += [(mart, _label(name, mart, "", "error"), rule(cfg)) for name, (mart, rule, _) in ROW_INVARIANTS.items()]
+    parts = [row_failures(frames, rules)]
+
+    unique = [c for c in contracts if c.check in ("unique", "unique_combination")]
+    references = [c for c in contracts if c.check == "relationships"]
+    if unique:
+        parts.append(key_failures(frames, unique))
+    if references:
+        parts.append(reference_failures(frames, references))
+    for name, mart in FRAME_INVARIANTS.items():
+        counted = invariant(name, frames, cfg).agg(F.count("*").alias("failures"))
+        parts.append(counted.select(_label(name, mart, "", "error").alias("label"), "failures").select("label.*", "failures"))
+
+    return reduce(DataFrame.unionByName, parts).withColumn(
         "status",
         F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail"),
     )
