@@ -39,5 +39,9 @@ def completeness_boundary(orders: DataFrame, items: DataFrame, cfg: Config) -> D
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a global aggregate (always exactly one row)."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the columns of a global aggregate (always exactly one row).
+
+    As scalar subqueries they run once, reach every task as constants, and vanish
+    when a later step does not read them.
+    """
+    return df.select("*", *(one_row.select(name).scalar().alias(name) for name in one_row.columns))

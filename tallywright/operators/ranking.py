@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywright.operators.completeness import with_one_row
 from tallywright.session import stored
 
 _ROWS_PER_PARTITION_BITS = 33  # layout of monotonically_increasing_id
@@ -67,7 +68,7 @@ def with_ntile(df: DataFrame, buckets: int, order_by: Sequence[Column], name: st
     tile = F.when(at <= in_big, F.floor((at - 1) / (small + 1)) + 1).otherwise(
         n % buckets + F.floor(F.try_divide(at - 1 - in_big, small)) + 1
     )
-    return placed.crossJoin(F.broadcast(total)).withColumn(name, tile.cast("bigint")).drop("_position", "_total")
+    return with_one_row(placed, total).withColumn(name, tile.cast("bigint")).drop("_position", "_total")
 
 
 def top_within(df: DataFrame, groups: Sequence[str], order_by: Sequence[Column], k: int, name: str) -> DataFrame:
