@@ -219,11 +219,11 @@ def key_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contrac
     def keys(number: int, contract: Contract) -> DataFrame:
         rows = checks.restrict(frames(contract.table), contract.where)
         if len(contract.columns) == 1:
-            key = F.col(contract.columns[0])
+            key = F.col(contract.columns[0]).cast("string")
             rows = rows.where(key.isNotNull())
         else:
-            key = F.struct(*contract.columns)
-        return rows.select(F.lit(number).alias("number"), key.cast("string").alias("key"))
+            key = F.to_json(F.struct(*contract.columns))
+        return rows.select(F.lit(number).alias("number"), key.alias("key"))
 
     stacked = reduce(DataFrame.unionByName, [keys(i, c) for i, c in enumerate(contracts)])
     repeated = stacked.groupBy("number", "key").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
