@@ -51,7 +51,8 @@ def sequence_orders(orders: DataFrame) -> DataFrame:
 
     cohort = F.trunc(F.to_date("first_purchase_at"), "month")
     seq = F.when(bought, F.col("_purchases_before") + F.col("_p"))
-    return numbered.join(carried, ["_owner", "_hour"]).select(
+    # every hour has its row; as a left join it disappears when nothing reads it
+    return numbered.join(carried, ["_owner", "_hour"], "left").select(
         *orders.columns,
         (F.col("_orders_before") + F.col("_n")).alias("order_seq"),
         seq.alias("purchase_seq"),
