@@ -81,49 +81,68 @@ def enrich_items(items: DataFrame, inventory: DataFrame, products: DataFrame) ->
     return with_margin(split)
 
 
-def roll_up_orders(items: DataFrame) -> DataFrame:
-    """Order grain: counts, sums and basket variety of enriched items.
-
-    Three small groupings replace two distinct counts: (order, category,
-    product), then (order, category), then order. Each one combines before its
-    shuffle, so an order with very many lines is spread over its products first,
-    and no per-order set is ever collected. Amounts travel as cents.
-    """
-    sums = ["line_items", "units_sold", *AMOUNTS, "returned_items", "cancelled_items"]
-
-    def add_up() -> list[Column]:
-        return [F.sum(name).alias(name) for name in sums]
-
-    by_product = items.groupBy("order_id", "category", "product_id").agg(
+def order_sums(items: DataFrame) -> DataFrame:
+    """Order grain: counts and sums of enriched items."""
+    summed = items.groupBy("order_id").agg(
         F.count("*").alias("line_items"),
         F.sum("net_units").alias("units_sold"),
         *(F.sum(cents(F.col(name))).alias(name) for name in AMOUNTS),
         F.count_if("is_returned").alias("returned_items"),
         F.count_if("is_cancelled").alias("cancelled_items"),
-        F.max("gross_revenue").alias("top_unit"),
     )
+    return summed.select(
+        "order_id",
+        "line_items",
+        "units_sold",
+        *(from_cents(F.col(name)).cast(MONEY).alias(name) for name in AMOUNTS),
+        "returned_items",
+        "cancelled_items",
+    )
+
+
+def order_variety(items: DataFrame) -> DataFrame:
+    """Order grain: distinct products and categories, and the dearest unit's category.
+
+    Three small groupings replace two distinct counts: (order, category,
+    product), then (order, category), then order. Each one combines before its
+    shuffle, so an order with very many lines is spread over its products first,
+    and no per-order set is ever collected.
+    """
+    by_product = items.groupBy("order_id", "category", "product_id").agg(F.max("gross_revenue").alias("top_unit"))
     by_category = by_product.groupBy("order_id", "category").agg(
-        *add_up(),
-        F.count("product_id").alias("distinct_products"),
-        F.max("top_unit").alias("top_unit"),
+        F.count("product_id").alias("distinct_products"), F.max("top_unit").alias("top_unit")
     )
     by_order = by_category.groupBy("order_id").agg(
-        *add_up(),
         F.sum("distinct_products").alias("distinct_products"),
         F.count("category").alias("distinct_categories"),
-        # category of the dearest unit; ties go to the later name
+        # ties go to the later name
         F.max(F.struct("top_unit", "category")).alias("dearest"),
     )
     return by_order.select(
-        "order_id",
-        "line_items",
-        "units_sold",
-        "distinct_products",
-        "distinct_categories",
-        *(from_cents(F.col(name)).cast(MONEY).alias(name) for name in AMOUNTS),
-        "returned_items",
-        "cancelled_items",
-        F.col("dearest.category").alias("sample_category"),
+        "order_id", "distinct_products", "distinct_categories", F.col("dearest.category").alias("sample_category")
+    )
+
+
+def roll_up_orders(items: DataFrame) -> DataFrame:
+    """Order grain: sums and variety of enriched items.
+
+    They stay two aggregates joined on the key both are partitioned by: most
+    readers need only the sums, and the unread half drops out of their plans.
+    """
+    return (
+        order_sums(items)
+        .join(order_variety(items), "order_id", "left")
+        .select(
+            "order_id",
+            "line_items",
+            "units_sold",
+            "distinct_products",
+            "distinct_categories",
+            *AMOUNTS,
+            "returned_items",
+            "cancelled_items",
+            "sample_category",
+        )
     )
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywright.config import Config
 from tallywright.functions import fixed_values as fixed
@@ -218,31 +219,45 @@ def key_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contrac
 
     def keys(number: int, contract: Contract) -> DataFrame:
         rows = checks.restrict(frames(contract.table), contract.where)
-        if len(contract.columns) == 1:
-            key = F.col(contract.columns[0]).cast("string")
-            rows = rows.where(key.isNotNull())
+        whole, text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+        if len(contract.columns) > 1:
+            text = F.to_json(F.struct(*contract.columns))
         else:
-            key = F.to_json(F.struct(*contract.columns))
-        return rows.select(F.lit(number).alias("number"), key.alias("key"))
+            key = F.col(contract.columns[0])
+            rows = rows.where(key.isNotNull())
+            if _is_whole(rows, contract.columns[0]):
+                whole = key.cast("bigint")
+            else:
+                text = key.cast("string")
+        return rows.select(F.lit(number).alias("number"), whole.alias("whole"), text.alias("text"))
 
     stacked = reduce(DataFrame.unionByName, [keys(i, c) for i, c in enumerate(contracts)])
-    repeated = stacked.groupBy("number", "key").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    repeated = stacked.groupBy("number", "whole", "text").agg(F.count("*").alias("n_rows")).where("n_rows > 1")
     return _by_number(repeated.groupBy("number").agg(F.count("*").alias("failures")), contracts)
 
 
+def _is_whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
 def reference_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
     """Rows without a parent per reference check, in one join.
 
     Children are counted per key first, so a key that fills a table is one row.
     """
 
+    whole = all(
+        _is_whole(frames(c.table), c.columns[0]) and _is_whole(frames(c.parent), c.parent_key) for c in contracts
+    )
+    kind = "bigint" if whole else "string"
+
     def children(number: int, contract: Contract) -> DataFrame:
         rows = checks.restrict(frames(contract.table), contract.where)
         key = F.col(contract.columns[0])
-        return rows.where(key.isNotNull()).select(F.lit(number).alias("number"), key.cast("string").alias("key"))
+        return rows.where(key.isNotNull()).select(F.lit(number).alias("number"), key.cast(kind).alias("key"))
 
     def parents(number: int, contract: Contract) -> DataFrame:
-        key = F.col(contract.parent_key).cast("string")
+        key = F.col(contract.parent_key).cast(kind)
         return frames(contract.parent).select(F.lit(number).alias("number"), key.alias("key"))
 
     numbered = list(enumerate(contracts))
