@@ -402,25 +402,27 @@ _TYPES = {
 TYPE_OF = {column: kind for kind, columns in _TYPES.items() for column in columns.split()}
 
 
-def _with_relations(body: str) -> str:
+def _with_relations(body: str, **replaced: str) -> str:
     """Prefix a SELECT with the CTEs it needs, in definition order."""
+    relations = RELATIONS | replaced
     used: set[str] = set()
     pending = [body]
     while pending:
         words = set(re.findall(r"\b[a-z_]+\b", pending.pop()))
-        for name in words & RELATIONS.keys() - used:
+        for name in words & relations.keys() - used:
             used.add(name)
-            pending.append(RELATIONS[name])
-    ctes = ", ".join(f"{name} AS ({sql})" for name, sql in RELATIONS.items() if name in used)
+            pending.append(relations[name])
+    ctes = ", ".join(f"{name} AS ({sql})" for name, sql in relations.items() if name in used)
     return f"WITH {ctes} {body}" if ctes else body
 
 
-def _out(columns: str | list[str], source: str) -> str:
-    """SELECT of ``columns``, each cast to its plain type, from a relation or SELECT."""
+def _out(columns: str | list[str], source: str, **replaced: str) -> str:
+    """SELECT of ``columns``, each cast to its plain type, from a relation or SELECT;
+    ``replaced`` swaps relations underneath it."""
     names = columns.split() if isinstance(columns, str) else columns
     cast = ", ".join(f"CAST({n} AS {TYPE_OF[n]}) AS {n}" if n in TYPE_OF else n for n in names)
     origin = f"({source})" if source.lstrip().upper().startswith("SELECT") else source
-    return _with_relations(f"SELECT {cast} FROM {origin}")
+    return _with_relations(f"SELECT {cast} FROM {origin}", **replaced)
 
 
 ORDER_STAGE = (
@@ -887,6 +889,31 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+# the same checks on data made to break them
+ORACLES["chk_cancelled_zero_revenue_fires"] = _out(
+    "order_id order_status net_revenue",
+    "SELECT * FROM m_orders WHERE order_status IN ('Cancelled', 'Returned') AND net_revenue > 0",
+    src_items="SELECT * REPLACE (if(id % 5 = 0, 'Complete', status) AS status) FROM (" + RELATIONS["src_items"] + ")",
+)
+ORACLES["chk_first_order_after_registration_fires"] = _out(
+    "user_id registered_date first_order_date",
+    "SELECT user_id, registered_date + 800 AS registered_date, first_order_date FROM m_customers "
+    "WHERE registered_date + 800 > first_order_date AND registered_at <= TIMESTAMP '2001-08-01' - to_days(800)",
+)
+ORACLES["chk_incomplete_null_revenue_fires"] = _out(
+    "order_id ordered_date net_revenue",
+    "SELECT order_id, ordered_date, 0 AS net_revenue FROM c_orders ANTI JOIN c_items USING (order_id)",
+)
+ORACLES["chk_completeness_invariant_fires"] = _out(
+    "order_id ordered_date order_status items_ordered", "SELECT * FROM c_orders ANTI JOIN c_items USING (order_id)"
+)
+ORACLES["chk_revenue_reconciles_fires"] = _out(
+    "order_id order_revenue line_item_revenue difference",
+    "SELECT order_id, sum(net_revenue) AS order_revenue, sum(net_revenue) + 0.02 * extra AS line_item_revenue, "
+    "0.02 * extra AS difference FROM units JOIN (SELECT order_id, count(*) AS extra FROM units "
+    "WHERE order_item_id % 5 = 0 AND is_revenue_recognised GROUP BY 1) USING (order_id) GROUP BY order_id, extra",
+)
+
 # metrics by month: (relation, time column, SQL of the value)
 _D = "CAST({} AS DOUBLE)"
 

@@ -474,6 +474,56 @@ def _(w):
     return invariants.stale_completeness(flagged.drop("complete_through"), w.cfg)
 
 
+def _with(w: Sample, mart: str, **columns) -> Callable[[str], DataFrame]:
+    """The models with some columns of one mart replaced, as a faulty edit would."""
+    return lambda name: w.frame(name).withColumns(columns) if name == mart else w.frame(name)
+
+
+@query("chk_cancelled_zero_revenue_fires")
+def _(w):
+    """Units whose status was not updated with their order's."""
+    stale = w.sources["order_items"].withColumn(
+        "status", F.when(F.col("id") % 5 == 0, "Complete").otherwise(F.col("status"))
+    )
+    shop = Warehouse({**w.sources, "order_items": stale}, w.cfg)
+    return invariants.invariant("cancelled_orders_have_zero_revenue", shop.frame, w.cfg)
+
+
+@query("chk_first_order_after_registration_fires")
+def _(w):
+    """Registrations recorded 800 days late."""
+    late = w.sources["users"].withColumn("created_at", F.col("created_at") + F.expr("interval 800 days"))
+    shop = Warehouse({**w.sources, "users": late}, w.cfg)
+    return invariants.invariant("first_order_not_before_registration", shop.frame, w.cfg)
+
+
+_add(
+    # unknown revenue read as zero
+    chk_incomplete_null_revenue_fires=lambda w: invariants.invariant(
+        "incomplete_orders_have_null_revenue",
+        _with(w, "fct_orders", net_revenue=F.coalesce("net_revenue", money.zero())),
+        w.cfg,
+    ),
+    # a completeness flag that ignores missing items
+    chk_completeness_invariant_fires=lambda w: invariants.invariant(
+        "complete_orders_have_items", _with(w, "fct_orders", is_revenue_complete=F.lit(True)), w.cfg
+    ),
+    # two cents too much on every fifth unit
+    chk_revenue_reconciles_fires=lambda w: invariants.invariant(
+        "order_revenue_ties_to_items",
+        _with(
+            w,
+            "fct_order_items",
+            net_revenue=F.when(
+                (F.col("order_item_id") % 5 == 0) & F.col("is_revenue_recognised"),
+                (F.col("net_revenue") + F.lit("0.02").cast(money.MONEY)).cast(money.MONEY),
+            ).otherwise(F.col("net_revenue")),
+        ),
+        w.cfg,
+    ),
+)
+
+
 # metrics -----------------------------------------------------------------------------------------------------------
 def _metric(name: str) -> Callable[[Sample], DataFrame]:
     return lambda w: metrics.metric_query(w.frame, [name], ["metric_time__month"])
