@@ -181,7 +181,9 @@ _add(
     join_products_inventory_agg=lambda w: w.products.select("product_id", "list_cost").join(
         core.inventory_by_product(w.inventory_items), "product_id", "left"
     ),
-    join_perf_products=lambda w: finance.with_product(finance.product_month(w.fct_order_items), w.dim_products),
+    join_perf_products=lambda w: finance.with_ratios(
+        finance.with_product(finance.product_month(w.fct_order_items), w.dim_products)
+    ),
     join_cohort_size_period=lambda w: _cohort_size_period(w),
     join_reconcile=lambda w: invariants.reconcile_revenue(w.fct_orders, w.fct_order_items),
     scalar_subquery=lambda w: completeness.with_one_row(

@@ -84,8 +84,14 @@ def product_month(items: DataFrame) -> DataFrame:
     )
 
 
+PRODUCT_MONTH_COLUMNS = (
+    "revenue_month product_id sku product_name brand category department price_tier distribution_center_name "
+    "line_items units_sold units_returned customers net_revenue net_cogs net_gross_profit discount_amount"
+).split()
+
+
 def with_product(monthly: DataFrame, products: DataFrame) -> DataFrame:
-    """Product months with catalogue columns and the ratios of their totals."""
+    """Product months with catalogue columns."""
     catalogue = products.select(
         "product_id",
         "sku",
@@ -96,24 +102,13 @@ def with_product(monthly: DataFrame, products: DataFrame) -> DataFrame:
         "price_tier",
         "distribution_center_name",
     )
-    return monthly.join(catalogue, "product_id", "left").select(
-        "revenue_month",
-        "product_id",
-        "sku",
-        "product_name",
-        "brand",
-        "category",
-        "department",
-        "price_tier",
-        "distribution_center_name",
-        "line_items",
-        "units_sold",
-        "units_returned",
-        "customers",
-        "net_revenue",
-        "net_cogs",
-        "net_gross_profit",
-        "discount_amount",
+    return monthly.join(catalogue, "product_id", "left").select(*PRODUCT_MONTH_COLUMNS)
+
+
+def with_ratios(df: DataFrame) -> DataFrame:
+    """Adds margin, return rate and selling price: ratios of the totals."""
+    return df.select(
+        "*",
         ratio(F.col("net_gross_profit"), F.col("net_revenue"), 4).alias("gross_margin_pct"),
         ratio(F.col("units_returned"), F.col("line_items"), 4).alias("return_rate"),
         ratio(F.col("net_revenue"), F.col("units_sold"), 2).alias("avg_selling_price"),
@@ -144,4 +139,11 @@ def mart_product_performance(monthly: DataFrame, products: DataFrame) -> DataFra
     ranked = rank_within(
         with_product(monthly, products), ["revenue_month", "category"], best_first(), "revenue_rank_in_category"
     )
-    return with_share_of_month(ranked)
+    return with_share_of_month(with_ratios(ranked)).select(
+        *PRODUCT_MONTH_COLUMNS,
+        "gross_margin_pct",
+        "return_rate",
+        "avg_selling_price",
+        "revenue_rank_in_category",
+        "pct_of_month_revenue",
+    )
