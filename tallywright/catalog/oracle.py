@@ -490,7 +490,6 @@ HISTORY_COLUMNS = (
     "ordered_month net_revenue net_gross_profit units_sold order_seq purchase_seq first_purchase_at "
     "latest_purchase_at is_first_purchase is_repeat_purchase cohort_month months_since_first_purchase"
 )
-ENRICHED_COLUMNS = " ".join(c for c in ITEM_COLUMNS)
 
 _SOURCES = {
     "users": "src_users",
@@ -802,7 +801,7 @@ ORACLES: dict[str, str] = {
     "gen_data_spine": _out("revenue_date", "order_days"),
     "gen_cohort_grid": _out("cohort_month cohort_customers months_since_first_purchase", "cohort_cells"),
     # models
-    "int_order_items_enriched": _out(ENRICHED_COLUMNS, "units"),
+    "int_order_items_enriched": _out(ITEM_COLUMNS, "units"),
     "int_customer_order_history": _out(HISTORY_COLUMNS, "m_orders"),
     "completeness_boundary": _out("complete_through", "edge"),
     "fct_orders": _out(ORDER_COLUMNS, "m_orders"),
@@ -915,9 +914,6 @@ ORACLES["chk_revenue_reconciles_fires"] = _out(
 )
 
 # metrics by month: (relation, time column, SQL of the value)
-_D = "CAST({} AS DOUBLE)"
-
-
 def _div(n: str, d: str) -> str:
     return f"CAST({n} AS DOUBLE) / nullif(CAST({d} AS DOUBLE), 0)"
 

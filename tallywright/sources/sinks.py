@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,3 +49,11 @@ def write_month_partitioned(
         .parquet(path)
     )
     return df.sparkSession.read.parquet(path)
+
+
+def between_dates(
+    table: DataFrame, date_column: str, first: date, last: date, partition_column: str = "partition_month"
+) -> DataFrame:
+    """Rows of a month-partitioned table between two days, opening only their months."""
+    months = F.col(partition_column).between(F.trunc(F.lit(first), "month"), F.trunc(F.lit(last), "month"))
+    return table.where(months & F.col(date_column).between(F.lit(first), F.lit(last)))

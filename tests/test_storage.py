@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -25,6 +27,27 @@ def test_month_partitions_are_pruned(spark, tmp_path):
     assert one_month.select(F.min("d"), F.max("d")).first()[0].month == 2
 
 
+def test_dates_open_only_their_months(spark, tmp_path):
+    df = spark.range(90).select("id", F.expr("date_add(date'2024-01-01', cast(id as int))").alias("d"))
+    kept = sinks.write_month_partitioned(df, str(tmp_path / "m"), "d", [], ["id"])
+    some = sinks.between_dates(kept, "d", date(2024, 2, 10), date(2024, 2, 12))
+    assert sorted(r.d.day for r in some.collect()) == [10, 11, 12]
+    assert "(partition_month#" in plan(some).split("PartitionFilters:")[1].split("PushedFilters:")[0]
+    assert {r[0].split("partition_month=")[1][:7] for r in some.select(F.input_file_name()).collect()} == {"2024-02"}
+
+
+def test_sources_are_read_from_a_catalog(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE shop LOCATION '{tmp_path}/shop'")
+    try:
+        for name, schema in SCHEMAS.items():
+            spark.createDataFrame([], schema).write.saveAsTable(f"shop.{name}")
+        w = Warehouse(tables.catalog_sources(spark, "shop"), SAMPLE_CONFIG)
+        assert w.fct_orders.count() == 0 and w.fct_daily_revenue.count() == 0
+        assert w.mart_product_performance.count() == 0 and w.revenue_concentration.count() == 0
+    finally:
+        spark.sql("DROP DATABASE shop CASCADE")
+
+
 def test_clustered_files_hold_key_ranges(spark, tmp_path):
     df = spark.range(10000).select("id", (F.col("id") % 50).alias("k"))
     kept = sinks.write_clustered(df, str(tmp_path / "c"), ["k"], ["id"])
