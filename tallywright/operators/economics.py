@@ -128,6 +128,7 @@ def roll_up_orders(items: DataFrame) -> DataFrame:
 
     They stay two aggregates joined on the key both are partitioned by: most
     readers need only the sums, and the unread half drops out of their plans.
+    Items without an order id get sums but no variety; no order can match them.
     """
     return (
         order_sums(items)
