@@ -28,7 +28,31 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM k JOIN f USING (key) GROUP BY doc_id
 """
 
+_WORDS = ("casino", "escort", "poker", "porn", "torrent", "viagra", "warez", "xxx")
+_PATTERN = "CASE " + " ".join(
+    f"WHEN regexp_matches(lower(host || path), '(^|[^a-z0-9]){w}([^a-z0-9]|$)') THEN '{w}'" for w in _WORDS
+) + " END"
+
+OP6 = rf"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p),
+q AS (SELECT *, CASE WHEN rule IS NULL THEN {_PATTERN} END AS pattern FROM r)
+SELECT page_id, host, path, rule, pattern,
+       CASE WHEN rule IN ('net/', 'example.com/de/') OR pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM q
+"""
+
 ORACLES = {
     "op1_exact_dedup": OP1,
+    "op6_url_rules": OP6,
     "op10_line_dedup": OP10,
 }

@@ -7,13 +7,36 @@ from pyspark.sql import functions as F
 
 from tallywright.llm.common import documents
 from tallywright.llm.exact_dedup import DigestIndex
+from tallywright.llm.language_id import identify
 from tallywright.llm.line_dedup import drop_shared_lines
+from tallywright.llm.personal_data import BASE, joined, personal_data
+from tallywright.llm.url_rules import judge
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return DigestIndex.temporary(spark).admit(documents(spark, folder))
 
 
+def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge(documents(spark, folder, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+def _number_of(kind: str):
+    return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = documents(spark, folder).select("doc_id", personal_data().alias("found"))
+    base = F.filter("found", lambda s: s["kind"].isin(*BASE))
+    counts = [_number_of(kind).alias(f"n_{kind}") for kind in BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(documents(spark, folder)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = drop_shared_lines(documents(spark, folder), min_documents=10, min_points=1)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -21,5 +44,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_url_rules": op6_url_rules,
+    "op7_personal_data": op7_personal_data,
+    "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
