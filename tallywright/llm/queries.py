@@ -10,6 +10,7 @@ from tallywright.llm.exact_dedup import DigestIndex
 from tallywright.llm.language_id import identify
 from tallywright.llm.line_dedup import drop_shared_lines
 from tallywright.llm.personal_data import BASE, joined, personal_data
+from tallywright.llm.toxicity import scored
 from tallywright.llm.url_rules import judge
 
 
@@ -33,6 +34,11 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = scored(documents(spark, folder), documents(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(documents(spark, folder)).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -46,6 +52,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_url_rules": op6_url_rules,
     "op7_personal_data": op7_personal_data,
+    "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
 }
