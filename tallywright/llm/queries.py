@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from tallywright.llm.common import documents
 from tallywright.llm.exact_dedup import DigestIndex
 from tallywright.llm.language_id import identify
 from tallywright.llm.line_dedup import drop_shared_lines
+from tallywright.llm.packing import pack_documents
 from tallywright.llm.personal_data import BASE, joined, personal_data
 from tallywright.llm.toxicity import scored
 from tallywright.llm.url_rules import judge
@@ -18,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return DigestIndex.temporary(spark).admit(documents(spark, folder))
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(documents(spark, folder, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -50,6 +56,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_packing": op3_packing,
     "op6_url_rules": op6_url_rules,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
