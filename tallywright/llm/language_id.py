@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: slots that n-grams are hashed to; lengths of the n-grams; labelled rows learned from, for each language
@@ -112,15 +112,14 @@ def classify(texts: list[str | None], names, weights, is_letter) -> tuple[list[s
 
 
 def learn(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
-    """Learns from rows with a text and a language: the first ``rows_per_language`` of each in a hashed order."""
+    """Learns from rows with a text and a language: of each about ``rows_per_language``, drawn by a hash of the id."""
     is_letter = letters()
     shared = docs.sparkSession.sparkContext.broadcast(is_letter)
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (
-        docs.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
-        .withColumn("nth", F.row_number().over(first))
-        .where(F.col("nth") <= rows_per_language)
-    )
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
+    # one row for each language; the sample is taken where the rows are, without moving a text
+    shares = known.groupBy("lang").agg(F.count("*").alias("rows"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    sample = known.join(F.broadcast(shares), "lang").where(place * F.col("rows") < rows_per_language)
     counts = (
         sample.select("lang", "text")
         .mapInPandas(_counter(shared), "lang string, slot long, n long")
