@@ -28,6 +28,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM k JOIN f USING (key) GROUP BY doc_id
 """
 
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         md5('mix ' || coalesce(doc_id::VARCHAR, 'null')) AS o FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM s),
+w AS (SELECT *, [5, 2, 1][nth % 3 + 1] AS weight, 2 * source_size AS most FROM n),
+b AS (
+  SELECT *, coalesce(sum(most) OVER v, 0)::BIGINT AS mb, coalesce(sum(weight) OVER v, 0)::BIGINT AS wb,
+         (sum(weight) OVER ())::BIGINT AS ws, 1.5::DOUBLE * (sum(source_size) OVER ())::BIGINT AS amount
+  FROM w WINDOW v AS (ORDER BY most::DOUBLE / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, mb + most::DOUBLE / weight * (ws - wb) <= amount AS full_ FROM b),
+l AS (SELECT (any_value(amount) - coalesce(sum(most) FILTER (WHERE full_), 0)::BIGINT)
+             / (any_value(ws) - coalesce(sum(weight) FILTER (WHERE full_), 0)::BIGINT)::DOUBLE AS level FROM f),
+t AS (SELECT f.*, CASE WHEN full_ THEN most::DOUBLE ELSE level * weight END AS target,
+             greatest(1, ceil(amount / 1048576))::BIGINT AS block FROM f, l),
+p AS (SELECT *, floor(target)::BIGINT AS points FROM t),
+q AS (SELECT *, coalesce(sum(points) OVER (ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS low,
+             (sum(points) OVER ())::BIGINT AS points_all FROM p),
+g AS (SELECT i, floor((i * 0.6180339887498949::DOUBLE) % 1 * (SELECT any_value(points_all) FROM q))::BIGINT AS place
+      FROM range((SELECT floor(any_value(amount) / any_value(block))::BIGINT FROM q)) r(i)),
+k AS (SELECT nth, row_number() OVER (PARTITION BY nth ORDER BY i) - 1 AS r, ceil(source_size::DOUBLE / block)::BIGINT AS blocks
+      FROM g ASOF JOIN (SELECT * FROM q WHERE points > 0) q ON place >= low),
+u AS (SELECT nth, r % blocks AS blk, count(*) AS uses FROM k WHERE r < 2 * blocks GROUP BY ALL),
+x AS (SELECT doc_id, size, source_size, target, nth, block,
+             coalesce(sum(size) OVER (PARTITION BY nth ORDER BY o, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+y AS (SELECT *, unnest(range(a // block, CASE WHEN size > 0 THEN (a + size - 1) // block + 1 ELSE a // block + 1 END)) AS blk FROM x)
+SELECT doc_id, size, source_size, target,
+       sum(CASE WHEN size > 0 THEN (least(a + size, (blk + 1) * block) - greatest(a, blk * block)) * coalesce(uses, 0) ELSE 0 END)::BIGINT AS taken
+FROM y LEFT JOIN u USING (nth, blk) GROUP BY doc_id, size, source_size, target, a
+"""
+
 _WORDS = ("casino", "escort", "poker", "porn", "torrent", "viagra", "warez", "xxx")
 _PATTERN = "CASE " + " ".join(
     f"WHEN regexp_matches(lower(host || path), '(^|[^a-z0-9]){w}([^a-z0-9]|$)') THEN '{w}'" for w in _WORDS
@@ -53,6 +86,7 @@ FROM q
 
 ORACLES = {
     "op1_exact_dedup": OP1,
+    "op4_mixing": OP4,
     "op6_url_rules": OP6,
     "op10_line_dedup": OP10,
 }

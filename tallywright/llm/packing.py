@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import stored
+from tallywright.llm.common import stored, sums_before
 
 CAPACITY, END = 2048, 1
 #: lengths up to EXACT are classes of their own, longer ones are rounded up to a multiple of STEP
@@ -178,21 +178,6 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
     return [(t, {int(lengths[k]): int(c[k]) for k in np.flatnonzero(c)}) for t, c in chosen]
 
 
-def ranked(rows: DataFrame, key: str, unique: str, total: int) -> DataFrame:
-    """Adds ``rank``: from 0 within ``key``. A key is numbered in parts, so it may hold most rows."""
-    parts = max(1, -(-total // PART))
-    rows = rows.withColumn("_part", F.pmod(F.xxhash64(unique), F.lit(parts)))
-    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy(key, "_part").agg(F.count("*").alias("_n"))
-    offsets = offsets.select(key, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    nth = F.row_number().over(Window.partitionBy(key, "_part").orderBy(unique))
-    return (
-        rows.withColumn("_nth", nth).join(offsets, [key, "_part"])
-        .withColumn("rank", F.col("_before") + F.col("_nth") - 1)
-        .drop("_part", "_before", "_nth")
-    )
-
-
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces with a ``length`` of at most ``capacity``."""
     spark = cut.sparkSession
@@ -207,9 +192,11 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             taken[k] += times * each
         first += times
     table = spark.createDataFrame(places, "_class long, _from long, _to long, _each long, _first long")
+    parts = max(1, -(-sum(histogram.values()) // PART))
+    part = F.pmod(F.xxhash64("_piece"), F.lit(parts))
     # the table has a row for each class of each pattern: bounded by the capacity, not by the pieces
     placed = (
-        ranked(narrow, "_class", "_piece", sum(histogram.values()))
+        sums_before(narrow, ["_class"], part, ["_piece"], rank=F.lit(1))
         .join(F.broadcast(table), "_class").where("rank >= _from AND rank < _to")
         .select("_piece", "length", F.expr("_first + (rank - _from) div _each").alias("sequence_id"))
     )

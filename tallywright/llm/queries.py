@@ -10,6 +10,7 @@ from tallywright.llm.common import documents
 from tallywright.llm.exact_dedup import DigestIndex
 from tallywright.llm.language_id import identify
 from tallywright.llm.line_dedup import drop_shared_lines
+from tallywright.llm.mixing import mix
 from tallywright.llm.packing import pack_documents
 from tallywright.llm.personal_data import BASE, joined, personal_data
 from tallywright.llm.toxicity import scored
@@ -24,6 +25,10 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(documents(spark, folder, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -57,6 +62,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_packing": op3_packing,
+    "op4_mixing": op4_mixing,
     "op6_url_rules": op6_url_rules,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
