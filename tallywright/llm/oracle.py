@@ -28,6 +28,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM k JOIN f USING (key) GROUP BY doc_id
 """
 
+OP2 = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS ints FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+c AS (SELECT vec_id, unnest(ints) AS x, generate_subscripts(ints, 1) AS i FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+      FROM c q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL),
+r AS (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP4 = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -86,6 +97,7 @@ FROM q
 
 ORACLES = {
     "op1_exact_dedup": OP1,
+    "op2_vector_search": OP2,
     "op4_mixing": OP4,
     "op6_url_rules": OP6,
     "op10_line_dedup": OP10,

@@ -15,12 +15,17 @@ from tallywright.llm.packing import pack_documents
 from tallywright.llm.personal_data import BASE, joined, personal_data
 from tallywright.llm.toxicity import scored
 from tallywright.llm.url_rules import judge
+from tallywright.llm.vector_search import top_k
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return DigestIndex.temporary(spark).admit(documents(spark, folder))
 
 
+def op2_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(documents(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -61,6 +66,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_vector_search": op2_vector_search,
     "op3_packing": op3_packing,
     "op4_mixing": op4_mixing,
     "op6_url_rules": op6_url_rules,
