@@ -72,6 +72,21 @@ SELECT doc_id, size, source_size, target,
 FROM y LEFT JOIN u USING (nth, blk) GROUP BY doc_id, size, source_size, target, a
 """
 
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
+"""
+
 _WORDS = ("casino", "escort", "poker", "porn", "torrent", "viagra", "warez", "xxx")
 _PATTERN = "CASE " + " ".join(
     f"WHEN regexp_matches(lower(host || path), '(^|[^a-z0-9]){w}([^a-z0-9]|$)') THEN '{w}'" for w in _WORDS
@@ -99,6 +114,7 @@ ORACLES = {
     "op1_exact_dedup": OP1,
     "op2_vector_search": OP2,
     "op4_mixing": OP4,
+    "op5_near_dedup": OP5,
     "op6_url_rules": OP6,
     "op10_line_dedup": OP10,
 }

@@ -11,6 +11,7 @@ from tallywright.llm.exact_dedup import DigestIndex
 from tallywright.llm.language_id import identify
 from tallywright.llm.line_dedup import drop_shared_lines
 from tallywright.llm.mixing import mix
+from tallywright.llm.near_dedup import near_duplicates
 from tallywright.llm.packing import pack_documents
 from tallywright.llm.personal_data import BASE, joined, personal_data
 from tallywright.llm.toxicity import scored
@@ -34,6 +35,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder))
+
+
 def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge(documents(spark, folder, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_vector_search": op2_vector_search,
     "op3_packing": op3_packing,
     "op4_mixing": op4_mixing,
+    "op5_near_dedup": op5_near_dedup,
     "op6_url_rules": op6_url_rules,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
