@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywright.session import shared_folder, stored
 
-__all__ = ["FEW", "by_weight", "documents", "in_order", "same", "shared_folder", "stored", "sums_before", "words_in"]
+__all__ = ["FEW", "by_weight", "documents", "free", "in_order", "same", "shared_folder", "stored", "sums_before", "words_in"]
 
 #: a key counts as heavy if it holds at least one row in this many; so there are at most this many heavy keys
 FEW = 1000
@@ -23,6 +23,12 @@ def documents(spark: SparkSession, folder: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of the frame has, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(n for n in (f"{'_' * i}{name}" for i in range(1, len(taken) + 2)) if n not in taken) for name in names]
+
+
 def words_in(text: Column) -> Column:
     """Number of words: runs of other than white space. A missing text has none."""
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")

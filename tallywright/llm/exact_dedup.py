@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import BLANKS, by_weight, same, shared_folder, stored
+from tallywright.llm.common import BLANKS, by_weight, free, same, shared_folder, stored
 
 
 def normalised(text):
@@ -97,7 +97,9 @@ class DigestIndex:
 def without_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The documents that stay, with all their columns."""
     kept = (index or DigestIndex.temporary(docs.sparkSession)).admit(docs).where("kept").select("doc_id", "text_sha256")
-    tagged = docs.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256))
-    keys = ["doc_id", "text_sha256"]
+    (tag,) = free(docs, "sha256")
+    tagged = docs.withColumn(tag, F.sha2(normalised(F.col("text")), 256))
+    keys = ["doc_id", tag]
+    kept = kept.withColumnRenamed("text_sha256", tag)
     # rows that repeat an id and a text meet in the same task; copies of one text under one id are one document
     return tagged.join(kept, same(tagged, kept, keys), "left_semi").dropDuplicates(keys).select(docs.columns)

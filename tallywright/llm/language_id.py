@@ -6,7 +6,8 @@ Texts are scored in batches: the n-grams of a batch are one sparse matrix (docum
 multiplied with the matrix by summing the rows that each document selects.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, and for every text if there was
-nothing to learn from. Languages that tie go to the first by code point. Other columns pass through.
+nothing to learn from. Languages that tie go to the first by code point. Other columns pass
+through; one of the same name as a result is replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.llm.common import free
+
 #: slots that n-grams are hashed to; lengths of the n-grams; labelled rows learned from, for each language
 SLOTS, LENGTHS, ROWS_PER_LANGUAGE = 1 << 15, (1, 2, 3), 2000
 #: characters that are handled at once, so that neither a long text nor a full batch needs much memory
@@ -115,7 +118,7 @@ def learn(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
     """Learns from rows with a text and a language: of each about ``rows_per_language``, drawn by a hash of the id."""
     is_letter = letters()
     shared = docs.sparkSession.sparkContext.broadcast(is_letter)
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
+    known = docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     # one row for each language; the sample is taken where the rows are, without moving a text
     shares = known.groupBy("lang").agg(F.count("*").alias("rows"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
@@ -152,13 +155,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def identify(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """Adds ``held_out``, ``lang_pred`` and ``score``, learned from the rows that are not held out."""
     model = learn(docs.where(~held_out()), rows_per_language)
-    result = docs.withColumn("_language", language_of(docs, model))
+    (found,) = free(docs, "language")
+    result = docs.withColumn(found, language_of(docs, model))
     return result.withColumns(
-        {"held_out": held_out(), "lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}
-    ).drop("_language")
+        {"held_out": held_out(), "lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")}
+    ).drop(found)
 
 
 def in_a_language(docs: DataFrame) -> DataFrame:
     """The documents that have a language: texts without a single letter go."""
     found = language_of(docs, learn(docs.where(~held_out())))
-    return docs.withColumn("_language", found).where("_language.lang_pred <> 'und'").select(docs.columns)
+    return docs.where(found["lang_pred"] != "und")

@@ -6,6 +6,7 @@ document, and the remaining ones pick its lines in order: linear in the number o
 
 Defined results: a null or empty text is one empty line. A line that is blank once stripped never goes. Every
 row counts as a document of its own; rows that repeat an id are told apart by their text.
+Other columns pass through; one of the same name as a result is replaced.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import BLANKS, by_weight, stored
+from tallywright.llm.common import BLANKS, by_weight, free, stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -31,18 +32,19 @@ def drop_shared_lines(
     A line goes if its key has at least ``min_points`` code points and occurs in at least ``min_documents``.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    tagged = docs.withColumns({"_lines": F.split(body, "\n", -1), "_id": F.col(doc_id), "_tag": F.xxhash64(body)})
+    id_, tag, lines_, out, place_id, place_tag = free(docs, "id", "tag", "lines", "out", "place_id", "place_tag")
+    tagged = docs.withColumns({lines_: F.split(body, "\n", -1), id_: F.col(doc_id), tag: F.xxhash64(body)})
     keyed = tagged.select(
-        "_id", "_tag",
+        F.col(id_).alias("id"), F.col(tag).alias("tag"),
         F.transform(
-            "_lines",
+            lines_,
             lambda line: F.when(
                 F.length(line_key(line)) >= F.lit(min_points), F.unhex(F.md5(line_key(line)))
             ),
         ).alias("keys"),
     )
     keyed = stored(keyed, "line-keys")
-    lines = keyed.select("_id", "_tag", F.posexplode("keys").alias("pos", "key")).where("key IS NOT NULL")
+    lines = keyed.select("id", "tag", F.posexplode("keys").alias("pos", "key")).where("key IS NOT NULL")
     shared = stored(
         keyed.select(F.explode(F.array_distinct("keys")).alias("key"))
         .where("key IS NOT NULL")
@@ -52,17 +54,15 @@ def drop_shared_lines(
     )
     places = (
         by_weight(lines, shared, "key", "documents", keyed.count())
-        .groupBy("_id", "_tag").agg(F.collect_set("pos").alias("_out"))
+        .groupBy("id", "tag").agg(F.collect_set("pos").alias(out))
     )
-    places = places.select(F.col("_id").alias("_place_id"), F.col("_tag").alias("_place_tag"), "_out")
-    joined = tagged.join(
-        places, F.col("_id").eqNullSafe(F.col("_place_id")) & (F.col("_tag") == F.col("_place_tag")), "left"
-    )
-    n_lines = F.size("_lines")
-    kept = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("_out"))
-    picked = F.transform(kept, lambda at: F.get(F.col("_lines"), at))
+    places = places.withColumnsRenamed({"id": place_id, "tag": place_tag})
+    joined = tagged.join(places, F.col(id_).eqNullSafe(F.col(place_id)) & (F.col(tag) == F.col(place_tag)), "left")
+    n_lines = F.size(lines_)
+    kept = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col(out))
+    picked = F.transform(kept, lambda at: F.get(F.col(lines_), at))
     return joined.withColumns({
-        "kept_text": F.when(F.col("_out").isNull(), body).otherwise(F.array_join(picked, "\n")),
+        "kept_text": F.when(F.col(out).isNull(), body).otherwise(F.array_join(picked, "\n")),
         "n_lines": n_lines.cast("long"),
-        "n_dropped": F.coalesce(F.size("_out"), F.lit(0)).cast("long"),
-    }).drop("_lines", "_id", "_tag", "_place_id", "_place_tag", "_out")
+        "n_dropped": F.when(F.col(out).isNull(), 0).otherwise(F.size(out)).cast("long"),
+    }).drop(lines_, id_, tag, place_id, place_tag, out)

@@ -85,7 +85,7 @@ def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = shingles(text, hashes)
             key = xxhash.xxh3_128_digest(found.tobytes())
             rows.append((doc_id, len(found), key, signature(found).astype(np.int64) if len(found) else None))
-        yield pd.DataFrame(rows, columns=["doc_id", "n", "set_key", "coordinates"]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(rows, columns=["doc_id", "n", "set_key", "coordinates"])
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,9 +194,11 @@ def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataF
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row."""
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = stored(
-        plain.mapInPandas(_described, "doc_id long, n long, set_key binary, coordinates array<long>"), "shingled"
+    # ids pass as text: pandas has no integer column with nulls
+    described = plain.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        _described, "doc_id string, n long, set_key binary, coordinates array<long>"
     )
+    rows = stored(described.withColumn("doc_id", F.col("doc_id").cast("long")), "shingled")
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     classes = stored(
         rows.where(linked).groupBy("set_key").agg(

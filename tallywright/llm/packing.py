@@ -80,18 +80,19 @@ def _cutter(path: str, capacity: int, with_ids: bool):
                         row = (doc_id, start // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4)
                         found.append((*row, np.frombuffer(piece, "<u4").astype(np.int32)) if with_ids else row)
                 columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
-                out = pd.DataFrame(found, columns=columns)
-                yield out.astype({"doc_id": "Int64"})
+                yield pd.DataFrame(found, columns=columns)
 
     return cut
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """The pieces of all documents, in their order; ``with_ids`` adds the token ids."""
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(
+    schema = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    # ids pass as text: pandas has no integer column with nulls
+    cut = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string")).mapInPandas(
         _cutter(tokenizer, capacity, with_ids), schema
     )
+    return cut.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def class_of(length, step: int = STEP, exact: int = EXACT):

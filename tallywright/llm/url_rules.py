@@ -8,6 +8,7 @@ Host rules come first: of those that fit, the longest decides, a block before an
 Without one, a pattern rule that matches blocks, else the URL is allowed.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and is allowed.
+Other columns pass through; one of the same name as a result is replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.llm.common import free
+
 _TOKEN = "[a-z0-9]+"
 _CASES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -67,7 +70,7 @@ def _parts(url):
 def _index(urls: DataFrame, rules: tuple[Rule, ...]) -> dict[str, list[Rule]]:
     """Rules under their rarest token; those without one under the empty token. One count for each rule token."""
     tokens = sorted({t for r in rules for t in r.tokens})
-    address = F.lower(F.concat("_at.host", "_at.path"))
+    address = F.lower(F.concat("host", "path"))
     counts = dict(
         urls.select(F.explode(F.array_distinct(F.regexp_extract_all(address, F.lit(_TOKEN), F.lit(0)))).alias("token"))
         .where(F.col("token").isin(tokens))
@@ -81,8 +84,9 @@ def _index(urls: DataFrame, rules: tuple[Rule, ...]) -> dict[str, list[Rule]]:
 
 def judge(pages: DataFrame, host_rules=HOST_RULES, word_rules=WORD_RULES, url: str = "url") -> DataFrame:
     """Adds host, path, rule (null if no host rule fits), pattern (null if no pattern rule was needed), verdict."""
-    parted = pages.withColumn("_at", _parts(F.coalesce(F.col(url), F.lit(""))))
-    index = _index(parted, (*host_rules, *word_rules))
+    at, says = free(pages, "at", "says")
+    parted = pages.withColumn(at, _parts(F.coalesce(F.col(url), F.lit(""))))
+    index = _index(parted.select(f"{at}.host", f"{at}.path"), (*host_rules, *word_rules))
 
     @F.pandas_udf("rule string, pattern string, verdict string")
     def decide(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
@@ -99,8 +103,8 @@ def judge(pages: DataFrame, host_rules=HOST_RULES, word_rules=WORD_RULES, url: s
             ))
         return pd.DataFrame(found, columns=["rule", "pattern", "verdict"])
 
-    judged = parted.withColumn("_says", decide("_at.host", "_at.path"))
+    judged = parted.withColumn(says, decide(f"{at}.host", f"{at}.path"))
     return judged.withColumns({
-        **{k: F.col(f"_at.{k}") for k in ("host", "path")},
-        **{k: F.col(f"_says.{k}") for k in ("rule", "pattern", "verdict")},
-    }).drop("_at", "_says")
+        **{k: F.col(f"{at}.{k}") for k in ("host", "path")},
+        **{k: F.col(f"{says}.{k}") for k in ("rule", "pattern", "verdict")},
+    }).drop(at, says)
