@@ -95,8 +95,8 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for node, text, key in zip(batch["node"], batch["text"], batch["set_key"]):
             found = shingles(text, hashes)
             if xxhash.xxh3_128_digest(found.tobytes()) == bytes(key):
-                rows.append((node, len(found), found.view(np.int64)))
-        yield pd.DataFrame(rows, columns=["node", "n", "shingles"])
+                rows.append((node, len(found), found.view(np.int64), signature(found).astype(np.int64)))
+        yield pd.DataFrame(rows, columns=["node", "n", "shingles", "coordinates"])
 
 
 def _alike(inter, one, other):
@@ -124,12 +124,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = stored(pairs, "pairs")
     counts = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pair-counts")
     salts = F.ceil(F.col("pairs") / TOGETHER)
-    mine = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("set_a"))
-    theirs = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("set_b"))
+    mine = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("set_a"), F.col("coordinates").alias("coordinates_a"))
+    theirs = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("set_b"), F.col("coordinates").alias("coordinates_b"))
     theirs = theirs.join(counts, "b").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("pairs")
     salted = by_weight(pairs, counts, "b", "pairs", pairs.count()).withColumn("salt", F.pmod(F.xxhash64("a"), salts))
     met = salted.select("a", "b", "salt").join(mine, "a").join(theirs, ["b", "salt"])
     met = met.where(_alike(F.least("n_a", "n_b"), F.least("n_a", "n_b"), F.greatest("n_a", "n_b")))
+    collisions = F.size(F.filter(F.zip_with("coordinates_a", "coordinates_b", lambda x, y: x == y), lambda same: same))
+    met = met.where(collisions >= MATCHES)
     return met.where(_alike(F.size(F.array_intersect("set_a", "set_b")), F.col("n_a"), F.col("n_b"))).select("a", "b")
 
 
@@ -175,20 +177,28 @@ def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataF
     sizes = stored(open_.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "open-lists")
     salts = F.ceil(F.col("size") / TOGETHER)
     sized = stored(by_weight(open_, sizes, "key", "size", open_.count()), "open-sized")
-    stray = sized.where("component <> centre_component").select(
-        "key", F.col("node").alias("b"), F.col("component").alias("component_b"),
+    lists = sized.groupBy("node").agg(F.collect_list("key").alias("lists"))  # at most a node's prefix
+    sized = stored(sized.join(lists, "node"), "open-listed")
+    strays = F.col("component") != F.col("centre_component")
+    stray = sized.where(strays).select(
+        "key", F.col("node").alias("b"), F.col("lists").alias("lists_b"), F.col("component").alias("component_b"),
         F.col("n").alias("n_b"), (F.col("n") - F.col("own")).alias("common_b"),
         F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"),
     )
     every = sized.select(
-        "key", F.col("node").alias("a"), F.col("component").alias("component_a"),
-        F.col("n").alias("n_a"), (F.col("n") - F.col("own")).alias("common_a"),
+        "key", F.col("node").alias("a"), F.col("lists").alias("lists_a"), strays.alias("stray_a"),
+        F.col("component").alias("component_a"), F.col("n").alias("n_a"), (F.col("n") - F.col("own")).alias("common_a"),
         F.pmod(F.xxhash64("node"), salts).alias("salt"),
     )
-    pairs = every.join(stray, ["key", "salt"]).where("component_a <> component_b").where(
-        _alike(F.least("common_a", "common_b"), F.col("n_a"), F.col("n_b"))
-    )
-    return _confirmed(pairs.select("a", "b").distinct(), sets)
+    # a pair is taken up once, in the first list that both are in
+    first = F.col("x.key") == F.array_min(F.array_intersect("lists_a", "lists_b"))
+    once = first & (~F.col("stray_a") | (F.col("a") < F.col("b")))
+    pairs = every.alias("x").join(
+        stray.alias("y"),
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("component_a") != F.col("component_b"))
+        & _alike(F.least("common_a", "common_b"), F.col("n_a"), F.col("n_b")) & once,
+    )
+    return _confirmed(pairs.select("a", "b"), sets)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -210,11 +220,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prefixes = stored(_prefixes(classes.dropDuplicates(["node"])), "prefixes")
     sets = classes.select("node", "set_key").join(prefixes.select("node").distinct(), "node", "left_semi")
     sets = plain.join(sets, plain["doc_id"] == sets["node"]).select("node", "text", "set_key")
-    sets = stored(sets.mapInPandas(_sets, "node long, n long, shingles array<long>").dropDuplicates(["node"]), "sets")
+    sets = stored(sets.mapInPandas(_sets, "node long, n long, shingles array<long>, coordinates array<long>").dropDuplicates(["node"]), "sets")
     links = stored(_starred(prefixes, sets), "star-links")
     labels = stored(components(links), "star-components")
     more = stored(_remaining(prefixes, sets, labels), "other-links")
-    labels = components(links.unionByName(more))
+    if not more.isEmpty():
+        # what is linked already needs one link to its component only
+        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     found = classes.join(labels, "node", "left").select("set_key", "rows", F.coalesce("component", "node").alias("component_id"))
     parts = rows.select("doc_id", "n", "set_key")
     alone = parts.where(~linked).withColumn("component_id", F.col("doc_id"))
