@@ -13,6 +13,7 @@ each. An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -30,8 +31,8 @@ EXACT, STEP = 32, 16
 GAP = 0.002
 #: pieces that one task numbers
 PART = 50_000
-#: words whose ids a task keeps at once, and documents that it tokenizes together
-KEPT_WORDS, TOGETHER = 300_000, 500
+#: words whose ids a task keeps at once, characters that it splits together, and new words in one call
+KEPT_WORDS, TOGETHER, AT_ONCE = 800_000, 1 << 22, 512
 
 
 class Words:
@@ -52,16 +53,61 @@ class Words:
         # the tokenizer ignores case too; only a final sigma depends on its neighbours
         return (text if "Σ" in text else text.lower()).replace("\n", " ").split(" ")
 
+    def _learn(self, new: set[str]) -> None:
+        """Ids of new words, many in one call: the offsets of the tokens tell whose they are."""
+        ids = self._ids
+        # a full stop or comma after letters alone is a token of its own, so the letters' ids do
+        ends = [w for w in new if len(w) > 1 and w[-1] in ".," and w[:-1].isalpha()]
+        needed = list(new.difference(ends).union((w[:-1] for w in ends), ".,").difference(ids))
+        groups = [needed[at : at + AT_ONCE] for at in range(0, len(needed), AT_ONCE)]
+        for group, found in zip(groups, self._tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            starts = np.cumsum([0, *(len(w) + 1 for w in group)])
+            cuts = (4 * np.searchsorted([at for at, _ in found.offsets], starts)).tolist()
+            numbers = np.array(found.ids, "<u4").tobytes()
+            for word, start, end in zip(group, cuts, cuts[1:]):
+                ids[word] = numbers[start:end]
+        for word in ends:
+            ids[word] = ids[word[:-1]] + ids[word[-1]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         rows = [self._split(t) for t in texts]
         if len(self._ids) > KEPT_WORDS:
             self._ids.clear()
-        new = list({w for row in rows for w in row} - self._ids.keys())
-        for word, found in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-            self._ids[word] = np.array(found.ids, "<u4").tobytes()
-        ids = self._ids
-        return [b"".join([ids[w] for w in row]) for row in rows]
+        self._learn(set().union(*rows).difference(self._ids))
+        ids = self._ids.__getitem__
+        return [b"".join(map(ids, row)) for row in rows]
+
+
+def _slices(text: str) -> list[str]:
+    """A long text in slices that end at a blank, so that memory does not follow its length."""
+    found = []
+    while len(text) > TOGETHER and (at := max(text.rfind(" ", 0, TOGETHER), text.rfind("\n", 0, TOGETHER))) > 0:
+        found.append(text[:at])
+        text = text[at:]
+    return [*found, text]
+
+
+def _encoded(words: Words, texts: Iterator[str]) -> Iterator[bytes]:
+    """The ids of each text, in turn."""
+    held: list[str] = []
+    counts: list[int] = []
+
+    def flush() -> Iterator[bytes]:
+        parts = iter(words.encode(held))
+        yield from [b"".join(itertools.islice(parts, n)) for n in counts]
+        held.clear(), counts.clear()
+
+    size = 0
+    for text in texts:
+        slices = _slices(text)
+        held += slices
+        counts.append(len(slices))
+        size += len(text)
+        if size > TOGETHER:
+            yield from flush()
+            size = 0
+    yield from flush()
 
 
 def _cutter(path: str, capacity: int, with_ids: bool):
@@ -69,18 +115,16 @@ def _cutter(path: str, capacity: int, with_ids: bool):
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words(path)
+        columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
         for batch in batches:
-            for at in range(0, len(batch), TOGETHER):
-                found = []
-                some = batch.iloc[at : at + TOGETHER]
-                for doc_id, ids in zip(some["doc_id"], words.encode([t or "" for t in some["text"]])):
-                    ids += end
-                    for start in range(0, len(ids), 4 * capacity):
-                        piece = ids[start : start + 4 * capacity]
-                        row = (doc_id, start // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4)
-                        found.append((*row, np.frombuffer(piece, "<u4").astype(np.int32)) if with_ids else row)
-                columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
-                yield pd.DataFrame(found, columns=columns)
+            found = []
+            for doc_id, ids in zip(batch["doc_id"], _encoded(words, (t or "" for t in batch["text"]))):
+                ids += end
+                for start in range(0, len(ids), 4 * capacity):
+                    piece = ids[start : start + 4 * capacity]
+                    row = (doc_id, start // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4)
+                    found.append((*row, np.frombuffer(piece, "<u4").astype(np.int32)) if with_ids else row)
+            yield pd.DataFrame(found, columns=columns)
 
     return cut
 
