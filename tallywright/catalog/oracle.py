@@ -95,30 +95,33 @@ RELATIONS: dict[str, str] = {
         SELECT o_orderkey AS order_id, o_custkey AS user_id, {_status('o_orderstatus', 'o_orderkey')} AS status,
                o_orderdate AS created_at FROM orders""",
     "src_orders": f"""
-        SELECT h.*, num_of_item, {_SHIPPED} AS shipped_at, {_DELIVERED} AS delivered_at, {_RETURNED} AS returned_at
-        FROM heads h JOIN (SELECT l_orderkey, count(*) AS num_of_item FROM lineitem GROUP BY 1) ON l_orderkey = order_id""",
+        SELECT *, {_SHIPPED} AS shipped_at, {_DELIVERED} AS delivered_at, {_RETURNED} AS returned_at
+        FROM (SELECT order_id, user_id, status, coalesce(n, 1) AS num_of_item,
+                     CASE WHEN n IS NULL THEN TIMESTAMP '2001-07-30' + to_days(CAST(order_id % 3 AS INT))
+                          ELSE created_at END AS created_at
+              FROM heads LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = order_id)""",
     "src_items": f"""
         SELECT {_LINE_ID} AS id, order_id, user_id, l_partkey AS product_id, {_LINE_ID} AS inventory_item_id, status,
                (cents - floor(cents * CAST(round(l_discount * 100) AS BIGINT) / 100.0)) / 100.0 AS sale_price,
                created_at, {_SHIPPED} AS shipped_at, {_DELIVERED} AS delivered_at, {_RETURNED} AS returned_at
-        FROM (SELECT *, 1099 + (l_partkey * 700) % 29000 AS cents FROM lineitem) JOIN heads ON l_orderkey = order_id
-        WHERE created_at < TIMESTAMP '2001-07-30'""",
+        FROM (SELECT *, 1099 + (l_partkey * 700) % 29000 AS cents FROM lineitem) JOIN heads ON l_orderkey = order_id""",
     "src_inventory": f"""
-        SELECT {_LINE_ID} AS id, l_partkey AS product_id, l_partkey % 10 AS distribution_center_id,
+        SELECT {_LINE_ID} + if(l_linenumber = 7 AND l_orderkey % 50 = 0, 1152921504606846976, 0) AS id,
+               l_partkey AS product_id, l_partkey % 25 AS distribution_center_id,
                floor((1099 + (l_partkey * 700) % 29000) * (40 + l_suppkey % 20) / 100.0) / 100.0 AS cost,
                l_shipdate - to_days(CAST(10 + l_linenumber AS INT)) AS created_at, l_shipdate AS sold_at
-        FROM lineitem WHERE NOT (l_linenumber = 7 AND l_orderkey % 50 = 0)
+        FROM lineitem
         UNION ALL
-        SELECT 1000000000000 + p_partkey, p_partkey, p_partkey % 10,
+        SELECT 1000000000000 + p_partkey, p_partkey, p_partkey % 25,
                floor((1099 + (p_partkey * 700) % 29000) * 0.5) / 100.0, TIMESTAMP '1995-01-01', NULL FROM part""",
     "src_products": """
-        SELECT p_partkey AS id, p_partkey % 10 AS distribution_center_id, 'SKU' || p_partkey AS sku, p_name AS name,
+        SELECT p_partkey AS id, p_partkey % 25 AS distribution_center_id, 'SKU' || p_partkey AS sku, p_name AS name,
                p_brand AS brand, p_type AS category, if(p_partkey % 2 = 0, 'Men', 'Women') AS department,
                (1099 + (p_partkey * 700) % 29000) / 100.0 AS retail_price,
                floor((1099 + (p_partkey * 700) % 29000) * 0.5) / 100.0 AS cost FROM part""",
     "src_centers": """
-        SELECT s_suppkey AS id, s_name AS name, CAST(s_nationkey AS DOUBLE) AS latitude,
-               CAST(2 * s_nationkey AS DOUBLE) AS longitude FROM supplier WHERE s_suppkey < 10""",
+        SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(n_nationkey AS DOUBLE) AS latitude,
+               CAST(2 * n_nationkey AS DOUBLE) AS longitude FROM nation""",
     "src_events": """
         SELECT event_id AS id, user_id, user_id || '-' || strftime(ts, '%Y-%m-%d') AS session_id,
                event_id % 10 + 1 AS sequence_number, event_type,
@@ -161,7 +164,7 @@ RELATIONS: dict[str, str] = {
         SELECT id AS event_id, user_id, session_id, sequence_number, event_type, {_clean('traffic_source')} AS traffic_source,
                browser, uri AS page_uri, {_clean('blank')} AS city, {_clean('blank')} AS state,
                {_clean('blank')} AS postal_code, created_at AS occurred_at, CAST(created_at AS DATE) AS occurred_date
-        FROM src_events WHERE created_at BETWEEN TIMESTAMP '1994-01-01' AND TIMESTAMP '2024-01-20'""",
+        FROM src_events WHERE created_at BETWEEN TIMESTAMP '1994-01-01' AND TIMESTAMP '2024-12-31'""",
     # units and orders
     "units": f"""
         SELECT *, net_revenue - net_cogs AS net_gross_profit,
@@ -987,6 +990,13 @@ ORACLES["mq_offset"] = _out(
     "sum(net_revenue) AS v FROM m_orders LEFT JOIN c_users USING (user_id) GROUP BY 1, 2) p "
     "ON p.m = c.m - INTERVAL 1 MONTH AND p.country IS NOT DISTINCT FROM c.country",
 )
+ORACLES["mq_offset_day"] = _out(
+    "metric_time__day net_revenue net_revenue_mom_growth",
+    f"SELECT c.d AS metric_time__day, c.v AS net_revenue, {_GROWTH} AS net_revenue_mom_growth FROM "
+    "(SELECT ordered_date AS d, sum(net_revenue) AS v FROM m_orders GROUP BY 1) c LEFT JOIN "
+    "(SELECT ordered_date AS d, sum(net_revenue) AS v FROM m_orders GROUP BY 1) p "
+    "ON p.d = CAST(c.d - INTERVAL 1 MONTH AS DATE)",
+)
 ORACLES["mq_time_grain"] = _out(
     "metric_time net_revenue order_count grain",
     "SELECT * FROM ("

@@ -30,7 +30,7 @@ from tallywright.sources.sample import raw_orders_and_items, raw_tables, sample_
 SAMPLE_CONFIG = Config(
     analysis_start=date(1994, 1, 1), clamp_ts=datetime(2001, 8, 1), volume_warm_up=2.0
 )
-EVENTS_CONFIG = replace(SAMPLE_CONFIG, clamp_ts=datetime(2024, 1, 20))
+EVENTS_CONFIG = replace(SAMPLE_CONFIG, clamp_ts=datetime(2024, 12, 31))
 FRESHNESS_NOW = datetime(2001, 8, 2, 12)
 
 
@@ -558,6 +558,9 @@ _add(
     mq_offset=lambda w: metrics.metric_query(
         w.frame, ["net_revenue", "net_revenue_mom_growth"], ["metric_time__month", "customer__country"]
     ),
+    mq_offset_day=lambda w: metrics.metric_query(
+        w.frame, ["net_revenue", "net_revenue_mom_growth"], ["metric_time__day"]
+    ),
     mq_zero_fill=lambda w: metrics.metric_query(
         w.frame, ["net_revenue", "orders_placed"], ["metric_time"], grain="day", fill_zero=True
     ),

@@ -74,8 +74,7 @@ def with_ntile(df: DataFrame, buckets: int, order_by: Sequence[Column], name: st
 def top_within(df: DataFrame, groups: Sequence[str], order_by: Sequence[Column], k: int, name: str) -> DataFrame:
     """The first k rows of each group with their rank.
 
-    The filter on the rank lets Spark cut each group to k rows before the
-    shuffle, so no large group is ever gathered.
+    Ranked without gathering a group, and alike for every k. The sort key must
+    be unique.
     """
-    ranked = Window.partitionBy(*groups).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(ranked)).where(F.col(name) <= k)
+    return rank_within(df, groups, order_by, name).where(F.col(name) <= k)

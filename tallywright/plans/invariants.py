@@ -124,7 +124,7 @@ def reconcile_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def unreconciled_revenue(orders: DataFrame, items: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    return reconcile_revenue(orders, items).where(F.col("difference") > F.lit(str(tolerance)).cast("decimal(18,2)"))
+    return reconcile_revenue(orders, items).where(F.col("difference") > F.lit(str(tolerance)).cast("decimal(38,18)"))
 
 
 def invariant(name: str, frames: Callable[[str], DataFrame], cfg: Config) -> DataFrame:

@@ -310,37 +310,22 @@ def _value(name: str) -> Column:
 def _with_prior(result: DataFrame, group_by: Sequence[str], grain: str | None, metric: Metric) -> DataFrame:
     """Adds the metric's value of the period a calendar offset earlier.
 
-    Every group also emits its value shifted forward; regrouping lines the two
-    up without a self-join, and a missing month stays missing.
+    The earlier period is looked up from each row, since one day may be the month
+    before several (the end of a short month). Both sides are the aggregated frame,
+    one row per group; null keys match.
     """
     times = [g for g in group_by if g.partition("__")[0] == "metric_time"]
-    if len(times) != 1 or (times[0].partition("__")[2] or grain or "day") not in ("day", "month"):
-        raise ValueError("growth needs metric_time by day or month")
+    if len(times) != 1:
+        raise ValueError("growth needs metric_time once among the groups")
     time, prior = times[0], f"_prior_{metric.growth_of}"
-    values = [c for c in result.columns if c not in group_by]
-    nothing = F.lit(None)
-    own = result.withColumn("_own", F.lit(True)).withColumn(prior, nothing.cast("decimal(38,2)"))
-    shifted = F.struct(
-        F.add_months(F.col(time), metric.offset_months).alias("t"),
-        F.lit(None).cast("boolean").alias("own"),
-        _value(metric.growth_of).cast("decimal(38,2)").alias("prior"),
-        *(nothing.cast(result.schema[v].dataType).alias(v) for v in values),
-    )
-    same = F.struct(
-        F.col(time).alias("t"),
-        F.col("_own").alias("own"),
-        F.col(prior).alias("prior"),
-        *(F.col(v).alias(v) for v in values),
-    )
-    others = [g for g in group_by if g != time]
-    both = own.select(*others, F.explode(F.array(same, shifted)).alias("_row"))
-    return (
-        both.select(
-            *others, F.col("_row.t").alias(time), F.col("_row.own").alias("_own"),
-            F.col("_row.prior").alias(prior), *(F.col(f"_row.{v}").alias(v) for v in values),
-        )
-        .groupBy(*group_by)
-        .agg(F.max("_own").alias("_own"), F.max(prior).alias(prior), *(F.max(v).alias(v) for v in values))
-        .where("_own")
-        .drop("_own")
+    unit = time.partition("__")[2] or grain or "day"
+    earlier = F.add_months(time, -metric.offset_months)
+    if unit != "day":
+        earlier = F.date_trunc(unit, earlier).cast("date")
+    elsewhere = result.select(
+        *(F.col(g).alias(f"_{g}") for g in group_by), _value(metric.growth_of).cast("decimal(38,2)").alias(prior)
     )
+    matches = [
+        (earlier if g == time else F.col(g)).eqNullSafe(F.col(f"_{g}")) for g in group_by
+    ]
+    return result.join(elsewhere, matches, "left").drop(*(f"_{g}" for g in group_by))

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
-
 #: what the operators rely on: UTC days, and splitting a hot join key even where
 #: that costs another shuffle
 SETTINGS = {
@@ -43,18 +39,16 @@ def local_session(cores: int = 8, name: str = "tallywright") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder ``spark.checkpoint.dir`` names, visible to every executor.
 
-    A local session without that setting gets a temporary folder; on a cluster a
-    missing setting is an error, since a machine-local folder would lose data.
+    Without that setting a session on one machine, as in tests, uses its own
+    warehouse; anywhere else it is an error, since files would be lost.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="tallywright-")
-    return _local_folders[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallywright-stored"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -12,20 +12,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: items of orders from this day on have not landed yet
-ITEMS_LANDED_BEFORE = datetime(2001, 7, 30)
-
-
-def _spread(lines: DataFrame) -> DataFrame:
-    """Distribute rows that arrive in fewer splits than there are cores.
-
-    The test files have one row group each, which a single task would read and
-    map. Tables with enough splits pass unchanged.
-    """
-    cores = lines.sparkSession.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() >= cores:
-        return lines
-    return lines.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+#: orders without lines are placed on the three days from here on: their items have not landed yet
+ITEMS_MISSING_FROM = datetime(2001, 7, 30)
+#: added to the id of an inventory unit that no item shall find; ids of lines have 60 bits
+UNMATCHED = 1 << 60
+CENTERS = 25
 
 
 def _days_after(ts: Column, days: Column) -> Column:
@@ -112,7 +103,12 @@ def _orders(t: dict[str, DataFrame]) -> DataFrame:
         _status(F.col("o_orderstatus"), F.col("o_orderkey")).alias("status"),
         F.col("o_orderdate").alias("created_at"),
     )
-    return heads.join(lines, heads.order_id == lines.l_orderkey).select(
+    late = _days_after(F.lit(ITEMS_MISSING_FROM).cast("timestamp_ntz"), F.col("order_id") % 3)
+    placed = heads.join(lines, heads.order_id == lines.l_orderkey, "left").withColumns({
+        "created_at": F.when(F.col("num_of_item").isNull(), late).otherwise(F.col("created_at")),
+        "num_of_item": F.coalesce("num_of_item", F.lit(1)),
+    })
+    return placed.select(
         "order_id",
         "user_id",
         "status",
@@ -123,7 +119,7 @@ def _orders(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _order_items(t: dict[str, DataFrame]) -> DataFrame:
-    lines = _spread(t["lineitem"]).select(
+    lines = t["lineitem"].select(
         _line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -132,7 +128,6 @@ def _order_items(t: dict[str, DataFrame]) -> DataFrame:
     )
     heads = (
         t["orders"]
-        .where(F.col("o_orderdate") < F.lit(ITEMS_LANDED_BEFORE).cast("timestamp_ntz"))
         .select(
             "o_orderkey",
             F.col("o_custkey").alias("user_id"),
@@ -156,13 +151,13 @@ def _order_items(t: dict[str, DataFrame]) -> DataFrame:
 
 def _inventory_items(t: dict[str, DataFrame]) -> DataFrame:
     cents = _retail_cents(F.col("l_partkey"))
+    unmatched = (F.col("l_linenumber") == 7) & (F.col("l_orderkey") % 50 == 0)
     sold = (
-        _spread(t["lineitem"])
-        .where(~((F.col("l_linenumber") == 7) & (F.col("l_orderkey") % 50 == 0)))
+        t["lineitem"]
         .select(
-            _line_id().alias("id"),
+            F.when(unmatched, _line_id() + UNMATCHED).otherwise(_line_id()).alias("id"),
             F.col("l_partkey").alias("product_id"),
-            (F.col("l_partkey") % 10).alias("product_distribution_center_id"),
+            (F.col("l_partkey") % CENTERS).alias("product_distribution_center_id"),
             (F.floor(cents * (40 + F.col("l_suppkey") % 20) / 100.0) / 100.0).alias("cost"),
             _days_after(F.col("l_shipdate"), -(10 + F.col("l_linenumber"))).alias("created_at"),
             F.col("l_shipdate").alias("sold_at"),
@@ -171,7 +166,7 @@ def _inventory_items(t: dict[str, DataFrame]) -> DataFrame:
     unsold = t["part"].select(
         (1000000000000 + F.col("p_partkey")).alias("id"),
         F.col("p_partkey").alias("product_id"),
-        (F.col("p_partkey") % 10).alias("product_distribution_center_id"),
+        (F.col("p_partkey") % CENTERS).alias("product_distribution_center_id"),
         (F.floor(_retail_cents(F.col("p_partkey")) * 0.5) / 100.0).alias("cost"),
         F.lit("1995-01-01").cast("timestamp_ntz").alias("created_at"),
         F.lit(None).cast("timestamp_ntz").alias("sold_at"),
@@ -183,7 +178,7 @@ def _products(t: dict[str, DataFrame]) -> DataFrame:
     key = F.col("p_partkey")
     return t["part"].select(
         key.alias("id"),
-        (key % 10).alias("distribution_center_id"),
+        (key % CENTERS).alias("distribution_center_id"),
         F.concat(F.lit("SKU"), key.cast("string")).alias("sku"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("brand"),
@@ -195,11 +190,11 @@ def _products(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def _centers(t: dict[str, DataFrame]) -> DataFrame:
-    return t["supplier"].where(F.col("s_suppkey") < 10).select(
-        F.col("s_suppkey").alias("id"),
-        F.col("s_name").alias("name"),
-        F.col("s_nationkey").cast("double").alias("latitude"),
-        (2 * F.col("s_nationkey")).cast("double").alias("longitude"),
+    return t["nation"].select(
+        F.col("n_nationkey").cast("bigint").alias("id"),
+        F.col("n_name").alias("name"),
+        F.col("n_nationkey").cast("double").alias("latitude"),
+        (2 * F.col("n_nationkey")).cast("double").alias("longitude"),
     )
 
 

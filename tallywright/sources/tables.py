@@ -16,11 +16,8 @@ LOADED_AT = {name: "created_at" for name, schema in SCHEMAS.items() if "created_
 
 
 def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All seven tables from ``folder``, one parquet dataset each."""
-    return {
-        name: spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{name}")
-        for name, schema in SCHEMAS.items()
-    }
+    """All seven tables from ``folder``, one parquet dataset each; a missing or mistyped column is an error."""
+    return {name: conform(spark.read.parquet(f"{folder.rstrip('/')}/{name}"), name) for name in SCHEMAS}
 
 
 def catalog_sources(spark: SparkSession, database: str) -> dict[str, DataFrame]:

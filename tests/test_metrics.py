@@ -61,8 +61,27 @@ def test_growth_uses_the_calendar_not_the_previous_row(frames):
 def test_growth_needs_an_aligned_time(frames):
     with pytest.raises(ValueError):
         metrics.metric_query(frames, ["net_revenue_mom_growth"], ["order_status"])
-    with pytest.raises(ValueError):
-        metrics.metric_query(frames, ["net_revenue_mom_growth"], ["metric_time"], grain="quarter")
+
+
+def test_growth_by_day_looks_back_from_each_day(spark, frames):
+    """Several days may look back to the same last day of a short month."""
+    days = {"2024-01-28": 100, "2024-01-29": 200, "2024-01-30": 300, "2024-01-31": 400, "2024-02-29": 1000, "2024-03-30": 500, "2024-03-31": 100}
+    base = frames("fct_orders").limit(1)
+    orders = spark.createDataFrame([(date.fromisoformat(d), Decimal(v)) for d, v in days.items()], "d date, v decimal(18,2)")
+    orders = base.crossJoin(orders).withColumns({"ordered_date": orders.d, "net_revenue": orders.v}).drop("d", "v")
+    known = {"fct_orders": orders}.get
+    got = rows(metrics.metric_query(known, ["net_revenue_mom_growth"], ["metric_time__day"]))
+    growth = {"2024-02-29": 4.0, "2024-03-30": -0.5, "2024-03-31": -0.9}
+    assert got == {date.fromisoformat(d): growth.get(d) for d in days}
+
+
+def test_growth_at_longer_grains(frames):
+    def by(grain):
+        return rows(metrics.metric_query(frames, ["net_revenue_mom_growth"], ["metric_time"], grain=grain))
+
+    assert by("quarter") == {date(2024, 1, 1): None, date(2024, 4, 1): 0.25}
+    assert by("year") == {date(2024, 1, 1): None}
+    assert by("week") == {date(2024, 1, 15): None, date(2024, 2, 19): -1.0, date(2024, 4, 15): None}
 
 
 def test_joined_dimension_keeps_unknown_customers(frames):

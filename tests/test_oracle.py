@@ -29,12 +29,12 @@ def test_expected_totals(spark):
     from tallywright.catalog.queries import Sample
 
     w = Sample(spark, SMALL)
-    assert (w.users.count(), w.orders.count(), w.order_items.count()) == (160, 1473, 5986)
-    assert w.inventory_items.count() == 6181 and w.events.count() == 669
+    assert (w.users.count(), w.orders.count(), w.order_items.count()) == (160, 1500, 6000)
+    assert w.inventory_items.count() == 6200 and w.events.count() == 1000
     totals = w.fct_orders.agg(
         F.count_if("is_revenue_complete"), F.count_if("is_revenue_recognised"), F.sum("net_revenue").cast("string"),
         F.count_if(~F.col("has_line_items")), F.countDistinct("cohort_month"),
     ).first()
-    assert tuple(totals) == (1467, 1105, "639110.32", 4, 30)
+    assert tuple(totals) == (1467, 1124, "640503.75", 27, 30)
     segments = dict(w.dim_customers.groupBy("customer_status").count().collect())
-    assert segments == {"Never purchased": 10, "Active - repeat": 42, "Lapsing": 55, "Churned": 53}
+    assert segments == {"Never purchased": 10, "Active - repeat": 52, "Lapsing": 50, "Churned": 48}

@@ -70,16 +70,30 @@ def test_sources_are_read_from_a_folder(spark, tmp_path):
     for name, df in sample.sources.items():
         df.select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name])).write.parquet(str(tmp_path / name))
     w = Warehouse(tables.read_sources(spark, str(tmp_path)), SAMPLE_CONFIG)
-    assert w.fct_orders.agg(F.sum("net_revenue").cast("string")).first()[0] == "639110.32"
+    assert w.fct_orders.agg(F.sum("net_revenue").cast("string")).first()[0] == "640503.75"
 
 
 def test_shared_folder_comes_from_the_session(spark, monkeypatch):
-    assert session.shared_folder(spark)  # local: a temporary folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert session.shared_folder(spark) == named or "warehouse" in session.shared_folder(spark)
 
     class Named:
         def __init__(self, **conf):
             self.conf = conf
 
     assert session.shared_folder(Named(**{"spark.checkpoint.dir": "hdfs://x/y"})) == "hdfs://x/y"
-    with pytest.raises(RuntimeError):
-        session.shared_folder(Named(**{"spark.master": "yarn"}))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.shared_folder(Named(**{"spark.master": master}))
+
+
+def test_a_missing_or_mistyped_source_column_is_an_error(spark, tmp_path):
+    sample = Sample(spark, SMALL)
+    for name, df in sample.sources.items():
+        df.limit(1).select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name])).write.parquet(str(tmp_path / name))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    for wrong in (orders.withColumnRenamed("user_id", "customer"), orders.withColumn("user_id", F.lit("x"))):
+        wrong.write.mode("overwrite").parquet(str(tmp_path / "wrong"))
+        spark.read.parquet(str(tmp_path / "wrong")).write.mode("overwrite").parquet(str(tmp_path / "orders"))
+        with pytest.raises(TypeError, match="orders: user_id"):
+            tables.read_sources(spark, str(tmp_path))
