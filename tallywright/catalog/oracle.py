@@ -479,11 +479,14 @@ COHORT_COLUMNS = (
     "cohort_month months_since_first_purchase cohort_customers active_customers orders net_revenue net_gross_profit "
     "retention_rate revenue_per_cohort_customer cumulative_ltv"
 )
-CHANNEL_COLUMNS = (
-    "registration_month traffic_source customers_acquired customers_who_purchased repeat_customers "
-    "still_active_customers lifetime_orders lifetime_net_revenue lifetime_gross_profit conversion_rate repeat_rate "
-    "revenue_per_acquired_customer revenue_per_purchasing_customer orders_per_purchasing_customer"
-)
+CHANNEL_TOTALS = [
+    "registration_month", "traffic_source", "customers_acquired", "customers_who_purchased", "repeat_customers",
+    "still_active_customers", "lifetime_orders", "lifetime_net_revenue", "lifetime_gross_profit",
+]
+CHANNEL_COLUMNS = [
+    *CHANNEL_TOTALS, "conversion_rate", "repeat_rate", "revenue_per_acquired_customer",
+    "revenue_per_purchasing_customer", "orders_per_purchasing_customer",
+]
 BASKET_COLUMNS = (
     "order_id line_items units_sold distinct_products distinct_categories gross_revenue net_revenue net_cogs "
     "net_gross_profit returned_revenue discount_amount returned_items cancelled_items sample_category"
@@ -663,7 +666,7 @@ ORACLES: dict[str, str] = {
     "inventory_by_product": _out(STOCK_COLUMNS, "stock"),
     "daily_orders": _out(DAY_COLUMNS + " any_complete", "days_with_orders"),
     "product_month": _out(PRODUCT_MONTH_COLUMNS, "product_months"),
-    "channel_month": _out(CHANNEL_COLUMNS, "m_channels"),
+    "channel_month": _out(CHANNEL_TOTALS, "m_channels"),
     "cohort_sizes": _out("cohort_month cohort_customers", "cohort_spans"),
     "cohort_max_offset": _out("cohort_month max_offset", "cohort_spans"),
     "cohort_activity": _out(

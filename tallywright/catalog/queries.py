@@ -244,7 +244,7 @@ _add(
     inventory_by_product=lambda w: core.inventory_by_product(w.inventory_items),
     daily_orders=lambda w: finance.daily_orders(w.fct_orders),
     product_month=lambda w: finance.product_month(w.fct_order_items),
-    channel_month=lambda w: w.mart_acquisition_channels,
+    channel_month=lambda w: marketing.channel_month(w.dim_customers),
     cohort_sizes=lambda w: marketing.cohort_sizes(w.cohort_activity),
     cohort_max_offset=lambda w: marketing.cohort_max_offset(w.cohort_activity),
     cohort_activity=lambda w: w.cohort_activity,

@@ -115,9 +115,9 @@ def mart_customer_cohorts(activity: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def mart_acquisition_channels(customers: DataFrame) -> DataFrame:
-    """One row per registration month and traffic source; ratios of totals."""
-    totals = customers.groupBy(
+def channel_month(customers: DataFrame) -> DataFrame:
+    """Totals by registration month and traffic source."""
+    return customers.groupBy(
         truncate(F.col("registered_date"), "month").alias("registration_month"), "traffic_source"
     ).agg(
         F.count("*").alias("customers_acquired"),
@@ -128,8 +128,12 @@ def mart_acquisition_channels(customers: DataFrame) -> DataFrame:
         total(F.col("lifetime_net_revenue")).alias("lifetime_net_revenue"),
         total(F.col("lifetime_gross_profit")).alias("lifetime_gross_profit"),
     )
+
+
+def mart_acquisition_channels(customers: DataFrame) -> DataFrame:
+    """One row per registration month and traffic source; ratios of totals."""
     acquired, purchased = F.col("customers_acquired"), F.col("customers_who_purchased")
-    return totals.select(
+    return channel_month(customers).select(
         "*",
         ratio(purchased, acquired, 4).alias("conversion_rate"),
         ratio(F.col("repeat_customers"), purchased, 4).alias("repeat_rate"),
