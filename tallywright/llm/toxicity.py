@@ -5,9 +5,11 @@ distance is what the toxic dictionary saves beyond the ordinary one. A text is s
 that save at least ``saves`` bytes, against a share calibrated on rows that neither dictionary was trained on.
 
 The dictionaries are trained on a bounded sample of labelled rows (``ROWS_PER_CLASS``): the ordinary one on
-stretches of ordinary text; the toxic one on those words of toxic text that a much larger share of toxic than of
-ordinary documents has, since what both share says nothing. Words are counted on Spark; the driver gets the
-bounded training material and one number for each calibration row and threshold.
+stretches of ordinary text; the toxic one holds the words of toxic text that are, or start with, what a much larger
+share of toxic than of ordinary documents has, since what both share says nothing. Words and stems are chosen among the rows of each language (``lang``,
+where the table has it) and among all rows together, so that the words of a rare language are not too rare to count,
+and the dictionary is as large as what is found. Words are counted on Spark; the driver gets the bounded training
+material and one number for each calibration row and threshold.
 
 Defined results: a null or empty text, or one without letters, scores 0; so does every text if no row is labelled
 toxic. Repeated labels of a document count once; a null label is none.
@@ -16,21 +18,29 @@ toxic. Repeated labels of a document count once; a null label is none.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: labelled rows of each class that are learned from, and stretches of ordinary text in its dictionary's training
 ROWS_PER_CLASS, STRETCHES, STRETCH = 5000, 20_000, 400
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 1024
-#: a word is typical of toxic text if its share of toxic documents is this many times that of the others, and so large
-TYPICAL_RATIO, TYPICAL_SHARE, TYPICAL_WORDS = 3.0, 0.02, 2000
-REPEATS, LEVEL, SAVES = 4, 3, (2, 3, 4, 5)
+ORDINARY_BYTES = 32_768
+#: a word or stem is typical of toxic text if its share of toxic documents is this many times that of the others, and
+#: so large, among rows of a language; most of them that are taken from one language
+TYPICAL_RATIO, TYPICAL_SHARE, TYPICAL_WORDS = 3.0, 0.02, 500
+#: lengths of word stems
+STEMS = range(4, 9)
+#: words and stems of a language that the driver chooses from
+CANDIDATES = 20_000
+#: words in the toxic dictionary; what follows them, as zstandard finds nothing that starts in a dictionary's last bytes
+TOXIC_WORDS, PAD = 4000, "\n" * 16
+REPEATS, LEVEL, SAVES = 4, 9, (2, 3, 4, 5)  # lower levels index a dictionary's places in part only
 #: words added to each text's count, so that one word of a short text proves little
 PRIOR_WORDS = 20
 #: distances of so many words are kept at once in a worker
@@ -90,25 +100,81 @@ def _trained(size: int, samples: list[bytes]) -> bytes:
         return b"".join(samples)[:size]
 
 
-def _word_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for text, toxic in zip(batch["text"], batch["toxic"]):
-            words = sorted(set(_words(text)))
-            yield pd.DataFrame({"word": words, "toxic": np.full(len(words), toxic, np.int64)})
+def _features(words: list[str]) -> set[str]:
+    """The words, each with the blank that ends it, and their stems."""
+    found = set()
+    for word in set(words):
+        found.add(word + " ")
+        found.update(word[:n] for n in STEMS if n <= len(word))
+    return found
 
 
-def _ordinary_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many texts of each class have a feature, for the texts of one batch and language."""
     for batch in batches:
-        for text in batch["text"]:
-            whole = " ".join(_words(text))
-            yield pd.DataFrame({"stretch": [whole[i : i + STRETCH] for i in range(0, len(whole), STRETCH)]}, dtype=str)
+        counts: dict[str, tuple[Counter, Counter]] = {}
+        for language, text, toxic in zip(batch["language"], batch["text"], batch["toxic"]):
+            counts.setdefault(language, (Counter(), Counter()))[int(toxic)].update(_features(_words(text)))
+        for language, (ordinary, toxic) in counts.items():
+            names = list(ordinary.keys() | toxic.keys())
+            yield pd.DataFrame(
+                {"language": language, "feature": names, "toxic": [toxic[x] for x in names], "ordinary": [ordinary[x] for x in names]}
+            )
+
+
+def _typical(fit: DataFrame) -> list[str]:
+    """Features typical of toxic text, of each language and of all rows together."""
+    rows = fit.groupBy("language").agg(F.sum("toxic").alias("n_toxic"), F.sum(1 - F.col("toxic")).alias("n_ordinary"))
+    counts = fit.select("language", "text", "toxic").mapInPandas(_feature_rows, "language string, feature string, toxic long, ordinary long")
+    counts = counts.groupBy("language", "feature").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    # null stands for all languages together
+    counts = counts.unionByName(counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), True)
+    rows = rows.unionByName(rows.agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary")), True)
+    counts = counts.where("toxic >= 2").withColumnRenamed("language", "of")
+    # a row for each language of the bounded sample
+    known = counts.join(F.broadcast(rows), F.col("of").eqNullSafe(F.col("language"))).drop("language")
+    share, usual = F.col("toxic") / F.col("n_toxic"), (F.col("ordinary") + 0.5) / (F.col("n_ordinary") + 1)
+    expected = usual * F.col("n_toxic")
+    # bounds the probability that ordinary texts would have it as often: less than one among all that were counted
+    evidence = F.col("toxic") * F.log(F.col("toxic") / expected) - F.col("toxic") + expected
+    tried = known.groupBy("of").agg(F.log(F.count("*")).alias("tried")).withColumnRenamed("of", "language")
+    known = known.join(F.broadcast(tried), F.col("of").eqNullSafe(F.col("language")))
+    gain = share - TYPICAL_RATIO * usual
+    best = Window.partitionBy("of").orderBy(F.desc("gain"), F.desc(F.length("feature")), "feature")
+    found = (
+        known.where((gain > 0) & (share >= TYPICAL_SHARE) & (evidence > F.col("tried")))
+        .withColumn("gain", gain).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= CANDIDATES)
+        .select("of", "feature", "nth").orderBy("of", "nth").toPandas()
+    )
+    chosen: set[str] = set()
+    for _, group in found.groupby("of", sort=False, dropna=False):
+        own: set[str] = set()
+        covered: set[str] = set()
+        for feature in group["feature"]:
+            # one of several stems of the same words
+            if len(own) < TYPICAL_WORDS and feature not in covered and own.isdisjoint(feature[:n] for n in range(1, len(feature))):
+                own.add(feature)
+                covered.update(feature[:n] for n in range(1, len(feature) + 1))
+        chosen |= own
+    return sorted(chosen)
+
+
+def _ordinary_rows(typical: frozenset[str]):
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                # what is typical of toxic text is for the toxic dictionary to save
+                whole = " ".join(w for w in _words(text) if typical.isdisjoint(_features([w])))
+                yield pd.DataFrame({"stretch": [whole[i : i + STRETCH] for i in range(0, len(whole), STRETCH)]}, dtype=str)
+
+    return rows
 
 
-def _typical_rows(typical: frozenset[str]):
+def _toxic_words(typical: frozenset[str]):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = (" ".join(w for w in _words(text) if w in typical) for text in batch["text"])
-            yield pd.DataFrame({"stretch": [f" {x[:STRETCH]} " for x in found if x]}, dtype=str)
+            for text in batch["text"]:
+                yield pd.DataFrame({"word": [w for w in set(_words(text)) if not typical.isdisjoint(_features([w]))]}, dtype=str)
 
     return rows
 
@@ -154,32 +220,26 @@ def learn(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
         named.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class) for k in (0, 1)
     ]
     # at most twice rows_per_class ids
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids[0].unionByName(ids[1]).select("doc_id", "toxic")), "doc_id")
+    language = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    rows = docs.select("doc_id", "text", language.alias("language")).join(F.broadcast(ids[0].unionByName(ids[1]).select("doc_id", "toxic")), "doc_id")
     fit, check = rows.where(~_part(1)), rows.where(_part(1))
     n = {bool(r["toxic"]): r["count"] for r in fit.groupBy("toxic").count().collect()}
     if not n.get(True) or not n.get(False):
         return None
-    share = {k: F.try_divide(F.sum((F.col("toxic") == int(k)).cast("int")), F.lit(n[k])) for k in n}
-    typical = (
-        fit.select("text", "toxic").mapInPandas(_word_rows, "word string, toxic long")
-        .groupBy("word").agg(share[True].alias("toxic"), share[False].alias("ordinary"), F.sum("toxic").alias("rows"))
-        .where((F.col("toxic") > TYPICAL_RATIO * (F.col("ordinary") + 0.5 / n[False])) & (F.col("toxic") >= TYPICAL_SHARE))
-        .where(F.col("rows") >= 2)
-        .orderBy(F.desc("toxic"), "word").limit(TYPICAL_WORDS)
-        .select("word").toPandas()["word"]
-    )
+    typical = _typical(fit)
     ordinary = (
-        fit.where("toxic = 0").select("text").mapInPandas(_ordinary_rows, "stretch string")
+        fit.where("toxic = 0").select("text").mapInPandas(_ordinary_rows(frozenset(typical)), "stretch string")
         .orderBy(F.xxhash64("stretch"), "stretch").limit(STRETCHES).toPandas()["stretch"]
     )
+    # the commonest words last, where they are nearest
     toxic = (
-        fit.where("toxic = 1").select("text").mapInPandas(_typical_rows(frozenset(typical)), "stretch string")
-        .orderBy(F.xxhash64("stretch"), "stretch").limit(STRETCHES).toPandas()["stretch"]
+        fit.where("toxic = 1").select("text").mapInPandas(_toxic_words(frozenset(typical)), "word string")
+        .groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(TOXIC_WORDS).toPandas()["word"]
     )
-    dictionaries = [
-        _trained(size, [x.encode("utf-8", "surrogatepass") for x in found])
-        for size, found in ((ORDINARY_BYTES, ordinary), (TOXIC_BYTES, toxic))
-    ]
+    dictionaries = (
+        _trained(ORDINARY_BYTES, [x.encode("utf-8", "surrogatepass") for x in ordinary]),
+        f" {' '.join(reversed(toxic.tolist()))} {PAD}".encode("utf-8", "surrogatepass") if len(toxic) else b"",
+    )
     if not all(dictionaries):
         return None
     columns = ", ".join(f"s{k} long" for k in SAVES)

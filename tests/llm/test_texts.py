@@ -80,6 +80,17 @@ def test_toxicity_on_held_out_documents(spark):
     assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
 
 
+def test_toxicity_is_found_in_every_language(spark):
+    """Against the labels themselves, held out from learning."""
+    folder = "/root/testdata/sf0.1"
+    labels = documents(spark, folder, "labels").dropDuplicates(["doc_id"]).select("doc_id", "toxic")
+    rows = QUERIES["op8_toxicity"](spark, folder).where("held_out").join(documents(spark, folder).select("doc_id", "lang"), "doc_id")
+    rows = rows.join(labels, "doc_id").collect()
+    for lang in ("en", "de", "fr", "es"):
+        toxic, clean = ([r.predicted for r in rows if r.lang == lang and r.toxic == k] for k in (1, 0))
+        assert sum(toxic) >= 0.6 * len(toxic) > 3 and sum(clean) <= 0.04 * len(clean), lang
+
+
 def test_toxicity_on_odd_rows(spark):
     labels = spark.createDataFrame(
         [(1, 1, "x"), (1, 1, "x"), (2, 0, "x"), (6, 0, "x"), (8, None, "x"), (None, 1, "x"), (99, 1, "x"), (10, 1, "x")],
