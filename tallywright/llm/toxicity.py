@@ -1,6 +1,6 @@
 """Toxic texts by compression distance, with one zstandard dictionary of toxic and one of ordinary text.
 
-A window is one word, repeated so that the fixed cost of a compressed block does not hide the difference. Its
+A window is one word, or a part of a long run of letters, repeated so that the fixed cost of a compressed block does not hide the difference. Its
 distance is what the toxic dictionary saves beyond the ordinary one. A text is scored by the share of its windows
 that save at least ``saves`` bytes, against a share calibrated on rows that neither dictionary was trained on.
 
@@ -46,7 +46,13 @@ PRIOR_WORDS = 20
 #: distances of so many words are kept at once in a worker
 KEPT_WORDS = 200_000
 
+#: characters of a window, and of one in scripts that put no blanks between words; the windows of a run overlap
+WIDTH, UNSPACED_WIDTH = 64, 8
+#: lengths of the character n-grams that stand for stems there
+UNSPACED_STEMS = range(2, 5)
+
 _WORD = re.compile(r"[^\W\d_]+")
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 class Model(NamedTuple):
@@ -64,8 +70,7 @@ class Distances(dict):
     def __init__(self, ordinary: bytes, toxic: bytes):
         super().__init__()
         self._squeeze = [self._compressor(ordinary), self._compressor(ordinary + toxic)]
-        known = toxic.decode("utf-8", "ignore")
-        self._known = {known[i : i + 4] for i in range(len(known) - 3)}
+        self._known = {toxic[i : i + 4] for i in range(len(toxic) - 3)}
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -78,18 +83,30 @@ class Distances(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= KEPT_WORDS:
             self.clear()
-        window = f" {word[:64]} "
+        window = f" {word} "
         saved = 0
-        # what shares no four characters with the toxic dictionary cannot be shortened by it
-        if any(window[i : i + 4] in self._known for i in range(len(window) - 3)):
-            plain, toxic = (len(c.compress((window * REPEATS).encode("utf-8", "surrogatepass"))) for c in self._squeeze)
+        content = window.encode("utf-8", "surrogatepass")
+        # what shares no four bytes with the toxic dictionary cannot be shortened by it
+        if any(content[i : i + 4] in self._known for i in range(len(content) - 3)):
+            plain, toxic = (len(c.compress(content * REPEATS)) for c in self._squeeze)
             saved = plain - toxic
         self[word] = saved
         return saved
 
 
 def _words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """The words of a text; a long run of letters in overlapping windows that cover all of it."""
+    lower = (text or "").lower()
+    found = _WORD.findall(lower)
+    unspaced = not lower.isascii() and _UNSPACED.search(lower)
+    if not unspaced and max(map(len, found), default=0) <= WIDTH:
+        return found
+    windows = []
+    for run in found:
+        width = UNSPACED_WIDTH if unspaced and _UNSPACED.search(run) else WIDTH
+        step = width // 2
+        windows += (run[at : at + width] for at in range(0, max(1, len(run) - width + step), step))
+    return windows
 
 
 def _trained(size: int, samples: list[bytes]) -> bytes:
@@ -106,6 +123,8 @@ def _features(words: list[str]) -> set[str]:
     for word in set(words):
         found.add(word + " ")
         found.update(word[:n] for n in STEMS if n <= len(word))
+        if not word.isascii() and _UNSPACED.search(word):
+            found.update(word[at : at + n] for n in UNSPACED_STEMS for at in range(len(word) - n + 1))
     return found
 
 

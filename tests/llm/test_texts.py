@@ -1,6 +1,7 @@
 """Language, toxicity, personal data and URL rules: held-out accuracy, plain Python and odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -109,6 +110,33 @@ def test_toxic_dictionary_shortens_only_its_own_words():
     assert found["idiot"] >= 3 and found["moron"] >= 3 and found["cat"] <= 0 and found["zebra"] == 0 and found["\U0001f600"] == 0
 
 
+@pytest.mark.parametrize("letters", ["abcdefgh", "天地玄黄宇宙洪荒", "กขคงจฉชซ"])
+def test_windows_cover_long_runs(letters):
+    for n in (1, 7, 8, 9, 63, 64, 65, 96, 97, 1000):
+        run = "".join(letters[(i * i + i // 3) % 8] for i in range(n))
+        windows, at = toxicity._words(f"1 {run}."), 0
+        for window in windows:
+            at = run.index(window, max(0, at - len(window)))
+            assert len(window) <= toxicity.WIDTH
+        assert all(any(run[i : i + 4] in w for w in windows) for i in range(max(1, n - 3)))
+        assert run.startswith(windows[0]) and run.endswith(windows[-1])
+
+
+def test_toxicity_late_in_a_run_without_blanks(spark):
+    """The telling characters come after the first 64 of one long run."""
+    rng = random.Random(4)
+    plain = [chr(0x4E00 + i) for i in range(300)]
+    texts = ["".join(rng.choice(plain) for _ in range(200)) for _ in range(600)]
+    telling = ["".join(chr(0x8000 + 4 * k + i) for i in range(4)) for k in range(3)]
+    toxic = [i % 3 == 0 for i in range(600)]
+    texts = [t[:120] + "".join(telling) * 3 + t[120:] if k else t for t, k in zip(texts, toxic)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k)) for i, k in enumerate(toxic)], "doc_id long, toxic int")
+    rows = [r for r in scored(docs, labels).collect() if r.held_out]
+    found = [r.predicted for r in rows if toxic[r.doc_id]]
+    assert sum(found) >= 0.95 * len(found) > 20 and not any(r.predicted for r in rows if not toxic[r.doc_id])
+
+
 # personal data
 
 PLAIN = {
