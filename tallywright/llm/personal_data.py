@@ -22,7 +22,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+#: length of an account in the countries that have most of them
+_IBAN_LENGTHS = {
+    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28,
+    "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "TR": 26,
+}
 _GROUPED = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 #: score of a confirmed form, words that speak for it, and the score from which a span is reported
@@ -80,9 +85,20 @@ def _phones(text: str):
 
 
 def _ibans(text: str):
-    for m in _IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            yield m.span()
+    """Each start is tried with all ends where a token ends: the country's length first, then from long to short."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        ends, size = [], 0
+        for i in range(m.start(), m.end()):
+            size += text[i] != " "
+            if size >= 15 and text[i] != " " and not (text[i + 1 : i + 2].isascii() and text[i + 1 : i + 2].isalnum()):
+                ends.append((size != _IBAN_LENGTHS.get(m.group()[:2]), -size, i + 1))
+        at = m.start() + 2
+        for _, _, end in sorted(ends):
+            if mod97(text[m.start() : end].replace(" ", "")):
+                yield m.start(), end
+                at = end
+                break
 
 
 def _grouped(text: str):

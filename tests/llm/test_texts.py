@@ -190,6 +190,19 @@ def test_added_spans_need_proof():
     assert plain < told <= 1
 
 
+def test_account_is_found_beside_other_tokens():
+    one, two = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for text, accounts in (
+        (f"{one} BIC COBADEFFXXX", [one]),
+        ("DE89370400440532013000 I paid", ["DE89370400440532013000"]),
+        (f"{one} {two} {one}", [one, two, one]),
+        (f"AB12 {one} 77", [one]),
+        (f"{one}X {two}é", [two]),
+        ("NO93 8601 1117 947 12 NOK", ["NO93 8601 1117 947"]),
+    ):
+        assert [text[a:b] for kind, a, b, _ in spans(text) if kind == "iban"] == accounts
+
+
 def test_long_runs_take_linear_time(spark):
     for run in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "+1" * 100_000, "1." * 100_000, "+1(((" * 50_000, "A1" * 100_000, "DE11 " * 50_000):
         spans(run)
