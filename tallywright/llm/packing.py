@@ -16,6 +16,7 @@ from __future__ import annotations
 import itertools
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -50,14 +51,19 @@ class Words:
 
     @staticmethod
     def _split(text: str) -> list[str]:
-        # the tokenizer ignores case too; only a final sigma depends on its neighbours
-        return (text if "Σ" in text else text.lower()).replace("\n", " ").split(" ")
+        # the tokenizer normalizes and then ignores case; where that order or a final sigma matters, it gets the text as it is
+        if "Σ" not in text:
+            lower = text.lower()
+            if text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", lower)):
+                text = lower
+        return text.replace("\n", " ").split(" ")
 
     def _learn(self, new: set[str]) -> None:
         """Ids of new words, many in one call: the offsets of the tokens tell whose they are."""
         ids = self._ids
-        # a full stop or comma after letters alone is a token of its own, so the letters' ids do
-        ends = [w for w in new if len(w) > 1 and w[-1] in ".," and w[:-1].isalpha()]
+        # a full stop or comma after letters alone is a token of its own, so the letters' ids do; not after letters that
+        # the tokenizer takes apart, whose marks join it
+        ends = [w for w in new if len(w) > 1 and w[-1] in ".," and w[:-1].isalpha() and (w.isascii() or is_normalized("NFC", w))]
         needed = list(new.difference(ends).union((w[:-1] for w in ends), ".,").difference(ids))
         groups = [needed[at : at + AT_ONCE] for at in range(0, len(needed), AT_ONCE)]
         for group, found in zip(groups, self._tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):

@@ -95,6 +95,14 @@ def test_words_like_the_tokenizer(texts):
     assert words.encode(texts) == whole
 
 
+@pytest.mark.parametrize("end", ["", ",", ".", "x,"])
+def test_words_that_change_when_normalized(tokenizer, end):
+    words = Words(PATH)
+    for word in ("ব\u09dc", "\u0958", "\ufb2a", "J\u030c", "H\u0331", "T\u0308", "W\u030a", "\u0399\u0308\u0301", "É", "E\u0301", "İ", "ΟΔΟΣ"):
+        for text in (word + end, f"Plain {word}{end} and {word.lower()}{end}", f"a{word}{end}"):
+            assert words.encode([text]) == [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()], text
+
+
 def test_long_texts_in_slices(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "TOGETHER", 50)
     text = "some words, and\nmore of them. " * 20 + "x" * 120
