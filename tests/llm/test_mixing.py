@@ -66,6 +66,21 @@ def test_blocks_of_many_words(spark, monkeypatch):
     assert all(abs(sums[r.source] - r.target) <= 0.01 * total for r in rows)
 
 
+@pytest.mark.parametrize("slots", [1 << 20, 5000])
+def test_each_source_comes_near_its_own_target(spark, slots, monkeypatch):
+    """Tiny sources beside a huge one, on an input of more and of fewer words than there are slots."""
+    monkeypatch.setattr(mixing, "SLOTS", slots)
+    table = [(i, "huge", "word " * 1000) for i in range(300)]
+    table += [(1000 + i, f"tiny{i % 4}", "word " * 9) for i in range(40)]
+    rows = mix(spark.createDataFrame(table, "doc_id long, source string, text string")).collect()
+    sums, target = defaultdict(int), {r.source: r.target for r in rows}
+    for r in rows:
+        sums[r.source] += r.taken
+        assert 0 <= r.taken <= 2 * r.size
+    assert set(sums) == {"huge", "tiny0", "tiny1", "tiny2", "tiny3"}
+    assert all(abs(sums[s] - target[s]) <= 0.01 * target[s] + 2 for s in sums)
+
+
 def test_one_source_in_most_rows(spark):
     docs = spark.range(3000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("source"),
