@@ -26,8 +26,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    return without_near_duplicates(docs)
+    """One document of each group of near-duplicates (word shingles, 80 % alike): the one with the smallest id."""
+    return without_near_duplicates(docs, 80)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

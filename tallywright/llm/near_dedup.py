@@ -3,7 +3,7 @@
 1. Each text becomes its set of five-word shingles and a signature of ``COORDINATES`` minima. Texts with equal sets
    are one node from here on, however many there are.
 2. Every node is posted under each (coordinate, value) pair, and the lengths of these lists are counted. Two texts
-   over the similarity share at least ``MATCHES`` coordinates (missed with a probability below one in a million at
+   over the similarity share at least ``matches`` coordinates (missed with a probability below one in a million at
    the very threshold). So a node with too few shared coordinates has no partner, and the others need only their
    rarest ones: two nodes with enough matches meet in their prefixes. The long lists, which common passages make,
    are skipped wherever a node has enough rarer ones.
@@ -20,6 +20,7 @@ have the same result. Ids should not be shared by different texts; where they ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from tallywright.llm.common import by_weight, stored
 from tallywright.llm.components import components
 
 WORDS, PERCENT = 5, 85
-COORDINATES, MATCHES = 64, 38
+COORDINATES, MISSED = 64, 5e-7
 #: pairs of one centre, and nodes of one list, that a task compares
 TOGETHER = 500
 #: word hashes that a task keeps, and shingles it hashes at once
@@ -44,6 +45,16 @@ _FACTORS = _random.integers(0, 2**64, COORDINATES, np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def matches(percent: int) -> int:
+    """Equal coordinates asked of a pair: one at the very threshold has fewer with a probability below ``MISSED``."""
+    p, missed = percent / 100, 0.0
+    for n in range(COORDINATES):
+        missed += math.comb(COORDINATES, n) * p**n * (1 - p) ** (COORDINATES - n)
+        if missed >= MISSED:
+            return max(n, 1)
+    return COORDINATES
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= KEPT_WORDS:
@@ -99,12 +110,12 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["node", "n", "shingles", "coordinates"])
 
 
-def _alike(inter, one, other):
+def _alike(inter, one, other, percent):
     """Whether an intersection of this size links sets of these sizes."""
-    return inter * 100 >= (one + other - inter) * PERCENT
+    return inter * 100 >= (one + other - inter) * percent
 
 
-def _prefixes(nodes: DataFrame) -> DataFrame:
+def _prefixes(nodes: DataFrame, percent: int) -> DataFrame:
     """(key, node, n, shared): the rarest coordinates of each node that can have a partner."""
     rows = nodes.select("node", "n", F.posexplode("coordinates").alias("at", "value"))
     rows = stored(rows.select("node", "n", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value")).alias("key")), "postings")
@@ -114,12 +125,12 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
     by_node = met.groupBy("node").agg(
         F.first("n").alias("n"), F.sum("size").alias("shared"), F.sort_array(F.collect_list(F.struct("size", "key"))).alias("keys")
     )  # at most COORDINATES of a node
-    by_node = by_node.where(F.size("keys") >= MATCHES)
-    rarest = F.slice("keys", 1, F.size("keys") - F.lit(MATCHES - 1))
+    by_node = by_node.where(F.size("keys") >= matches(percent))
+    rarest = F.slice("keys", 1, F.size("keys") - F.lit(matches(percent) - 1))
     return by_node.select("node", "n", "shared", F.explode(rarest.getField("key")).alias("key"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs that are linked, by their full sets. ``b`` may be shared by most pairs."""
     pairs = stored(pairs, "pairs")
     counts = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pair-counts")
@@ -129,13 +140,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     theirs = theirs.join(counts, "b").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("pairs")
     salted = by_weight(pairs, counts, "b", "pairs", pairs.count()).withColumn("salt", F.pmod(F.xxhash64("a"), salts))
     met = salted.select("a", "b", "salt").join(mine, "a").join(theirs, ["b", "salt"])
-    met = met.where(_alike(F.least("n_a", "n_b"), F.least("n_a", "n_b"), F.greatest("n_a", "n_b")))
+    met = met.where(_alike(F.least("n_a", "n_b"), F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), percent))
     collisions = F.size(F.filter(F.zip_with("coordinates_a", "coordinates_b", lambda x, y: x == y), lambda same: same))
-    met = met.where(collisions >= MATCHES)
-    return met.where(_alike(F.size(F.array_intersect("set_a", "set_b")), F.col("n_a"), F.col("n_b"))).select("a", "b")
+    met = met.where(collisions >= matches(percent))
+    return met.where(_alike(F.size(F.array_intersect("set_a", "set_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def _starred(prefixes: DataFrame, sets: DataFrame) -> DataFrame:
+def _starred(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of nodes with the centre of one of their lists."""
     centres = stored(
         prefixes.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("shared", "node")).alias("centre"))
@@ -143,10 +154,10 @@ def _starred(prefixes: DataFrame, sets: DataFrame) -> DataFrame:
         "centres",
     )
     pairs = by_weight(prefixes, centres, "key", "size", prefixes.count())
-    return _confirmed(pairs.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets)
+    return _confirmed(pairs.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets, percent)
 
 
-def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links across components, among lists that hold several of them."""
     placed = stored(
         prefixes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
@@ -172,7 +183,7 @@ def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataF
         known = by_weight(known, least, "key", "size", known.count())
         # the smallest partner there can be: no smaller than what is shared, nor than the smallest of the list
         common = F.col("n") - F.col("own")
-        viable = _alike(common, F.col("n"), F.greatest(common, F.col("least_n")))
+        viable = _alike(common, F.col("n"), F.greatest(common, F.col("least_n")), percent)
         open_ = stored(known.where(viable).drop("size", "least_n"), "open")
     sizes = stored(open_.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "open-lists")
     salts = F.ceil(F.col("size") / TOGETHER)
@@ -196,13 +207,13 @@ def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataF
     pairs = every.alias("x").join(
         stray.alias("y"),
         (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("component_a") != F.col("component_b"))
-        & _alike(F.least("common_a", "common_b"), F.col("n_a"), F.col("n_b")) & once,
+        & _alike(F.least("common_a", "common_b"), F.col("n_a"), F.col("n_b"), percent) & once,
     )
-    return _confirmed(pairs.select("a", "b"), sets)
+    return _confirmed(pairs.select("a", "b"), sets, percent)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row; pairs with a Jaccard similarity of ``percent`` are linked."""
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # ids pass as text: pandas has no integer column with nulls
     described = plain.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
@@ -217,13 +228,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    prefixes = stored(_prefixes(classes.dropDuplicates(["node"])), "prefixes")
+    prefixes = stored(_prefixes(classes.dropDuplicates(["node"]), percent), "prefixes")
     sets = classes.select("node", "set_key").join(prefixes.select("node").distinct(), "node", "left_semi")
     sets = plain.join(sets, plain["doc_id"] == sets["node"]).select("node", "text", "set_key")
     sets = stored(sets.mapInPandas(_sets, "node long, n long, shingles array<long>, coordinates array<long>").dropDuplicates(["node"]), "sets")
-    links = stored(_starred(prefixes, sets), "star-links")
+    links = stored(_starred(prefixes, sets, percent), "star-links")
     labels = stored(components(links), "star-components")
-    more = stored(_remaining(prefixes, sets, labels), "other-links")
+    more = stored(_remaining(prefixes, sets, labels, percent), "other-links")
     if not more.isEmpty():
         # what is linked already needs one link to its component only
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
@@ -237,7 +248,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that stay, with all their columns: one of each component, and all without words."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    gone = near_duplicates(docs, percent).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")

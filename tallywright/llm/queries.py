@@ -36,7 +36,7 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(documents(spark, folder))
+    return near_duplicates(documents(spark, folder), 85)
 
 
 def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import odd
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tallywright.llm.common import shared_folder
 from tallywright.llm.exact_dedup import DigestIndex, without_copies
 from tallywright.llm.line_dedup import drop_shared_lines
-from tallywright.llm.near_dedup import near_duplicates, without_near_duplicates
+from tallywright.llm.near_dedup import matches, near_duplicates, without_near_duplicates
 
 
 def norm(text):
@@ -167,3 +168,21 @@ def test_near_in_a_hot_group(spark):
     assert sizes[0] == 700 and sum(n == 1 for c, n in sizes.items() if c >= 1400) == 700
     near = [n for c, n in sizes.items() if 700 <= c < 1400]
     assert near == [700]
+
+
+@pytest.mark.parametrize("percent, coordinates", [(85, 38), (80, 34)])
+def test_near_pairs_between_the_thresholds(spark, percent, coordinates):
+    """Pairs of 0.80 to 0.85: linked by the pipeline's stage, apart in op5."""
+    assert matches(percent) == coordinates
+    words = {i: [f"t{i}w{j}" for j in range(104)] for i in range(40)}  # 100 shingles
+    pairs, n_linked = [], 0
+    for i, base in words.items():
+        other = base[: 104 - 8 - i % 8] + [f"x{i}y{j}" for j in range(8 + i % 8)]
+        one, two = sets_of(" ".join(base)), sets_of(" ".join(other))
+        assert 0.7 < len(one & two) / len(one | two) < 0.86
+        n_linked += 100 * len(one & two) >= percent * len(one | two)
+        pairs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    assert sum(not r.kept for r in near_duplicates(docs, percent).collect()) == n_linked
+    if percent == 80:
+        assert n_linked > 10 and corpus_pipeline.near_dedup(spark, docs, "").count() == 80 - n_linked
