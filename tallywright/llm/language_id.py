@@ -163,6 +163,8 @@ def identify(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Dat
 
 
 def in_a_language(docs: DataFrame) -> DataFrame:
-    """The documents that have a language: texts without a single letter go."""
-    found = language_of(docs, learn(docs.where(~held_out())))
-    return docs.where(found["lang_pred"] != "und")
+    """The documents that have a language: texts without a single letter go, also if no language was learned."""
+    model = learn(docs.where(~held_out()))
+    if not model.names:  # one language of equal weights: what is left is whether there is a letter
+        model = Model(["any"], np.zeros((SLOTS, 1), np.float32), model.letters)
+    return docs.where(language_of(docs, model)["lang_pred"] != "und")

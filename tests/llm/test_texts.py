@@ -60,6 +60,12 @@ def test_language_on_odd_rows(spark):
     assert {(r.lang_pred, r.score) for r in unknown} == {("und", 0.0)}
 
 
+def test_documents_stay_where_no_language_is_known(spark):
+    docs = odd.frame(spark)
+    texts = sorted(r.text for r in in_a_language(docs.withColumn("lang", F.lit(None).cast("string"))).collect())
+    assert texts == sorted(r[1] for r in odd.rows() if any(c.isalpha() for c in r[1] or ""))
+
+
 def test_language_sample_is_bounded(spark):
     docs = documents(spark, MIDDLE)
     few = learn(docs, rows_per_language=5)
