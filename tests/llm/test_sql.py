@@ -12,7 +12,7 @@ from tallywright.llm.queries import QUERIES
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     return con
 
@@ -26,4 +26,4 @@ def test_equals_sql(name, spark, con):
 
 
 def test_every_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
