@@ -171,8 +171,9 @@ def prove(docs: DataFrame, replaced: dict[str, Column] | None = None) -> DataFra
     # a key without null, in the order of the sources
     key = F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source")))
     now = leaf(fields | replaced) if replaced else F.lit(None).cast("string")
+    # stored before the sort, which reads its input twice
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), leaf(fields).alias("digest"), now.alias("replaced"))
-    placed = with_position(rows, [F.col("key"), F.col("doc_id").asc_nulls_first(), F.col("digest")], "at")
+    placed = with_position(stored(rows, "merkle-digests"), [F.col("key"), F.col("doc_id").asc_nulls_first(), F.col("digest")], "at")
     counted = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("start"))
     sources = stored(with_position(counted, [F.col("key")], "seq"), "merkle-sources")
     total, n_sources, most = sources.agg(F.sum("n"), F.count("*"), F.max("n")).first()
