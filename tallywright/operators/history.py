@@ -2,60 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions.dates import month_diff
+from tallywright.operators.scan import prefix_sums
 
-_NO_USER = -(2**63)
 
+def order_sequence(orders: DataFrame) -> DataFrame:
+    """Order grain, narrow: the order's number, its number among purchases, first and latest purchase.
 
-def sequence_orders(orders: DataFrame) -> DataFrame:
-    """Adds order_seq, purchase_seq, first/latest purchase and cohort columns.
-
-    A window over all orders of a customer would put a customer with a large
-    share of the rows into one task. Instead each customer's timeline is cut into
-    clock hours: rows are numbered within (customer, hour), and one narrow row
-    per (customer, hour) carries the counts of all earlier hours. The numbers are
-    the same, the largest sort is one customer's hour, and the carry-over window
-    is bounded by the hours in the calendar.
+    Numbers come from a prefix scan over (customer, time, order id), so neither a
+    customer nor a day with a large share of the rows lands in one task. Orders
+    without a customer are numbered among themselves.
     """
     bought = F.col("is_revenue_recognised")
-    keyed = orders.withColumn("_owner", F.coalesce("user_id", F.lit(_NO_USER))).withColumn(
-        "_hour", F.date_trunc("hour", "ordered_at")
+    bought_at = F.when(bought, F.col("ordered_at"))
+    return prefix_sums(
+        orders.select("order_id", "user_id", "ordered_at", "is_revenue_recognised"),
+        ["user_id"],
+        ["ordered_at", "order_id"],
+        {"order_seq": F.lit(1), "purchases": F.when(bought, 1).otherwise(0)},
+        {"first_purchase_at": F.min(bought_at), "latest_purchase_at": F.max(bought_at)},
+    ).select(
+        "order_id", "order_seq", F.when(bought, F.col("purchases")).alias("purchase_seq"), "first_purchase_at", "latest_purchase_at"
     )
 
-    hours = keyed.groupBy("_owner", "_hour").agg(
-        F.count("*").alias("_orders"),
-        F.count_if(bought).alias("_purchases"),
-        F.min(F.when(bought, F.col("ordered_at"))).alias("_first"),
-        F.max(F.when(bought, F.col("ordered_at"))).alias("_latest"),
-    )
-    whole = Window.partitionBy("_owner")
-    earlier = whole.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    carried = hours.select(
-        "_owner",
-        "_hour",
-        F.coalesce(F.sum("_orders").over(earlier), F.lit(0)).alias("_orders_before"),
-        F.coalesce(F.sum("_purchases").over(earlier), F.lit(0)).alias("_purchases_before"),
-        F.min("_first").over(whole).alias("first_purchase_at"),
-        F.max("_latest").over(whole).alias("latest_purchase_at"),
-    )
 
-    in_hour = (
-        Window.partitionBy("_owner", "_hour")
-        .orderBy("ordered_at", "order_id")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    numbered = keyed.withColumn("_n", F.count("*").over(in_hour)).withColumn("_p", F.count_if(bought).over(in_hour))
+def sequence_orders(orders: DataFrame) -> DataFrame:
+    """Adds order_seq, purchase_seq, first/latest purchase and cohort columns.
 
+    The numbers are taken on a narrow frame and joined by the order's key: the wide
+    rows are shuffled once, on the key that their economics need as well.
+    """
     cohort = F.trunc(F.to_date("first_purchase_at"), "month")
-    seq = F.when(bought, F.col("_purchases_before") + F.col("_p"))
-    # every hour has its row; as a left join it disappears when nothing reads it
-    return numbered.join(carried, ["_owner", "_hour"], "left").select(
+    seq = F.col("purchase_seq")
+    return orders.join(order_sequence(orders), "order_id", "left").select(
         *orders.columns,
-        (F.col("_orders_before") + F.col("_n")).alias("order_seq"),
-        seq.alias("purchase_seq"),
+        "order_seq",
+        "purchase_seq",
         "first_purchase_at",
         "latest_purchase_at",
         (seq == 1).alias("is_first_purchase"),

@@ -12,28 +12,31 @@ from tallywright.functions.rules import customer_status, price_tier
 from tallywright.operators.completeness import with_one_row
 from tallywright.operators.history import join_economics, sequence_orders
 
+# fixed values: the columns of the marts and their order
 ORDER_COLUMNS = (
-    "order_id user_id order_status is_revenue_recognised is_cancelled is_returned order_seq purchase_seq "
-    "is_first_purchase is_repeat_purchase cohort_month months_since_first_purchase has_line_items "
-    "is_revenue_complete items_ordered line_items units_sold distinct_products distinct_categories "
-    "gross_revenue net_revenue net_cogs net_gross_profit net_margin_pct returned_revenue discount_amount "
-    "returned_items cancelled_items days_to_ship days_in_transit days_to_deliver ordered_at ordered_date "
-    "ordered_month shipped_at delivered_at returned_at"
-).split()
+    "order_id", "user_id", "order_status", "is_revenue_recognised", "is_cancelled", "is_returned", "order_seq",
+    "purchase_seq", "is_first_purchase", "is_repeat_purchase", "cohort_month", "months_since_first_purchase",
+    "has_line_items", "is_revenue_complete", "items_ordered", "line_items", "units_sold", "distinct_products",
+    "distinct_categories", "gross_revenue", "net_revenue", "net_cogs", "net_gross_profit", "net_margin_pct",
+    "returned_revenue", "discount_amount", "returned_items", "cancelled_items", "days_to_ship",
+    "days_in_transit", "days_to_deliver", "ordered_at", "ordered_date", "ordered_month", "shipped_at",
+    "delivered_at", "returned_at",
+)
 
 ITEM_COLUMNS = (
-    "order_item_id order_id user_id product_id inventory_item_id distribution_center_id item_status "
-    "is_revenue_recognised is_returned is_cancelled product_name brand category department list_price "
-    "gross_revenue net_revenue net_cogs net_gross_profit net_margin_pct returned_revenue discount_amount "
-    "net_units ordered_at ordered_date returned_at"
-).split()
+    "order_item_id", "order_id", "user_id", "product_id", "inventory_item_id", "distribution_center_id",
+    "item_status", "is_revenue_recognised", "is_returned", "is_cancelled", "product_name", "brand", "category",
+    "department", "list_price", "gross_revenue", "net_revenue", "net_cogs", "net_gross_profit",
+    "net_margin_pct", "returned_revenue", "discount_amount", "net_units", "ordered_at", "ordered_date",
+    "returned_at",
+)
 
 
 def fct_orders(orders: DataFrame, rollup: DataFrame, boundary: DataFrame) -> DataFrame:
     """One row per order: sequence and cohort, completeness, economics.
 
-    The sequence needs only order columns, so it is computed before the
-    economics are joined; the wide rows are shuffled once, on order_id.
+    Sequence and economics are both narrow frames joined on order_id, so the wide
+    rows are shuffled once.
     """
     joined = with_one_row(join_economics(sequence_orders(orders), rollup), boundary)
     return (

@@ -11,10 +11,14 @@ from tallywright.functions.money import ratio, total
 from tallywright.operators.calendar import fill_days
 from tallywright.operators.ranking import rank_within
 
+# fixed values: the columns of the marts and their order
 _DAY_COUNTS = (
-    "orders_placed orders cancelled_orders returned_orders new_customer_orders repeat_customer_orders customers units_sold"
-).split()
-_DAY_AMOUNTS = "net_revenue net_cogs net_gross_profit returned_revenue discount_amount".split()
+    "orders_placed", "orders", "cancelled_orders", "returned_orders", "new_customer_orders",
+    "repeat_customer_orders", "customers", "units_sold",
+)
+_DAY_AMOUNTS = (
+    "net_revenue", "net_cogs", "net_gross_profit", "returned_revenue", "discount_amount",
+)
 
 
 def daily_orders(orders: DataFrame) -> DataFrame:
@@ -85,9 +89,10 @@ def product_month(items: DataFrame) -> DataFrame:
 
 
 PRODUCT_MONTH_COLUMNS = (
-    "revenue_month product_id sku product_name brand category department price_tier distribution_center_name "
-    "line_items units_sold units_returned customers net_revenue net_cogs net_gross_profit discount_amount"
-).split()
+    "revenue_month", "product_id", "sku", "product_name", "brand", "category", "department", "price_tier",
+    "distribution_center_name", "line_items", "units_sold", "units_returned", "customers", "net_revenue",
+    "net_cogs", "net_gross_profit", "discount_amount",
+)
 
 
 def with_product(monthly: DataFrame, products: DataFrame) -> DataFrame:
@@ -137,7 +142,11 @@ def with_share_of_month(df: DataFrame) -> DataFrame:
 def mart_product_performance(monthly: DataFrame, products: DataFrame) -> DataFrame:
     """One row per product and month: totals, ratios, rank in category, share of month."""
     ranked = rank_within(
-        with_product(monthly, products), ["revenue_month", "category"], best_first(), "revenue_rank_in_category"
+        with_product(monthly, products),
+        ["revenue_month", "category"],
+        best_first(),
+        "revenue_rank_in_category",
+        key=["revenue_month", "product_id"],
     )
     return with_share_of_month(with_ratios(ranked)).select(
         *PRODUCT_MONTH_COLUMNS,

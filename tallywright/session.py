@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: what the operators rely on: UTC days, and splitting a hot join key even where
-#: that costs another shuffle
+#: what the operators rely on: UTC days, splitting a hot join key even where that
+#: costs another shuffle, and limits of ranked groups that reach below the shuffle
+#: for every k
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 
@@ -51,11 +56,39 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallywright-stored"
 
 
+#: the folder of the run in progress, if any
+_RUN: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Frames stored inside go to one folder, which is removed at the end.
+
+    Write or collect what is built from them before leaving: they are gone then.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later reads prune columns, survive lost executors and never repeat the work.
+    Inside ``run_folder`` the files go when the run ends; otherwise they stay until
+    the shared folder is cleaned.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = _RUN.get() or shared_folder(df.sparkSession)
+    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
