@@ -2,34 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywright.functions.money import MONEY, cents, from_cents, ratio, total, zero
+from tallywright.operators.joins import HotKeys, lookup
 
 #: amounts that add up from units to orders, days and months
 AMOUNTS = ("gross_revenue", "net_revenue", "net_cogs", "net_gross_profit", "returned_revenue", "discount_amount")
 
 
-def join_inventory(items: DataFrame, inventory: DataFrame) -> DataFrame:
+def join_inventory(items: DataFrame, inventory: DataFrame, hot: Sequence = ()) -> DataFrame:
     """Items with the landed cost of the very unit that shipped.
 
-    Both sides are fact-sized; adaptive execution splits a hot (or null) key of
-    the item side.
+    Both sides are fact-sized. Items without a unit are dealt past the shuffle's
+    key; ``hot`` units are split.
     """
-    return items.join(inventory.select("inventory_item_id", "unit_cost"), "inventory_item_id", "left")
+    return lookup(items, inventory.select("inventory_item_id", "unit_cost"), "inventory_item_id", "order_item_id", hot)
 
 
-def join_products(items: DataFrame, products: DataFrame) -> DataFrame:
+def join_products(items: DataFrame, products: DataFrame, hot: Sequence = ()) -> DataFrame:
     """Items with their catalogue attributes.
 
     No broadcast hint: the catalogue grows with the data, so Spark decides from
-    its measured size.
+    its measured size. ``hot`` products, measured best sellers, are split.
     """
     catalogue = products.select(
         "product_id", "product_name", "brand", "category", "department", "distribution_center_id", "list_price", "list_cost"
     )
-    return items.join(catalogue, "product_id", "left")
+    return lookup(items, catalogue, "product_id", "order_item_id", hot)
 
 
 def split_amounts() -> dict[str, Column]:
@@ -54,9 +57,14 @@ def with_margin(df: DataFrame) -> DataFrame:
     )
 
 
-def enrich_items(items: DataFrame, inventory: DataFrame, products: DataFrame) -> DataFrame:
-    """Unit grain: items with cost, catalogue attributes and money split."""
-    joined = join_products(join_inventory(items, inventory), products)
+def enrich_items(items: DataFrame, inventory: DataFrame, products: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Unit grain: items with cost, catalogue attributes and money split.
+
+    ``hot`` names the keys of each column that hold many of the rows (``joins.hot_keys``).
+    """
+    hot = hot or {}
+    with_cost = join_inventory(items, inventory, hot.get("inventory_item_id", ()))
+    joined = join_products(with_cost, products, hot.get("product_id", ()))
     split = joined.select(
         "order_item_id",
         "order_id",
@@ -81,69 +89,49 @@ def enrich_items(items: DataFrame, inventory: DataFrame, products: DataFrame) ->
     return with_margin(split)
 
 
-def order_sums(items: DataFrame) -> DataFrame:
-    """Order grain: counts and sums of enriched items."""
-    summed = items.groupBy("order_id").agg(
-        F.count("*").alias("line_items"),
-        F.sum("net_units").alias("units_sold"),
-        *(F.sum(cents(F.col(name))).alias(name) for name in AMOUNTS),
-        F.count_if("is_returned").alias("returned_items"),
-        F.count_if("is_cancelled").alias("cancelled_items"),
-    )
-    return summed.select(
-        "order_id",
-        "line_items",
-        "units_sold",
-        *(from_cents(F.col(name)).cast(MONEY).alias(name) for name in AMOUNTS),
-        "returned_items",
-        "cancelled_items",
-    )
+#: order-grain sums of unit flags and counts, and the unit expression each adds up
+_COUNTS = {
+    "line_items": lambda: F.lit(1),
+    "units_sold": lambda: F.col("net_units"),
+    "returned_items": lambda: F.col("is_returned").cast("int"),
+    "cancelled_items": lambda: F.col("is_cancelled").cast("int"),
+}
 
 
-def order_variety(items: DataFrame) -> DataFrame:
-    """Order grain: distinct products and categories, and the dearest unit's category.
+def roll_up_orders(items: DataFrame) -> DataFrame:
+    """Order grain: counts, sums and variety of enriched items, in one chain.
 
-    Three small groupings replace two distinct counts: (order, category,
-    product), then (order, category), then order. Each one combines before its
-    shuffle, so an order with very many lines is spread over its products first,
-    and no per-order set is ever collected.
+    (order, category, product), then (order, category), then order: each step
+    carries the sums of the one before, and counts its groups, which are the
+    distinct products and categories. Every step combines before its shuffle, so
+    an order with very many lines is spread over its products first; the items
+    are joined and read once, without an Expand and without collected sets.
     """
-    by_product = items.groupBy("order_id", "category", "product_id").agg(F.max("gross_revenue").alias("top_unit"))
+    units = {**{name: unit() for name, unit in _COUNTS.items()}, **{name: cents(F.col(name)) for name in AMOUNTS}}
+    carried = [F.sum(name).alias(name) for name in units]
+    by_product = items.groupBy("order_id", "category", "product_id").agg(
+        *(F.sum(unit).alias(name) for name, unit in units.items()), F.max("gross_revenue").alias("top_unit")
+    )
     by_category = by_product.groupBy("order_id", "category").agg(
-        F.count("product_id").alias("distinct_products"), F.max("top_unit").alias("top_unit")
+        *carried, F.count("product_id").alias("distinct_products"), F.max("top_unit").alias("top_unit")
     )
     by_order = by_category.groupBy("order_id").agg(
+        *carried,
         F.sum("distinct_products").alias("distinct_products"),
         F.count("category").alias("distinct_categories"),
-        # ties go to the later name
-        F.max(F.struct("top_unit", "category")).alias("dearest"),
+        # ties go to the later name; a unit without category is nobody's dearest
+        F.max(F.when(F.col("category").isNotNull(), F.struct("top_unit", "category"))).alias("dearest"),
     )
     return by_order.select(
-        "order_id", "distinct_products", "distinct_categories", F.col("dearest.category").alias("sample_category")
-    )
-
-
-def roll_up_orders(items: DataFrame) -> DataFrame:
-    """Order grain: sums and variety of enriched items.
-
-    They stay two aggregates joined on the key both are partitioned by: most
-    readers need only the sums, and the unread half drops out of their plans.
-    Items without an order id get sums but no variety; no order can match them.
-    """
-    return (
-        order_sums(items)
-        .join(order_variety(items), "order_id", "left")
-        .select(
-            "order_id",
-            "line_items",
-            "units_sold",
-            "distinct_products",
-            "distinct_categories",
-            *AMOUNTS,
-            "returned_items",
-            "cancelled_items",
-            "sample_category",
-        )
+        "order_id",
+        "line_items",
+        "units_sold",
+        "distinct_products",
+        "distinct_categories",
+        *(from_cents(F.col(name)).cast(MONEY).alias(name) for name in AMOUNTS),
+        F.coalesce("returned_items", F.lit(0)).alias("returned_items"),
+        F.coalesce("cancelled_items", F.lit(0)).alias("cancelled_items"),
+        F.col("dearest.category").alias("sample_category"),
     )
 
 

@@ -8,9 +8,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from tallywright.config import Config
-from tallywright.operators import calendar, completeness, economics, history, staging
+from tallywright.operators import calendar, completeness, economics, history, joins, staging
 from tallywright.plans import core, finance, marketing
-from tallywright.sources.sinks import write_clustered, write_month_partitioned, write_table
+from tallywright.session import run_folder
+from tallywright.sources.sinks import VersionedTable, write_clustered, write_month_partitioned, write_table
 
 MARTS = (
     "fct_order_items",
@@ -28,7 +29,8 @@ class Warehouse:
     """Each model is a DataFrame built on first use.
 
     ``keep(name, df)`` decides what a mart becomes for the models after it: the
-    default leaves it lazy, ``build`` stores it.
+    default leaves it lazy, ``build`` stores it. ``measure`` looks for hot keys among
+    the items before they are joined (one pass over the keys), so that the joins split them.
     """
 
     def __init__(
@@ -36,9 +38,11 @@ class Warehouse:
         sources: Mapping[str, DataFrame],
         cfg: Config = Config(),
         keep: Callable[[str, DataFrame], DataFrame] | None = None,
+        measure: bool = False,
     ):
         self.sources = dict(sources)
         self.cfg = cfg
+        self._measure = measure
         self._keep = keep or (lambda name, df: df)
 
     # staging ---------------------------------------------------------------
@@ -71,9 +75,13 @@ class Warehouse:
         return staging.stage_events(self.sources["events"], self.cfg)
 
     # intermediate ------------------------------------------------------------
+    @cached_property
+    def hot_keys(self) -> joins.HotKeys:
+        return joins.hot_keys(self.order_items, "inventory_item_id", "product_id") if self._measure else {}
+
     @cached_property
     def enriched_items(self) -> DataFrame:
-        return economics.enrich_items(self.order_items, self.inventory_items, self.products)
+        return economics.enrich_items(self.order_items, self.inventory_items, self.products, self.hot_keys)
 
     @cached_property
     def order_rollup(self) -> DataFrame:
@@ -159,21 +167,26 @@ LAYOUTS = {
 
 
 def store_mart(name: str, df: DataFrame, folder: str) -> DataFrame:
-    """Write one mart in its layout under ``folder`` and read it back."""
-    path = f"{folder.rstrip('/')}/{name}"
+    """Write one mart in its layout as a new version under ``folder`` and read it back."""
     date_column, cluster_by, key = LAYOUTS.get(name, (None, (), ()))
-    if date_column:
-        kept = write_month_partitioned(df, path, date_column, cluster_by, key)
-    elif cluster_by:
-        kept = write_clustered(df, path, cluster_by, key)
-    else:
-        kept = write_table(df, path)
-    return kept.select(*df.columns)
+
+    def write(path: str) -> DataFrame:
+        if date_column:
+            return write_month_partitioned(df, path, date_column, cluster_by, key)
+        if cluster_by:
+            return write_clustered(df, path, cluster_by, key)
+        return write_table(df, path)
+
+    return VersionedTable(df.sparkSession, f"{folder.rstrip('/')}/{name}").replace(write).select(*df.columns)
 
 
 def build(sources: Mapping[str, DataFrame], cfg: Config, folder: str) -> Warehouse:
-    """Build and store every mart; later marts read the stored earlier ones."""
-    warehouse = Warehouse(sources, cfg, keep=lambda name, df: store_mart(name, df, folder))
-    for name in MARTS:
-        warehouse.frame(name)
+    """Build and store every mart; later marts read the stored earlier ones.
+
+    A rebuild over an earlier one leaves that readable until each new mart is whole.
+    """
+    warehouse = Warehouse(sources, cfg, keep=lambda name, df: store_mart(name, df, folder), measure=True)
+    with run_folder(warehouse.sources["orders"].sparkSession):
+        for name in MARTS:
+            warehouse.frame(name)
     return warehouse

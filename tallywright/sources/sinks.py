@@ -1,13 +1,17 @@
-"""Writing marts: full rebuilds, month partitions, clustered layouts."""
+"""Writing marts: full rebuilds, month partitions, clustered layouts, versions."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywright.session import remove_folder
+
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Full rebuild of ``path``; returns the stored table."""
@@ -57,3 +61,78 @@ def between_dates(
     """Rows of a month-partitioned table between two days, opening only their months."""
     months = F.col(partition_column).between(F.trunc(F.lit(first), "month"), F.trunc(F.lit(last), "month"))
     return table.where(months & F.col(date_column).between(F.lit(first), F.lit(last)))
+
+
+class VersionedTable:
+    """A table that is rebuilt beside its old rows and switched over when it is whole.
+
+    Each rebuild writes a folder of its own, then replaces a small file that names the
+    current one, by an atomic rename. A job that is lost half-way leaves that file alone,
+    so readers find the old rows; those who have the old version open go on reading it until
+    ``expire`` removes it.
+    """
+
+    POINTER = "_current"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def replace(self, write: Callable[[str], DataFrame]) -> DataFrame:
+        """``write`` puts the new rows into the folder it is given; returns the table read from there."""
+        version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        write(f"{self.path}/{version}")
+        self._point_to(version)
+        return self.read()
+
+    def read(self, version: str | None = None) -> DataFrame:
+        """The current rows, or those of an earlier version."""
+        version = version or self.current()
+        if version is None:
+            raise FileNotFoundError(f"{self.path} has no finished version")
+        return self.spark.read.parquet(f"{self.path}/{version}")
+
+    def current(self) -> str | None:
+        pointer = self._path(self.POINTER)
+        if not self._files().util().exists(pointer):
+            return None
+        stream = self._files().open(pointer)
+        try:
+            return bytes(stream.readNBytes(200)).decode()
+        finally:
+            stream.close()
+
+    def versions(self) -> list[str]:
+        """All finished versions that are still there, the oldest first, the current one last."""
+        current = self.current()
+        if current is None:
+            return []
+        found = [f.getPath().getName() for f in self._files().util().listStatus(self._path("")) if f.isDirectory()]
+        return sorted(v for v in found if v <= current and self._files().util().exists(self._path(f"{v}/_SUCCESS")))
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Removes all but the ``keep`` newest finished versions; the current one always stays."""
+        old = self.versions()[: -max(1, keep)]
+        for version in old:
+            remove_folder(self.spark, f"{self.path}/{version}")
+        return old
+
+    def _point_to(self, version: str) -> None:
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        fresh = self._path(f"{self.POINTER}-{version}")
+        flags = self.spark._jvm.java.util.EnumSet.of(fs.CreateFlag.CREATE, fs.CreateFlag.OVERWRITE)
+        options = self.spark._sc._gateway.new_array(fs.Options.CreateOpts, 0)
+        stream = self._files().create(fresh, flags, options)
+        try:
+            stream.write(bytearray(version.encode()))
+        finally:
+            stream.close()
+        renames = self.spark._sc._gateway.new_array(fs.Options.Rename, 1)
+        renames[0] = fs.Options.Rename.OVERWRITE
+        self._files().rename(fresh, self._path(self.POINTER), renames)
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _files(self):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        return hadoop.FileContext.getFileContext(self._path("").toUri(), self.spark._jsc.hadoopConfiguration())

@@ -96,3 +96,46 @@ def test_a_missing_or_mistyped_source_column_is_an_error(spark, tmp_path, wrong)
         empty.write.parquet(str(tmp_path / name))
     with pytest.raises(TypeError, match="orders: user_id"):
         tables.read_sources(spark, str(tmp_path))
+
+
+def test_a_lost_rebuild_leaves_the_old_rows(spark, tmp_path):
+    table = sinks.VersionedTable(spark, str(tmp_path / "mart"))
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    first = table.replace(lambda path: sinks.write_table(spark.range(10), path))
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") > 990, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        table.replace(lambda path: sinks.write_table(broken, path))
+    assert table.read().count() == 10 and len(table.versions()) == 1
+    second = table.replace(lambda path: sinks.write_table(spark.range(20), path))
+    assert second.count() == 20 and first.count() == 10  # an open reader keeps its version
+    assert table.read(table.versions()[0]).count() == 10 and table.versions()[-1] == table.current()
+
+
+def test_old_versions_expire_but_the_current_one(spark, tmp_path):
+    table = sinks.VersionedTable(spark, str(tmp_path / "mart"))
+    for n in (1, 2, 3):
+        table.replace(lambda path: sinks.write_table(spark.range(n), path))
+    assert len(table.expire(keep=2)) == 1 and len(table.versions()) == 2
+    assert table.expire(keep=0) and table.versions() == [table.current()] and table.read().count() == 3
+
+
+def test_rebuilding_all_marts_switches_them(spark, tmp_path):
+    sample = Sample(spark, SMALL)
+    folder = str(tmp_path / "marts")
+    build(sample.sources, SAMPLE_CONFIG, folder)
+    smaller = {**sample.sources, "users": sample.sources["users"].where("id % 2 = 0")}
+    old = sinks.VersionedTable(spark, f"{folder}/dim_customers").read()
+    n = old.count()
+    again = build(smaller, SAMPLE_CONFIG, folder)
+    assert 0 < again.dim_customers.count() < n == old.count()
+
+
+def test_a_run_removes_what_it_stored(spark):
+    with session.run_folder(spark) as folder:
+        kept = session.stored(spark.range(5), "rows")
+        assert kept.count() == 5 and folder in kept.inputFiles()[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    outside = session.stored(spark.range(5), "rows")
+    assert folder not in outside.inputFiles()[0] and outside.count() == 5
