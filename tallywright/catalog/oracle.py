@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 
 from tallywright.functions import fixed_values as fixed
-from tallywright.plans.contracts import CONTRACTS, Contract
 from tallywright.plans.core import ITEM_COLUMNS, ORDER_COLUMNS
 
 
@@ -637,8 +636,10 @@ ORACLES: dict[str, str] = {
     ),
     "join_reconcile": _out(
         "order_id order_revenue line_item_revenue difference",
-        "SELECT order_id, net_revenue AS order_revenue, net_revenue AS line_item_revenue, 0 AS difference FROM baskets "
-        "SEMI JOIN c_orders USING (order_id)",
+        "SELECT order_id, o.net_revenue AS order_revenue, i.total AS line_item_revenue, "
+        "abs(o.net_revenue - i.total) AS difference FROM m_orders o JOIN (SELECT order_id, "
+        "sum(CASE WHEN item_status NOT IN ('Cancelled', 'Returned') THEN sale_price ELSE 0 END) AS total "
+        "FROM c_items GROUP BY 1) i USING (order_id)",
     ),
     "scalar_subquery": _out(
         "first_incomplete_date max_order_date last_seen",
@@ -918,6 +919,17 @@ ORACLES["chk_revenue_reconciles_fires"] = _out(
     "0.02 * extra AS difference FROM units JOIN (SELECT order_id, count(*) AS extra FROM units "
     "WHERE order_item_id % 5 = 0 AND is_revenue_recognised GROUP BY 1) USING (order_id) GROUP BY order_id, extra",
 )
+ORACLES["chk_cohort_full_retention_fires"] = _out(
+    "cohort_month retention_rate",
+    f"SELECT * FROM (SELECT cohort_month, {ratio('active_customers', 'cohort_customers + 1', 4)} AS retention_rate "
+    "FROM m_cohorts WHERE months_since_first_purchase = 0) WHERE retention_rate < 0.9999",
+)
+ORACLES["chk_ltv_unknown_not_zero_fires"] = _out(
+    "user_id lifetime_orders lifetime_orders_missing_economics lifetime_net_revenue avg_order_value",
+    "SELECT user_id, lifetime_orders, lifetime_orders_missing_economics, lifetime_net_revenue, 0 AS avg_order_value "
+    "FROM m_customers WHERE has_purchased AND lifetime_orders = lifetime_orders_missing_economics",
+    src_items="SELECT * FROM (" + RELATIONS["src_items"] + ") WHERE user_id % 20 <> 0",
+)
 
 # metrics by month: (relation, time column, SQL of the value)
 def _div(n: str, d: str) -> str:
@@ -1044,48 +1056,159 @@ ORACLES["mq_zero_fill"] = _out(
     "metric_time net_revenue orders_placed", "SELECT revenue_date AS metric_time, net_revenue, orders_placed FROM m_daily"
 )
 
-# every contract and assertion counted, like the check report
-_RELATION_OF = {f"source.{table}": relation for table, relation in _SOURCES.items()} | {
-    "users": "c_users",
-    "orders": "c_orders",
-    "order_items": "c_items",
-    "products": "c_products",
-    "inventory_items": "c_inventory",
-    "distribution_centers": "c_centers",
-    "events": "c_events",
-    "fct_orders": "m_orders",
-    "fct_order_items": "units",
-    "dim_customers": "m_customers",
-    "dim_products": "m_products",
-    "fct_daily_revenue": "m_daily",
-    "mart_product_performance": "m_performance",
-    "mart_customer_cohorts": "m_cohorts",
-    "mart_acquisition_channels": "m_channels",
-    "time_spine": "spine_days",
-}
 RELATIONS["spine_days"] = (
     "SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2030-12-31', INTERVAL 1 DAY)) AS date_day"
 )
+RELATIONS["young_months"] = (
+    "SELECT date_trunc('month', ordered_date) AS month, traffic_source, sum(net_revenue) AS revenue, "
+    f"count(*) AS placed, {_BY_ORDER['average_order_value']} AS average_order_value FROM m_orders "
+    "JOIN m_customers USING (user_id) WHERE age BETWEEN 18 AND 24 GROUP BY 1, 2"
+)
+ORACLES["mq_zero_fill_by_source"] = _out(
+    "metric_time__month customer__traffic_source net_revenue orders_placed average_order_value",
+    "SELECT month AS metric_time__month, traffic_source AS customer__traffic_source, coalesce(revenue, 0) AS net_revenue, "
+    "coalesce(placed, 0) AS orders_placed, average_order_value FROM (SELECT DISTINCT date_trunc('month', date_day) AS month "
+    "FROM spine_days) CROSS JOIN (SELECT DISTINCT traffic_source FROM young_months) "
+    "LEFT JOIN young_months USING (month, traffic_source)",
+)
+ORACLES["mq_time_grain_customers"] = _out(
+    "grain metric_time customer__gender purchasing_customers average_order_value",
+    "SELECT * FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{g}' AS grain, date_trunc('{g}', ordered_date) AS metric_time, gender AS customer__gender, "
+        f"count(DISTINCT user_id) AS purchasing_customers, {_BY_ORDER['average_order_value']} AS average_order_value "
+        "FROM m_orders LEFT JOIN c_users USING (user_id) GROUP BY ALL"
+        for g in ("day", "week", "month", "quarter", "year")
+    )
+    + ")",
+)
+ORACLES["mq_customer_segments"] = _out(
+    "customer__customer_status customer__is_active customer__age_band registered_customers orders_placed "
+    "lifetime_value_per_customer",
+    "SELECT customer_status AS customer__customer_status, is_active AS customer__is_active, age_band AS customer__age_band, "
+    "sum(customers) AS registered_customers, sum(placed) AS orders_placed, "
+    f"{_div('sum(revenue)', 'sum(buyers)')} AS lifetime_value_per_customer FROM ("
+    "SELECT customer_status, is_active, age_band, 1 AS customers, NULL AS placed, lifetime_net_revenue AS revenue, "
+    "has_purchased::INT AS buyers FROM m_customers UNION ALL "
+    "SELECT customer_status, is_active, age_band, NULL, 1, NULL, NULL FROM m_orders LEFT JOIN m_customers USING (user_id)) "
+    "GROUP BY ALL",
+)
+ORACLES["mq_brand_status"] = _out(
+    "brand item_status item_revenue_measure returned_units_measure",
+    "SELECT brand, item_status, sum(net_revenue) AS item_revenue_measure, count(*) FILTER (is_returned) AS "
+    "returned_units_measure FROM units GROUP BY 1, 2",
+)
+ORACLES["mq_cohort_quarter"] = _out(
+    "cohort_month__quarter is_first_purchase net_revenue purchasing_customers",
+    "SELECT CAST(date_trunc('quarter', cohort_month) AS DATE) AS cohort_month__quarter, is_first_purchase, sum(net_revenue) AS net_revenue, "
+    "count(DISTINCT user_id) AS purchasing_customers FROM m_orders GROUP BY 1, 2",
+)
+
+# the check report, every rule written out: keys, then values, then references
+_UNIQUE = {
+    "source.users": ("src_users", "id"), "source.orders": ("src_orders", "order_id"), "source.order_items": ("src_items", "id"),
+    "source.products": ("src_products", "id"), "source.inventory_items": ("src_inventory", "id"),
+    "source.distribution_centers": ("src_centers", "id"), "source.events": ("src_events", "id"), "users": ("c_users", "user_id"),
+    "orders": ("c_orders", "order_id"), "order_items": ("c_items", "order_item_id"), "products": ("c_products", "product_id"),
+    "inventory_items": ("c_inventory", "inventory_item_id"), "events": ("c_events", "event_id"),
+    "distribution_centers": ("c_centers", "distribution_center_id distribution_center_name"),
+    "fct_orders": ("m_orders", "order_id"), "fct_order_items": ("units", "order_item_id"),
+    "dim_customers": ("m_customers", "user_id"), "dim_products": ("m_products", "product_id"),
+    "fct_daily_revenue": ("m_daily", "revenue_date"), "time_spine": ("spine_days", "date_day"),
+}
+_GRAINS = [
+    ("mart_product_performance", "m_performance", "revenue_month, product_id"),
+    ("mart_customer_cohorts", "m_cohorts", "cohort_month, months_since_first_purchase"),
+    ("mart_acquisition_channels", "m_channels", "registration_month, traffic_source"),
+]
+#: beside the unique keys, none of which may be null
+_PRESENT = [
+    ("source.orders", "src_orders", "user_id"),
+    ("source.order_items", "src_items", "order_id"),
+    ("users", "c_users", "email registered_at"),
+    ("orders", "c_orders", "user_id order_status"),
+    ("order_items", "c_items", "order_id product_id sale_price"),
+    ("products", "c_products", "sku category"),
+    ("inventory_items", "c_inventory", "product_id unit_cost"),
+    ("events", "c_events", "event_type session_id"),
+    ("fct_orders", "m_orders", "user_id is_revenue_recognised has_line_items is_revenue_complete ordered_date"),
+    ("fct_orders", "(SELECT * FROM m_orders WHERE is_revenue_complete)", "net_revenue"),
+    ("fct_order_items", "units", "order_id"),
+    ("dim_customers", "m_customers", "customer_status lifetime_net_revenue lifetime_orders lifetime_incomplete_orders "
+     "has_incomplete_orders lifetime_orders_missing_economics"),
+    ("dim_products", "m_products", "sku"),
+    ("fct_daily_revenue", "m_daily", "is_revenue_complete net_revenue"),
+    ("mart_product_performance", "m_performance", "product_id revenue_month"),
+    ("mart_customer_cohorts", "m_cohorts", "cohort_month cohort_customers"),
+    ("mart_acquisition_channels", "m_channels", "customers_acquired"),
+]
+_ORDER_STATUSES = "'Processing', 'Shipped', 'Complete', 'Cancelled', 'Returned'"
+_ALLOWED = [
+    ("source.orders", "src_orders", "status", _ORDER_STATUSES),
+    ("users", "c_users", "age_band", "'18-24', '25-34', '35-44', '45-54', '55-64', '65+'"),
+    ("users", "c_users", "gender", "'M', 'F'"),
+    ("orders", "c_orders", "order_status", _ORDER_STATUSES),
+    ("order_items", "c_items", "item_status", _ORDER_STATUSES),
+    ("products", "c_products", "department", "'Men', 'Women'"),
+    ("fct_orders", "m_orders", "order_status", _ORDER_STATUSES),
+    ("dim_customers", "m_customers", "customer_status", "'Never purchased', 'Active - new', 'Active - repeat', 'Lapsing', 'Churned'"),
+    ("dim_products", "m_products", "price_tier", "'Budget (<$25)', 'Mid ($25-$75)', 'Premium ($75-$200)', 'Luxury ($200+)'"),
+]
+#: a row breaks its range where the condition holds
+_RANGES = [
+    ("orders", "c_orders", "items_ordered", "items_ordered < 1", "error"),
+    ("orders", "c_orders", "days_to_ship", "days_to_ship < 0", "error"),
+    ("order_items", "c_items", "sale_price", "sale_price < 0", "error"),
+    ("products", "c_products", "list_price", "list_price <= 0", "error"),
+    ("products", "c_products", "list_margin_pct", "abs(list_margin_pct) > 1", "error"),
+    ("inventory_items", "c_inventory", "unit_cost", "unit_cost < 0", "error"),
+    ("fct_orders", "m_orders", "net_revenue", "net_revenue < 0", "error"),
+    ("fct_order_items", "units", "net_revenue", "net_revenue < 0", "error"),
+    ("fct_order_items", "units", "net_margin_pct", "net_margin_pct < -5 OR net_margin_pct > 1", "warn"),
+    ("dim_customers", "m_customers", "lifetime_net_revenue", "lifetime_net_revenue < 0", "error"),
+    ("dim_customers", "m_customers", "lifetime_orders", "lifetime_orders < 0", "error"),
+    ("dim_customers", "m_customers", "avg_order_value", "avg_order_value <= 0", "error"),
+    ("dim_products", "m_products", "sell_through_rate", "sell_through_rate < 0 OR sell_through_rate > 1", "error"),
+    ("fct_daily_revenue", "m_daily", "gross_margin_pct", "abs(gross_margin_pct) > 1", "error"),
+    ("fct_daily_revenue", "m_daily", "cancellation_rate", "cancellation_rate < 0 OR cancellation_rate > 1", "error"),
+    ("mart_customer_cohorts", "m_cohorts", "retention_rate", "retention_rate < 0 OR retention_rate > 1", "error"),
+    ("mart_customer_cohorts", "m_cohorts", "cohort_customers", "cohort_customers < 1", "error"),
+    ("mart_acquisition_channels", "m_channels", "conversion_rate", "conversion_rate < 0 OR conversion_rate > 1", "error"),
+]
+_PARENTS = [
+    ("source.orders", "src_orders", "user_id", "src_users", "id"),
+    ("source.order_items", "src_items", "order_id", "src_orders", "order_id"),
+    ("source.order_items", "src_items", "product_id", "src_products", "id"),
+    ("orders", "c_orders", "user_id", "c_users", "user_id"),
+    ("order_items", "c_items", "order_id", "c_orders", "order_id"),
+    ("order_items", "c_items", "product_id", "c_products", "product_id"),
+    ("order_items", "c_items", "inventory_item_id", "c_inventory", "inventory_item_id"),
+    ("inventory_items", "c_inventory", "product_id", "c_products", "product_id"),
+    ("fct_orders", "m_orders", "user_id", "m_customers", "user_id"),
+    ("fct_order_items", "units", "order_id", "m_orders", "order_id"),
+    ("fct_order_items", "units", "product_id", "m_products", "product_id"),
+]
 
 
-def _failing_rows(c: Contract) -> str:
-    relation, column = _RELATION_OF[c.table], c.columns[0]
-    only = f" AND ({c.where})" if c.where else ""
-    if c.check == "unique":
-        return f"SELECT {column} FROM {relation} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
-    if c.check == "unique_combination":
-        return f"SELECT {c.column} FROM {relation} GROUP BY ALL HAVING count(*) > 1"
-    if c.check == "relationships":
-        parent = _RELATION_OF[c.parent]
-        return f"SELECT 1 FROM {relation} WHERE {column} NOT IN (SELECT {c.parent_key} FROM {parent})"
-    if c.check == "not_null":
-        return f"SELECT 1 FROM {relation} WHERE {column} IS NULL{only}"
-    if c.check == "accepted_values":
-        return f"SELECT 1 FROM {relation} WHERE {column} NOT IN ({_quoted(c.values)}){only}"
-    low, high = ("<", ">") if c.inclusive else ("<=", ">=")
-    bounds = [f"{column} {low} {c.min_value}"] * (c.min_value is not None)
-    bounds += [f"{column} {high} {c.max_value}"] * (c.max_value is not None)
-    return f"SELECT 1 FROM {relation} WHERE ({' OR '.join(bounds)}){only}"
+def _failures() -> list[tuple[str, str, str, str, str]]:
+    """check, table, column, severity and SQL of the violating rows or keys of each rule."""
+    found = []
+    for table, (relation, columns) in _UNIQUE.items():
+        for c in columns.split():
+            repeated = f"SELECT {c} FROM {relation} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+            found.append(("unique", table, c, "error", repeated))
+            found.append(("not_null", table, c, "error", f"SELECT 1 FROM {relation} WHERE {c} IS NULL"))
+    for table, relation, columns in _GRAINS:
+        found.append(("unique_combination", table, columns, "error", f"SELECT {columns} FROM {relation} GROUP BY ALL HAVING count(*) > 1"))
+    for table, relation, columns in _PRESENT:
+        found += [("not_null", table, c, "error", f"SELECT 1 FROM {relation} WHERE {c} IS NULL") for c in columns.split()]
+    for table, relation, c, values in _ALLOWED:
+        found.append(("accepted_values", table, c, "error", f"SELECT 1 FROM {relation} WHERE {c} NOT IN ({values})"))
+    for table, relation, c, broken, severity in _RANGES:
+        found.append(("accepted_range", table, c, severity, f"SELECT 1 FROM {relation} WHERE {broken}"))
+    for table, relation, c, parent, key in _PARENTS:
+        found.append(("relationships", table, c, "error", f"SELECT 1 FROM {relation} WHERE {c} NOT IN (SELECT {key} FROM {parent})"))
+    return found
 
 
 _ASSERTED = [
@@ -1113,9 +1236,9 @@ _ASSERTED = [
      "USING (order_id) WHERE abs(o.net_revenue - i.total) > 0.01"),
 ]
 _COUNTED = [
-    f"SELECT '{c.check}' AS check_name, '{c.table}' AS table_name, '{c.column}' AS column_name, "
-    f"'{c.severity}' AS severity, (SELECT count(*) FROM ({_failing_rows(c)})) AS failures"
-    for c in CONTRACTS
+    f"SELECT '{check}' AS check_name, '{table}' AS table_name, '{column}' AS column_name, "
+    f"'{severity}' AS severity, (SELECT count(*) FROM ({rows})) AS failures"
+    for check, table, column, severity, rows in _failures()
 ] + [
     f"SELECT '{name}', '{mart}', '', 'error', (SELECT count(*) FROM ({rows}))" for name, mart, rows in _ASSERTED
 ]

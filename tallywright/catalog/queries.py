@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tallywright.config import Config
 from tallywright.functions import dates, money, rules, text
 from tallywright.functions import fixed_values as fixed
-from tallywright.operators import calendar, checks, completeness, economics, history, ranking, staging
+from tallywright.operators import calendar, checks, completeness, economics, history, joins, ranking, staging
 from tallywright.plans import contracts, core, finance, invariants, marketing, metrics
 from tallywright.plans.warehouse import Warehouse, build
 from tallywright.session import configure, shared_folder
@@ -99,20 +99,27 @@ def _(w):
 
 @query("sink_table")
 def _(w):
-    return sinks.write_table(w.mart_acquisition_channels, w.scratch("table"))
+    """Built twice: the second version replaces the first."""
+    table = sinks.VersionedTable(w.spark, w.scratch("table"))
+    table.replace(lambda path: sinks.write_table(w.mart_acquisition_channels.limit(0), path))
+    return table.replace(lambda path: sinks.write_table(w.mart_acquisition_channels, path))
 
 
 @query("sink_month_partitioned")
 def _(w):
-    kept = sinks.write_month_partitioned(
-        w.fct_orders, w.scratch("months"), "ordered_date", ["order_status", "user_id"], ["order_id"]
+    kept = sinks.VersionedTable(w.spark, w.scratch("months")).replace(
+        lambda path: sinks.write_month_partitioned(
+            w.fct_orders, path, "ordered_date", ["order_status", "user_id"], ["order_id"]
+        )
     )
     return kept.select("order_id", "order_status", "user_id", "ordered_date", "partition_month", "net_revenue")
 
 
 @query("sink_clustered")
 def _(w):
-    return sinks.write_clustered(w.dim_products, w.scratch("clustered"), ["department", "category"], ["product_id"])
+    return sinks.VersionedTable(w.spark, w.scratch("clustered")).replace(
+        lambda path: sinks.write_clustered(w.dim_products, path, ["department", "category"], ["product_id"])
+    )
 
 
 # staging, filters, projections -----------------------------------------------------
@@ -156,10 +163,12 @@ def _(w):
 
 # joins -------------------------------------------------------------------------------
 _add(
-    join_items_inventory=lambda w: economics.join_inventory(w.order_items, w.inventory_items).select(
-        "order_item_id", "inventory_item_id", "unit_cost"
-    ),
-    join_items_products=lambda w: economics.join_products(w.order_items, w.products).select(
+    join_items_inventory=lambda w: economics.join_inventory(
+        w.order_items, w.inventory_items, joins.hot_keys(w.order_items, "inventory_item_id")["inventory_item_id"]
+    ).select("order_item_id", "inventory_item_id", "unit_cost"),
+    join_items_products=lambda w: economics.join_products(
+        w.order_items, w.products, joins.hot_keys(w.order_items, "product_id")["product_id"]
+    ).select(
         "order_item_id", "product_id", "product_name", "brand", "category", "department", "list_price", "list_cost"
     ),
     join_orders_economics=lambda w: history.join_economics(w.orders, w.order_rollup).select(
@@ -222,19 +231,13 @@ def _(w):
 
 @query("semi_fk")
 def _(w):
-    """Foreign keys without a parent row, over all declared references."""
-    found = [
-        c.violations(w.frame).select(
-            F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"), "key", "n_rows"
-        )
-        for c in contracts.CONTRACTS
-        if c.check == "relationships" and not c.table.startswith(("fct_", "dim_"))
+    """Foreign keys without a parent row, over all declared references and one that has gaps here."""
+    declared = [
+        c for c in contracts.CONTRACTS if c.check == "relationships" and not c.table.startswith(("fct_", "dim_"))
     ]
-    # headers whose lines have not landed: the one reference that has gaps here
-    late = checks.orphans(w.orders, "order_id", w.order_items, "order_id").select(
-        F.lit("orders").alias("table_name"), F.lit("order_id").alias("column_name"), "key", "n_rows"
-    )
-    return reduce(DataFrame.unionByName, [*found, late])
+    # headers whose lines have not landed
+    late = contracts.Contract("relationships", "orders", ("order_id",), parent="order_items", parent_key="order_id")
+    return contracts.lost_references(w.frame, [*declared, late])
 
 
 # aggregations ----------------------------------------------------------------------------
@@ -499,6 +502,26 @@ def _(w):
     return invariants.invariant("first_order_not_before_registration", shop.frame, w.cfg)
 
 
+@query("chk_cohort_full_retention_fires")
+def _(w):
+    """Cohort sizes one too high."""
+    cohorts = w.mart_customer_cohorts
+    size = F.col("cohort_customers") + 1
+    wrong = cohorts.withColumn("retention_rate", money.ratio(F.col("active_customers"), size, 4))
+    return invariants.invariant("cohort_starts_at_full_retention", lambda name: wrong, w.cfg)
+
+
+@query("chk_ltv_unknown_not_zero_fires")
+def _(w):
+    """Customers none of whose lines have landed, with their unknown revenue read as zero in the average."""
+    lost = w.sources["order_items"].where(F.col("user_id") % 20 != 0)
+    shop = Warehouse({**w.sources, "order_items": lost}, w.cfg)
+    read_as_zero = shop.dim_customers.withColumn(
+        "avg_order_value", money.ratio(F.col("lifetime_net_revenue"), F.col("lifetime_orders"), 2)
+    )
+    return invariants.invariant("unknown_value_is_not_zero", lambda name: read_as_zero, w.cfg)
+
+
 _add(
     # unknown revenue read as zero
     chk_incomplete_null_revenue_fires=lambda w: invariants.invariant(
@@ -561,23 +584,34 @@ _add(
     mq_offset_day=lambda w: metrics.metric_query(
         w.frame, ["net_revenue", "net_revenue_mom_growth"], ["metric_time__day"]
     ),
+    mq_time_grain=lambda w: metrics.metric_query(
+        w.frame, ["net_revenue", "order_count"], ["metric_time"], grains=dates.GRAINS
+    ),
+    # a distinct count in every grain, by a joined dimension
+    mq_time_grain_customers=lambda w: metrics.metric_query(
+        w.frame, ["purchasing_customers", "average_order_value"], ["metric_time", "customer__gender"], grains=dates.GRAINS
+    ),
+    mq_customer_segments=lambda w: metrics.metric_query(
+        w.frame, ["registered_customers", "orders_placed", "lifetime_value_per_customer"],
+        ["customer__customer_status", "customer__is_active", "customer__age_band"],
+    ),
+    mq_brand_status=lambda w: metrics.metric_query(
+        w.frame, ["item_revenue_measure", "returned_units_measure"], ["brand", "item_status"]
+    ),
+    mq_cohort_quarter=lambda w: metrics.metric_query(
+        w.frame, ["net_revenue", "purchasing_customers"], ["cohort_month__quarter", "is_first_purchase"]
+    ),
+    # every traffic source over the whole calendar, months without orders included
+    mq_zero_fill_by_source=lambda w: metrics.metric_query(
+        w.frame, ["net_revenue", "orders_placed", "average_order_value"], ["metric_time__month", "customer__traffic_source"],
+        where=lambda d: d("customer__age_band") == fixed.AGE_BANDS[0][1], fill_zero=w.time_spine,
+    ),
     mq_zero_fill=lambda w: metrics.metric_query(
         w.frame, ["net_revenue", "orders_placed"], ["metric_time"], grain="day", fill_zero=True
     ),
 )
 
 
-@query("mq_time_grain")
-def _(w):
-    per_grain = [
-        metrics.metric_query(w.frame, ["net_revenue", "order_count"], ["metric_time"], grain=grain).withColumn(
-            "grain", F.lit(grain)
-        )
-        for grain in dates.GRAINS
-    ]
-    return reduce(DataFrame.unionByName, per_grain)
-
-
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
     return portable(QUERIES[name](Sample(spark, folder)))

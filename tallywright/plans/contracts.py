@@ -240,12 +240,12 @@ def _is_whole(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 
 
-def reference_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
-    """Rows without a parent per reference check, in one join.
+def _lost_keys(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
+    """``number, key, n_rows``: keys without a parent for each reference, in one shuffle of all.
 
-    Children are counted per key first, so a key that fills a table is one row.
+    Children are counted per key first, so a key that fills a table is one row. A parent's key
+    marks its group: no join, and a key that many rows carry is combined on both sides.
     """
-
     whole = all(
         _is_whole(frames(c.table), c.columns[0]) and _is_whole(frames(c.parent), c.parent_key) for c in contracts
     )
@@ -254,17 +254,39 @@ def reference_failures(frames: Callable[[str], DataFrame], contracts: Sequence[C
     def children(number: int, contract: Contract) -> DataFrame:
         rows = checks.restrict(frames(contract.table), contract.where)
         key = F.col(contract.columns[0])
-        return rows.where(key.isNotNull()).select(F.lit(number).alias("number"), key.cast(kind).alias("key"))
+        return rows.where(key.isNotNull()).select(
+            F.lit(number).alias("number"), key.cast(kind).alias("key"), F.lit(1).alias("child"), F.lit(0).alias("parent")
+        )
+
+    # a parent table that several references share is read once, for all of their numbers
+    by_parent: dict[tuple[str, str], list[int]] = {}
+    for number, contract in enumerate(contracts):
+        by_parent.setdefault((contract.parent, contract.parent_key), []).append(number)
+
+    def parents(parent: str, parent_key: str, numbers: list[int]) -> DataFrame:
+        return frames(parent).select(
+            F.explode(F.array(*map(F.lit, numbers))).alias("number"), F.col(parent_key).cast(kind).alias("key"),
+            F.lit(0).alias("child"), F.lit(1).alias("parent"),
+        )
+
+    sides = [children(i, c) for i, c in enumerate(contracts)]
+    sides += [parents(parent, key, numbers) for (parent, key), numbers in by_parent.items()]
+    met = reduce(DataFrame.unionByName, sides).groupBy("number", "key").agg(
+        F.sum("child").alias("n_rows"), F.max("parent").alias("known")
+    )
+    return met.where("known = 0").select("number", "key", "n_rows")
+
 
-    def parents(number: int, contract: Contract) -> DataFrame:
-        key = F.col(contract.parent_key).cast(kind)
-        return frames(contract.parent).select(F.lit(number).alias("number"), key.alias("key"))
+def lost_references(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
+    """Every key without a parent row, and how many rows carry it, by table and column."""
+    names = F.array(*(F.struct(F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name")) for c in contracts))
+    lost = _lost_keys(frames, contracts)
+    return lost.select(F.get(names, F.col("number")).alias("name"), "key", "n_rows").select("name.*", "key", "n_rows")
 
-    numbered = list(enumerate(contracts))
-    referring = reduce(DataFrame.unionByName, [children(i, c) for i, c in numbered])
-    counted = referring.groupBy("number", "key").agg(F.count("*").alias("n_rows"))
-    known = reduce(DataFrame.unionByName, [parents(i, c) for i, c in numbered])
-    lost = counted.join(known, ["number", "key"], "left_anti")
+
+def reference_failures(frames: Callable[[str], DataFrame], contracts: Sequence[Contract]) -> DataFrame:
+    """Rows without a parent per reference check."""
+    lost = _lost_keys(frames, contracts)
     return _by_number(lost.groupBy("number").agg(F.sum("n_rows").alias("failures")), contracts)
 
 

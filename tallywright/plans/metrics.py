@@ -3,18 +3,24 @@
 A semantic model describes one mart: its time column, entities (join keys),
 dimensions and measures. ``metric_query`` aggregates each model that a query needs
 once and puts the results side by side, one row per group.
+
+Facts are aggregated before they meet a dimension: by the join key and whatever else
+the query needs of them, and again after each join, so a join sees a row per group,
+not per fact. A distinct count keeps the counted value among the groups until the end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywright.functions.dates import GRAINS, truncate
 from tallywright.functions.money import total
+from tallywright.operators.completeness import with_one_row
 
 
 @dataclass(frozen=True)
@@ -24,9 +30,10 @@ class Measure:
     expr: Callable[[], Column]
     agg: str = "sum"
 
-    def column(self) -> Column:
+    def merge(self, name: str) -> Column:
+        """The aggregate over rows, or over partial results, that hold the measure in column ``name``."""
         aggregates = {"sum": F.sum, "total": total, "count_distinct": F.countDistinct}
-        return aggregates[self.agg](self.expr())
+        return aggregates[self.agg](F.col(name)).alias(name)
 
 
 def _amount(name: str) -> Measure:
@@ -174,72 +181,119 @@ def _measures_of(name: str) -> set[str]:
     return set().union(*(_measures_of(p) for p in parts))
 
 
+@dataclass
+class _Lookup:
+    """A join to the one row of another model that a key refers to."""
+
+    model: Model
+    key: str  # the state column that refers to it
+    columns: dict[str, Column] = field(default_factory=dict)  # state column -> expression over its mart
+
+
 class _Grouping:
-    """Resolves dimension names on one model, joining other models as needed."""
+    """Resolves dimension names on one model, and aggregates the model by them.
+
+    Every name becomes a state column of that name, computed on the mart that has it.
+    """
 
     def __init__(self, frames: Callable[[str], DataFrame], model_name: str, grain: str | None):
         self.frames = frames
         self.model = MODELS[model_name]
         self.grain = grain
-        self.frame = frames(self.model.mart)
-        self._joined: dict[str, str] = {}
+        self.local: dict[str, Column] = {}
+        self.lookups: dict[str, _Lookup] = {}  # by path, nearer ones first
 
     def __call__(self, name: str) -> Column:
         head, _, suffix = name.rpartition("__")
         grain = suffix if head and suffix in GRAINS else None
         path = (head if grain else name).split("__")
         if path == ["metric_time"]:
-            return truncate(F.col(self.model.time), grain or self.grain or "day")
-        return self._resolve(path, grain)
+            self.local[name] = truncate(F.col(self.model.time), grain or self.grain or "day")
+        else:
+            self._resolve(name, path, grain)
+        return F.col(name)
 
-    def _resolve(self, path: Sequence[str], grain: str | None) -> Column:
+    def _resolve(self, name: str, path: Sequence[str], grain: str | None) -> None:
         *entities, dimension = path
-        model, prefix = self.model, ""
+        model, columns, prefix = self.model, self.local, ""
         for entity in entities:
             if entity == model.primary[0]:
                 continue
             if entity not in model.foreign or entity not in _PRIMARY_MODEL:
                 raise KeyError(f"no path to {'__'.join(path)!r} from {self.model.mart}")
-            other = MODELS[_PRIMARY_MODEL[entity]]
-            prefix = self._join(entity, prefix, model.foreign[entity], other)
-            model = other
+            prefix = f"{prefix}{entity}__"
+            if prefix not in self.lookups:
+                columns[f"_{prefix}key"] = F.col(model.foreign[entity])
+                self.lookups[prefix] = _Lookup(MODELS[_PRIMARY_MODEL[entity]], f"_{prefix}key")
+            model, columns = self.lookups[prefix].model, self.lookups[prefix].columns
         if not model.has(dimension):
             raise KeyError(f"{model.mart} has no dimension {dimension!r}")
-        column = F.col(prefix + dimension)
+        columns[name] = F.col(dimension)
         if dimension in model.time_dimensions:
             default = self.grain if dimension == model.time and not entities else None
-            return truncate(column, grain or default or "day")
-        return column
-
-    def _join(self, entity: str, prefix: str, key: str, other: Model) -> str:
-        """Left join, from a foreign key to the one row of the other model."""
-        path = f"{prefix}{entity}__"
-        if path not in self._joined:
-            self._joined[path] = key
-            needed = [other.primary[1], *other.foreign.values(), *other.time_dimensions, *other.categorical]
-            looked_up = self.frames(other.mart).select(*(F.col(c).alias(path + c) for c in dict.fromkeys(needed)))
-            self.frame = self.frame.join(looked_up, F.col(prefix + key) == F.col(path + other.primary[1]), "left")
-        return path
-
-
-def fill_periods(df: DataFrame, period: str, grain: str, values: Sequence[str]) -> DataFrame:
-    """Insert missing periods of a one-row-per-period frame, values as zero."""
-    step = {"day": "1 day", "week": "7 day", "month": "1 month", "quarter": "3 month", "year": "1 year"}[grain]
-    following = F.lead(period).over(Window.orderBy(period))
-    until = df.withColumn("_next", following).withColumn(
-        "_at",
-        F.explode(
-            F.when(F.col("_next").isNull(), F.array(period)).otherwise(
-                F.filter(
-                    F.sequence(F.col(period), F.col("_next"), F.expr(f"interval {step}")),
-                    lambda d: d < F.col("_next"),
-                )
+            columns[name] = truncate(F.col(dimension), grain or default or "day")
+
+    def states(self, measures: Sequence[str], condition: Column | None) -> DataFrame:
+        """Rows that fulfil the condition, with the resolved columns and the measures; partly
+        aggregated where dimensions had to be joined."""
+        inputs = {m: self.model.measures[m].expr() for m in measures}
+        rows = self.frames(self.model.mart).select(*(c.alias(n) for n, c in (self.local | inputs).items()))
+        held = list(self.local)
+        for lookup in self.lookups.values():
+            rows = self.merged(rows, held, measures)
+            own_key = f"{lookup.key}_"
+            other = self.frames(lookup.model.mart).select(
+                F.col(lookup.model.primary[1]).alias(own_key), *(c.alias(n) for n, c in lookup.columns.items())
             )
-        ),
-    )
-    return until.select(
+            rows = rows.join(other, F.col(lookup.key) == F.col(own_key), "left").drop(lookup.key, own_key)
+            held = [n for n in held if n != lookup.key] + list(lookup.columns)
+        return rows if condition is None else rows.where(condition)
+
+    def merged(self, rows: DataFrame, groups: Sequence[str], measures: Sequence[str]) -> DataFrame:
+        """Partial results by group; values to be counted distinct stay groups."""
+        counted = [m for m in measures if self.model.measures[m].agg == "count_distinct"]
+        sums = [self.model.measures[m].merge(m) for m in measures if m not in counted]
+        keyed = rows.groupBy(*groups, *counted)
+        return keyed.agg(*sums) if sums else rows.select(*groups, *counted).distinct()
+
+    def final(self, rows: DataFrame, groups: Sequence[str], measures: Sequence[str]) -> DataFrame:
+        return rows.groupBy(*groups).agg(*(self.model.measures[m].merge(m) for m in measures))
+
+
+def fill_periods(
+    df: DataFrame,
+    period: str,
+    grain: str,
+    values: Sequence[str],
+    groups: Sequence[str] = (),
+    first: Column | None = None,
+    last: Column | None = None,
+) -> DataFrame:
+    """Insert the missing periods of each group, values as zero; rows that are there stay as they are.
+
+    Each row emits the periods up to the next one of its group; with ``first`` and ``last``
+    the group's first row also emits those before it and its last row those after
+    it, so every group, the null one included, covers exactly that range. No calendar is
+    joined, and a window sees one group's periods.
+    """
+    step = {"day": "1 day", "week": "7 day", "month": "1 month", "quarter": "3 month", "year": "1 year"}[grain]
+    timeline = Window.partitionBy(*groups).orderBy(period)
+    at = F.col(period)
+    placed = df.withColumns({"_next": F.lead(period).over(timeline), "_before": F.lag(period).over(timeline)})
+    begin, end = at, F.coalesce(F.col("_next"), at)
+    if first is not None:
+        first = truncate(first, grain)
+        begin = F.greatest(first, F.when(F.col("_before").isNull(), F.least(first, at)).otherwise(at))
+    if last is not None:
+        last = truncate(last, grain)
+        end = F.least(last, F.coalesce(F.col("_next"), F.greatest(last, at)))
+    periods = F.when(begin <= end, F.sequence(begin, end, F.expr(f"interval {step}")))
+    emitted = F.filter(periods, lambda d: F.col("_next").isNull() | (d < F.col("_next")))
+    spread = placed.withColumn("_at", F.explode(emitted))
+    return spread.select(
         F.col("_at").alias(period),
-        *(F.when(F.col("_at") == F.col(period), F.coalesce(F.col(v), F.lit(0))).otherwise(F.lit(0)).alias(v) for v in values),
+        *groups,
+        *(F.when(F.col("_at") == at, F.col(v)).otherwise(F.lit(0)).alias(v) for v in values),
     )
 
 
@@ -253,7 +307,8 @@ def metric_query(
     group_by: Sequence[str] = (),
     grain: str | None = None,
     where: Callable[[Callable[[str], Column]], Column] | None = None,
-    fill_zero: bool = False,
+    fill_zero: bool | tuple[date, date] | DataFrame = False,
+    grains: Sequence[str] = (),
 ) -> DataFrame:
     """Metrics (or measures) by dimensions, one row per group.
 
@@ -263,36 +318,77 @@ def metric_query(
     time names take a grain suffix (``metric_time__month``) or ``grain``.
     ``where`` receives the same resolver: ``lambda d: d("customer__country") == "x"``.
     Ratios divide the aggregates of the group, never average row ratios.
+
+    ``grains`` asks for several grains of ``metric_time`` at once, told apart by a column
+    ``grain``: the facts are aggregated once by day, and all grains come from the days.
+
+    ``fill_zero`` inserts missing periods with measures 0 and ratios null: True between a
+    group's own periods, a pair of dates or a time spine (its ``date_day``) over that range.
     """
     needed = sorted(set().union(*(_measures_of(m) for m in metrics)))
+    growth = [METRICS[m] for m in metrics if m in METRICS and METRICS[m].growth_of]
+    if grains and ("metric_time" not in group_by or grain or growth or fill_zero):
+        raise ValueError("grains need a plain metric_time, and neither growth nor fill_zero")
+    groups = ["grain", *group_by] if grains else list(group_by)
     parts: list[DataFrame] = []
     for model_name in dict.fromkeys(_MEASURE_MODEL[m] for m in needed):
         resolve = _Grouping(frames, model_name, grain)
-        keys = [resolve(name).alias(name) for name in group_by]
+        for name in group_by:
+            resolve(name)
         condition = where(resolve) if where else None
-        rows = resolve.frame if condition is None else resolve.frame.where(condition)
         measures = [m for m in needed if _MEASURE_MODEL[m] == model_name]
-        parts.append(
-            rows.groupBy(*keys).agg(*(MODELS[model_name].measures[m].column().alias(m) for m in measures))
-        )
+        rows = resolve.states(measures, condition)
+        if grains:
+            rows = _in_grains(resolve.merged(rows, group_by, measures), grains)
+        parts.append(resolve.final(rows, groups, measures))
 
     result = parts[0]
     if len(parts) > 1:
         # stacking and regrouping lines up null keys too, which a join would not
         for other in parts[1:]:
             result = result.unionByName(other, allowMissingColumns=True)
-        result = result.groupBy(*group_by).agg(*(F.max(m).alias(m) for m in needed))
-
-    if fill_zero:
-        if len(group_by) != 1 or not group_by[0].startswith("metric_time"):
-            raise ValueError("fill_zero needs metric_time as the only group")
-        suffix = group_by[0].partition("__")[2]
-        result = fill_periods(result, group_by[0], suffix or grain or "day", needed)
-
-    for name in metrics:
-        if name in METRICS and METRICS[name].growth_of:
-            result = _with_prior(result, group_by, grain, METRICS[name])
-    return result.select(*group_by, *(_value(m).alias(m) for m in metrics))
+        result = result.groupBy(*groups).agg(*(F.max(m).alias(m) for m in needed))
+
+    filled = not isinstance(fill_zero, bool) or fill_zero
+    if filled:
+        result = _filled(result, group_by, grain, needed, fill_zero)
+    for metric in growth:
+        result = _with_prior(result, group_by, grain, metric)
+
+    def value(name: str) -> Column:
+        # an unknown amount is shown as 0 too, but a ratio of it stays unknown
+        plain = name in _MEASURE_MODEL or METRICS[name].measure
+        return F.coalesce(_value(name), F.lit(0)) if filled and plain else _value(name)
+
+    return result.select(*groups, *(value(m).alias(m) for m in metrics))
+
+
+def _in_grains(days: DataFrame, grains: Sequence[str]) -> DataFrame:
+    """Each day's states once for every grain, at the start of its period."""
+    periods = F.array(
+        *(F.struct(F.lit(g).alias("grain"), truncate(F.col("metric_time"), g).alias("start")) for g in grains)
+    )
+    rest = [c for c in days.columns if c != "metric_time"]
+    spread = days.select(F.explode(periods).alias("period"), *rest)
+    return spread.select(F.col("period.grain").alias("grain"), F.col("period.start").alias("metric_time"), *rest)
+
+
+def _filled(
+    result: DataFrame, group_by: Sequence[str], grain: str | None, needed: Sequence[str], over: bool | tuple[date, date] | DataFrame
+) -> DataFrame:
+    times = [g for g in group_by if g.partition("__")[0] == "metric_time"]
+    if len(times) != 1:
+        raise ValueError("fill_zero needs metric_time once among the groups")
+    (time,), groups = times, [g for g in group_by if g not in times]
+    unit = time.partition("__")[2] or grain or "day"
+    if over is True:
+        return fill_periods(result, time, unit, needed, groups)
+    if isinstance(over, DataFrame):
+        result = with_one_row(result, over.agg(F.min("date_day").alias("_first"), F.max("date_day").alias("_last")))
+        first, last = F.col("_first"), F.col("_last")
+    else:
+        first, last = map(F.lit, over)
+    return fill_periods(result, time, unit, needed, groups, first, last)
 
 
 def _value(name: str) -> Column:

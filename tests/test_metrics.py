@@ -116,6 +116,57 @@ def test_zero_fill_inserts_missing_months(frames):
         metrics.metric_query(frames, ["orders_placed"], ["order_status"], fill_zero=True)
 
 
+def test_zero_fill_covers_a_range_for_every_group(frames):
+    """Head, gaps and tail of each group, the one without a source included; ratios stay null."""
+    asked = ["orders_placed", "average_order_value"]
+    got = metrics.metric_query(
+        frames, asked, ["customer__traffic_source", "metric_time__month"], fill_zero=(date(2023, 12, 10), date(2024, 5, 31)))
+    by_group = {}
+    for source, month, placed, value in got.collect():
+        by_group.setdefault(source, {})[month] = (placed, value)
+    months = [date(2023, 12, 1), *(date(2024, m, 1) for m in range(1, 6))]
+    assert {k: sorted(v) for k, v in by_group.items()} == {"Search": months, None: months}
+    assert by_group["Search"][date(2024, 1, 1)] == (2, 20.0) and by_group["Search"][date(2024, 2, 1)] == (0, None)
+    assert by_group[None][date(2024, 2, 1)] == (1, None) and by_group[None][date(2024, 4, 1)] == (1, 50.0)
+
+
+@pytest.mark.parametrize("first, last, n", [("2024-01-01", "2024-01-31", 1), ("2025-01-01", "2025-02-01", 2), ("2020-01-01", "2020-01-05", 1), ("2024-02-01", "2024-03-31", 2)])
+def test_zero_fill_keeps_to_its_range(frames, first, last, n):
+    got = metrics.metric_query(
+        frames, ["orders_placed"], ["metric_time__month", "customer__traffic_source"],
+        fill_zero=(date.fromisoformat(first), date.fromisoformat(last))).collect()
+    assert len(got) == 2 * n and all(date.fromisoformat(first) <= r[0] <= date.fromisoformat(last) for r in got)
+    real = {(date(2024, 1, 1), "Search"): 2, (date(2024, 2, 1), None): 1, (date(2024, 4, 1), None): 1}
+    assert all(r.orders_placed == real.get((r[0], r[1]), 0) for r in got)
+
+
+def test_zero_fill_over_a_time_spine(spark, frames):
+    spine = spark.sql("select explode(sequence(date'2024-01-14', date'2024-01-21')) date_day")
+    got = rows(metrics.metric_query(frames, ["orders_placed"], ["metric_time"], fill_zero=spine))
+    assert got == {date(2024, 1, d): int(d in (15, 20)) for d in range(14, 22)}
+    # an empty spine bounds nothing: only the gaps are filled
+    assert metrics.metric_query(frames, ["orders_placed"], ["metric_time"], fill_zero=spine.limit(0)).count() == 97
+
+
+def test_all_grains_at_once_equal_one_by_one(frames):
+    asked, by = ["net_revenue", "average_order_value", "purchasing_customers"], ["metric_time", "customer__traffic_source"]
+    every = metrics.metric_query(frames, asked, by, grains=("day", "month", "year"))
+    assert every.columns == ["grain", *by, *asked]
+    for grain in ("day", "month", "year"):
+        alone = metrics.metric_query(frames, asked, by, grain=grain)
+        assert sorted(map(str, alone.collect())) == sorted(map(str, every.where(f"grain = '{grain}'").drop("grain").collect()))
+    with pytest.raises(ValueError):
+        metrics.metric_query(frames, asked, ["customer__traffic_source"], grains=("day",))
+    with pytest.raises(ValueError):
+        metrics.metric_query(frames, ["net_revenue_mom_growth"], ["metric_time"], grains=("day",))
+
+
+def test_distinct_counts_survive_joins_below_them(frames):
+    got = rows(metrics.metric_query(
+        frames, ["purchasing_customers"], ["customer__traffic_source"], where=lambda d: d("order_status") == "Complete"))
+    assert got == {"Search": 1, None: 1}
+
+
 @pytest.mark.parametrize("group", ["product__brand", "nothing", "customer__order_status"])
 def test_unreachable_dimensions(frames, group):
     with pytest.raises(KeyError):

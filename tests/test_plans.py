@@ -2,8 +2,11 @@
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from tallywright.catalog.queries import QUERIES, Sample
+from tallywright.operators import ranking
+from tallywright.plans import contracts, metrics
 
 FACT_SCALE = [
     "fct_orders", "fct_order_items", "dim_customers", "orders_aggregated", "customer_orders", "product_month",
@@ -59,4 +62,68 @@ def test_roll_up_has_no_expand(spark):
 def test_windows_never_span_a_customer(spark):
     text = plan(QUERIES["win_order_seq"](Sample(spark, SMALL)))
     fact_windows = [line for line in text.splitlines() if "Window [" in line and "order_id" in line]
-    assert fact_windows and all("[_owner" in line and "_hour" in line.rsplit("], [", 2)[1] for line in fact_windows)
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    # rows: within one partition of the range sort; carry-over: one row per customer and partition
+    assert windows and all("_part" in line for line in windows) and not fact_windows
+
+
+def executed(text, node):
+    return len([line for line in text.splitlines() if node in line and "Reused" not in line])
+
+
+@pytest.mark.parametrize("name", ["orders_aggregated", "agg_any_value"])
+def test_roll_up_joins_units_and_products_once(spark, no_broadcast, name):
+    text = plan(QUERIES[name](Sample(spark, SMALL)))
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert len([j for j in joins if "[inventory_item_id" in j]) <= 1
+    assert len([j for j in joins if "[product_id" in j]) == 1
+
+
+def test_order_mart_joins_units_and_products_once(spark, no_broadcast):
+    joins = [line for line in plan(QUERIES["fct_orders"](Sample(spark, SMALL))).splitlines() if "Join" in line]
+    assert len([j for j in joins if "[inventory_item_id" in j]) == 1
+    assert len([j for j in joins if "[product_id" in j]) == 1
+
+
+def test_top_k_sorts_no_range_and_has_one_plan_for_every_k(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("g"))
+
+    def shape(k):
+        text = plan(ranking.top_within(df, ["g"], [F.col("id").desc()], k, "r"))
+        assert "rangepartitioning" not in text.lower()
+        return [line.lstrip(" +-:").split(" ")[0] for line in text.splitlines()]
+
+    assert shape(3) == shape(2000)
+
+
+def test_all_grains_come_from_one_fact_aggregate(spark, no_broadcast):
+    """As many joins and scans as a query of one grain."""
+    sample = Sample(spark, SMALL)
+    every = plan(QUERIES["mq_time_grain"](sample))
+    one = plan(metrics.metric_query(sample.frame, ["net_revenue", "order_count"], ["metric_time"], grain="day"))
+    for node in ("SortMergeJoin", "FileScan"):
+        assert executed(every, node) == executed(one, node), node
+
+
+@pytest.mark.parametrize("name, steps", [("mq_entity_join", 1), ("mq_two_hop", 2)])
+def test_facts_are_aggregated_before_they_meet_a_dimension(spark, no_broadcast, name, steps):
+    text = plan(QUERIES[name](Sample(spark, SMALL)))
+    lines = text.splitlines()
+    # the joins of the query are the topmost ones; each has an aggregate as its left input
+    joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line and "__key" in line]
+    assert len(joins) == steps
+    for i in joins:
+        below = [line for line in lines[i + 1 : i + 8] if "Aggregate" in line]
+        assert below and "__key" in below[0], lines[i : i + 8]
+
+
+def test_references_share_one_shuffle(spark, no_broadcast):
+    tables = {
+        "a": spark.range(100).selectExpr("id", "id % 7 as b_id", "id % 5 as c_id"), "b": spark.range(6).toDF("id"), "c": spark.range(5).toDF("id"),
+    }
+    refers = [contracts.Contract("relationships", "a", (c,), parent=p, parent_key="id") for c, p in (("b_id", "b"), ("c_id", "c"), ("id", "b"))]
+    lost = contracts.lost_references(tables.get, refers)
+    text = plan(lost)
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+    got = sorted(map(tuple, lost.collect()))
+    assert got == [("a", "b_id", 6, 14)] + [("a", "id", i, 1) for i in range(6, 100)]
