@@ -4,8 +4,12 @@ The index is a table with a row for each text seen: its digest and the document
 is reduced to one candidate for each digest (combined before the shuffle), the digests that the index has are
 removed by a sort-merge anti-join that reads the index in its own buckets, and the rest is appended.
 
+A batch may come again, as when a job is lost after it appended: the document that stands for a text in the index
+stays whenever it is met, so the result is the same and nothing is appended twice.
+
 Defined results: a null text counts as empty; all empty texts are equal. Of rows that repeat a document, text
-and id alike, one stays. A null id loses to any id. An empty batch appends nothing. Other columns are ignored.
+and id alike, one stays. A null id loses to any id; documents without an id cannot be told apart, and where one stands
+for a text in the index, one of a later batch stays too. An empty batch appends nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,12 +40,15 @@ class DigestIndex:
     """The texts seen so far, as a table in buckets of the digest, each file sorted by it."""
 
     def __init__(self, spark: SparkSession, name: str, folder: str, buckets: int):
-        """Opens the index stored in ``folder``, or makes an empty one. ``buckets`` must not change later."""
+        """Opens the index stored in ``folder``, or makes an empty one. It keeps the ``buckets`` it was made with."""
         self.spark, self.name, self.buckets = spark, name, buckets
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{name}` (digest BINARY, keep_id BIGINT) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{folder}'"
         )
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED `{name}`").collect()}
+        if int(described["Num Buckets"]) != buckets:
+            raise ValueError(f"{name} has {described['Num Buckets']} buckets, not {buckets}")
 
     @classmethod
     def temporary(cls, spark: SparkSession) -> DigestIndex:
@@ -57,7 +64,8 @@ class DigestIndex:
         """Adds the new texts of a batch; a row for each document: digest, keep_id, group_size, kept.
 
         Of equal texts in the batch the longest original stays, then the smallest id; a text that the index
-        already has stays with the document it came from. ``group_size`` counts the rows of this batch.
+        already has stays with the document it came from, and no other row is kept for it. ``group_size`` counts the
+        rows of this batch.
         """
         # the narrow rows are written once: they are grouped, and joined twice
         batch = stored(
@@ -74,6 +82,7 @@ class DigestIndex:
         )
         fresh = groups.join(self.frame().hint("merge"), "digest", "left_anti")
         fresh = stored(fresh.select("digest", F.col("doc_id").alias("keep_id"), "row"), "digests-fresh")
+        known = stored(groups.select("digest").join(self.frame().hint("merge"), "digest").select("digest", "keep_id"), "digests-known")
         (
             fresh.select("digest", "keep_id")
             .repartition(self.buckets, "digest")  # a task for each bucket: one file each
@@ -81,10 +90,13 @@ class DigestIndex:
             .mode("append").format("parquet").saveAsTable(f"`{self.name}`")
         )
         self.spark.catalog.refreshTable(f"`{self.name}`")
+        kept_rows = fresh.select("digest", F.col("row").alias("kept_row"))
+        if not known.isEmpty():
+            kept_rows = kept_rows.unionByName(self._met_again(batch, known))
         decided = stored(
             groups.select("digest", "group_size")
             .join(self.frame().hint("merge"), "digest")
-            .join(fresh.select("digest", F.col("row").alias("kept_row")), "digest", "left"),
+            .join(kept_rows, "digest", "left"),
             "digests-decided",
         )
         return by_weight(batch, decided, "digest", "group_size", batch.count()).select(
@@ -93,6 +105,16 @@ class DigestIndex:
             F.lower(F.hex("digest")).alias("text_sha256"),
         )
 
+    @staticmethod
+    def _met_again(batch: DataFrame, known: DataFrame) -> DataFrame:
+        """Of texts the index had before: the row of the very document that stands for each, if the batch has it."""
+        known = known.withColumnsRenamed({"digest": "known_digest"})
+        # on both columns, so that a text which most rows share is spread by their ids
+        own = (F.col("digest") == F.col("known_digest")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+        best = F.max(F.struct("points", F.bitwise_not("row").alias("row")))
+        found = batch.join(known, own).groupBy("digest").agg(best.alias("best"))
+        return found.select("digest", F.bitwise_not("best.row").alias("kept_row"))
+
 
 def without_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The documents that stay, with all their columns."""

@@ -4,8 +4,8 @@ Only 16 bytes a line travel for counting. A line that every document has is coun
 joined by broadcast (``common.by_weight``), so no task gathers it. Dropped positions come back to their
 document, and the remaining ones pick its lines in order: linear in the number of lines, however long the text.
 
-Defined results: a null or empty text is one empty line. A line that is blank once stripped never goes. Every
-row counts as a document of its own; rows that repeat an id are told apart by their text.
+Defined results: a null or empty text is one empty line. A line that is blank once stripped never goes. Rows that
+share an id are one document for the count; a row without an id is a document of its own. What goes is decided alike for all.
 Other columns pass through; one of the same name as a result is replaced.
 """
 
@@ -24,6 +24,21 @@ def line_key(line):
     return F.translate(F.btrim(line, F.lit(BLANKS)), _UPPER, _LOWER)
 
 
+def _counted(keyed: DataFrame) -> DataFrame:
+    """(key, documents, n): distinct documents and rows that have a key."""
+    keys = F.explode(F.array_distinct("keys")).alias("key")
+    repeated = stored(keyed.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated-ids")
+    once, n = keyed, F.count("*").alias("n")
+    if repeated.isEmpty():  # a row is a document
+        return once.select(keys).where("key IS NOT NULL").groupBy("key").agg(n).withColumn("documents", F.col("n"))
+    # pairs are made distinct for these ids alone; all else is counted before the shuffle
+    once = keyed.join(repeated, "id", "left_anti").select(keys).where("key IS NOT NULL").groupBy("key").agg(n)
+    pairs = keyed.join(repeated, "id", "left_semi").select("id", keys).where("key IS NOT NULL").groupBy("key", "id").agg(n)
+    several = pairs.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("documents"))
+    both = once.withColumn("documents", F.col("n")).unionByName(several)
+    return both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
+
+
 def drop_shared_lines(
     docs: DataFrame, min_documents: int = 10, min_points: int = 1, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -46,14 +61,10 @@ def drop_shared_lines(
     keyed = stored(keyed, "line-keys")
     lines = keyed.select("id", "tag", F.posexplode("keys").alias("pos", "key")).where("key IS NOT NULL")
     shared = stored(
-        keyed.select(F.explode(F.array_distinct("keys")).alias("key"))
-        .where("key IS NOT NULL")
-        .groupBy("key").agg(F.count("*").alias("documents"))
-        .where(F.col("documents") >= min_documents),
-        "line-counts",
-    )
+        _counted(keyed).where(F.col("documents") >= min_documents), "line-counts"
+    )
     places = (
-        by_weight(lines, shared, "key", "documents", keyed.count())
+        by_weight(lines, shared, "key", "n", keyed.count())
         .groupBy("id", "tag").agg(F.collect_set("pos").alias(out))
     )
     places = places.withColumnsRenamed({"id": place_id, "tag": place_tag})

@@ -45,16 +45,21 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._use(Tokenizer.from_file(path))
+
+    def _use(self, tokenizer) -> None:
+        self._tokenizer = tokenizer
+        # strings that stand for one token, in this case only
+        self._special = [t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()]
         self._ids: dict[str, bytes] = {}
 
-    @staticmethod
-    def _split(text: str) -> list[str]:
-        # the tokenizer normalizes and then ignores case; where that order or a final sigma matters, it gets the text as it is
+    def _split(self, text: str) -> list[str]:
+        # the tokenizer normalizes and then ignores case; where that order, a final sigma or a special string matters, it
+        # gets the text as it is
         if "Σ" not in text:
             lower = text.lower()
-            if text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", lower)):
+            as_it_is = any(s in lower for s in self._special)
+            if not as_it_is and (text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", lower))):
                 text = lower
         return text.replace("\n", " ").split(" ")
 
@@ -193,7 +198,9 @@ def fractional_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int,
         grows = direction > 1e-9
         ratios = np.full(n, np.inf)
         ratios[grows] = uses[grows] / direction[grows]
-        out = int(ratios.argmin())
+        # of equal ratios the row that is least in lexicographic order leaves: no basis comes twice
+        ties = np.flatnonzero(ratios <= ratios.min() + 1e-12)
+        out = int(min(ties, key=lambda i: tuple(inverse[i] / direction[i])))
         uses = uses - direction * ratios[out]
         uses[out] = ratios[out]
         uses[uses < 1e-9] = 0

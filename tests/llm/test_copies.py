@@ -51,7 +51,16 @@ def test_index_remembers_earlier_batches(spark):
     assert got == {3: (1, 1, False), 4: (4, 2, True), 5: (4, 2, False)}
     assert index.frame().count() == 3
     reopened = DigestIndex(spark, name, folder, 4)
-    assert not [r for r in reopened.admit(two).collect() if r.kept]
+    # a batch that comes again, as after a lost job, has the same result and adds nothing
+    again = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in reopened.admit(two.repartition(3)).collect()}
+    assert again == got and index.frame().count() == 3
+    # the row that stands for a text stays, whatever longer copy comes with it
+    three = spark.createDataFrame([(4, "d"), (4, "d"), (8, " d "), (None, "e"), (None, "e "), (1, "new")], "doc_id long, text string")
+    for _ in range(2):
+        kept = Counter((r.doc_id, r.keep_id, r.kept) for r in reopened.admit(three).collect())
+        assert kept == Counter([(4, 4, True), (4, 4, False), (8, 4, False), (None, None, True), (None, None, False), (1, 1, True)])
+    with pytest.raises(ValueError, match="4 buckets"):
+        DigestIndex(spark, name, folder, 8)
     spark.sql(f"DROP TABLE `{name}`")
 
 
@@ -81,6 +90,16 @@ def test_lines_on_odd_rows(spark, least):
         assert got[i] == (len(lines), len(lines) - len(stay), "\n".join(stay), "kept")
 
 
+def test_lines_count_documents_not_rows(spark):
+    """One document repeated ten times is one; a line of nine others and it is found in ten."""
+    rows = [(1, "mine\nshared")] * 10 + [(1, "mine\nother")] + [(i, f"own {i}\nshared") for i in range(2, 11)]
+    docs = spark.createDataFrame(rows + [(None, "free\nhere")] * 10, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in drop_shared_lines(docs, 10).collect())
+    expected = Counter({(1, 2, 1, "mine"): 10, (1, 2, 0, "mine\nother"): 1, (None, 2, 2, ""): 10})
+    expected.update({(i, 2, 1, f"own {i}"): 1 for i in range(2, 11)})
+    assert got == expected
+
+
 def test_lines_keep_rows_without_an_id(spark):
     assert drop_shared_lines(odd.frame(spark), 2).count() == len(odd.rows())
     assert drop_shared_lines(odd.empty(spark)).count() == 0

@@ -21,9 +21,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 def check(rows, texts, tokenizer, capacity):
@@ -87,14 +85,27 @@ alphabet = st.text(st.sampled_from(list("aZé.,' \n\t\x1c\x85  ́ΣßİǰΩ1½!%
 @given(st.lists(alphabet, max_size=5))
 def test_words_like_the_tokenizer(texts):
     made = Tokenizer.from_file(PATH) if not hasattr(Words, "_made") else Words._made
-    made.encode_special_tokens = True
     Words._made = made
     whole = [np.array(made.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     words = Words.__new__(Words)
-    words._tokenizer, words._ids = made, {}
+    words._use(made)
     assert words.encode(texts) == whole
 
 
+def test_special_strings_like_the_tokenizer(spark, tokenizer):
+    texts = [
+        "end <|endoftext|> more", "A<|endoftext|>B, <|startoftext|>.", "<|EndOfText|> Case", "<|endoftext|><|endoftext|>",
+        "x\n<|endoftext|>\nΣ É", "<|endoftext", "no special, END", "|endoftext|>", "<|end oftext|>",
+    ]
+    words = Words(PATH)
+    for _ in range(2):  # the second time from what is kept
+        for text in (*texts, " ".join(texts)):
+            assert words.encode([text]) == [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()], text
+    assert np.frombuffer(words.encode([texts[0]])[0], "<u4").tolist() == [806, 49407, 750]
+    rows = pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect()
+    check(rows, list(enumerate(texts)), tokenizer, 2048)
+
+
 @pytest.mark.parametrize("end", ["", ",", ".", "x,"])
 def test_words_that_change_when_normalized(tokenizer, end):
     words = Words(PATH)
