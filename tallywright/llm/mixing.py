@@ -1,15 +1,15 @@
-"""Mixing sources to target weights: a low-discrepancy schedule over the shuffled words of each source.
+"""Mixing sources to target weights: a low-discrepancy schedule of equal blocks of each source's shuffled words.
 
-The mix is a schedule of slots, each for one word. Slot number i sits at the i-th golden-ratio point of the unit
-interval, which the targets divide among the sources, so that every stretch of the schedule has the sources in about
-their shares. The slots of a source get the words of that source's documents, shuffled by a digest of their ids, one
-after the other; after the last word it starts over, and no word is used more often than ``REPEATS``. What a document
-gives thus follows from its place among its source's words and the number of that source's slots.
+The mix is a schedule of slots, each for one block. A source's words, its documents shuffled by a digest of their ids, are
+cut into blocks of equal size: ``BLOCK`` words, or a ``FINE``-th of the source's target if that is less, so that a small
+source is met as closely as a large one. Slot number i sits at the i-th golden-ratio point, which the numbers of blocks that
+the sources are to give divide among them; so every stretch of the schedule has the sources in about their shares. The
+slots of a source are ranked, and rank r is joined to block r, over again from the first block after the last; no block is
+used more often than ``REPEATS``. What a document gives is what its words lie in; a block may end inside it.
 
-Sources, slots and documents meet in equi-joins only: the interval of a source is listed under the cells it touches.
-Running sums are taken in parts (``common.sums_before``), as one source may hold most rows. Up to ``SLOTS`` slots are
-listed to count those of each source; of a longer schedule every source has as many slots as its target has whole
-words, so a source is met to the word whatever the size of the others.
+The points are exact in whole numbers. Sources, slots and blocks meet in equi-joins only: the interval of a source is
+listed under the cells it touches. Running sums and ranks are taken in parts (``common.sums_before``), as one source may
+hold most rows. A block holds words of at most so many documents, so no join key is hot.
 
 Defined results: a null text has size 0 and is never taken. A null source is a source of its own, the last one. Rows
 that repeat a document are separate. An empty table gives no rows. Other columns are ignored.
@@ -20,12 +20,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import WORD, by_weight, free, in_order, same, stored, sums_before, words_in
+from tallywright.llm.common import BLANKS, by_weight, free, in_order, same, stored, sums_before, words_in
 
 #: weights in the order of the sources, repeated; words of the mix for each word there is; most uses of a document
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
-#: slots that are listed; cells that they meet the sources in
-SLOTS, CELLS, GOLDEN = 1 << 20, 4096, 0.6180339887498949
+#: words of a block at most, and blocks that a target has at least (while they hold a word each)
+BLOCK, FINE = 1024, 10_000
+#: beyond so many slots the blocks of large sources grow, as the points have 31 bits
+MOST_SLOTS, BITS = 1 << 28, 31
+#: the golden ratio's fractional part in that many bits
+GOLDEN = 1_327_217_885
+#: cells that slots meet the sources in
+CELLS = 4096
 #: rows that one task sums over
 PART = 20_000
 
@@ -58,26 +64,36 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats:
     return found.drop("most_before", "weight_before")
 
 
-def schedule(sources: DataFrame, amount: float) -> DataFrame:
-    """(nth, slots): how many slots of the schedule, each of one word, are of a source."""
+def schedule(sources: DataFrame, repeats: int = REPEATS) -> DataFrame:
+    """(nth, block, use, slot): the schedule, each slot with the block it gets and how often that was used before.
+
+    ``sources`` has nth, source_size, target and words (of a block).
+    """
     spark = sources.sparkSession
-    if amount > SLOTS:
-        return sources.where("points > 0").select("nth", F.col("points").alias("slots"))
-    spans = stored(in_order(sources.where("points > 0"), [F.col("nth")], low=F.col("points")), "spans")
-    points = spans.agg(F.sum("points")).first()[0] or 0
-    cell = lambda at: F.floor(at * CELLS / F.lit(max(points, 1)))
-    spans = spans.select(
-        "nth", "low", (F.col("low") + F.col("points")).alias("high"),
-        F.explode(F.sequence(cell(F.col("low")), cell(F.col("low") + F.col("points") - 1))).alias("cell"),
+    planned = sources.where("target > 0 AND source_size > 0").select(
+        "nth", F.ceil(F.col("target") / F.col("words")).alias("points"), F.ceil(F.col("source_size") / F.col("words")).alias("blocks")
+    )
+    spans = stored(in_order(planned, [F.col("nth")], low=F.col("points")), "spans")
+    n = spans.agg(F.sum("points")).first()[0] or 0
+    cell = lambda at: F.expr(f"{at} * {CELLS} div {max(n, 1)}")
+    listed = spans.select(
+        "nth", "blocks", "low", (F.col("low") + F.col("points")).alias("high"),
+        F.explode(F.sequence(cell("low"), cell("(low + points - 1)"))).alias("cell"),
     )
-    place = F.floor((F.col("slot") * GOLDEN) % 1 * points)
-    slots = spark.range(int(amount)).select(F.col("id").alias("slot"), place.alias("place"))
-    slots = slots.withColumn("cell", cell(F.col("place"))).join(spans, "cell").where("place >= low AND place < high")
-    return slots.groupBy("nth").agg(F.count("*").alias("slots"))
+    place = F.expr(f"id % {1 << BITS} * {GOLDEN} % {1 << BITS} * {n} div {1 << BITS}")
+    slots = spark.range(n).select(F.col("id").alias("slot"), place.alias("place")).withColumn("cell", cell("place"))
+    placed = slots.join(listed, "cell").where("place >= low AND place < high").select("nth", "slot", "blocks")
+    ranked = sums_before(placed, ["nth"], F.expr(f"slot div {PART}"), ["slot"], rank=F.lit(1))
+    return ranked.select(
+        "nth", F.expr("rank % blocks").alias("block"), F.expr("rank div blocks").alias("use"), "slot"
+    ).where(F.col("use") < repeats)
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
-    """doc_id, source, tag (a hash of the text), size, source_size, target and taken: words that the mix takes of it."""
+def _used(docs: DataFrame, weights, share: float, repeats: int) -> tuple[DataFrame, DataFrame]:
+    """The sized rows with their source's target, and (_row, use, position, words): what each use of a row gives.
+
+    The position is the slot that the use begins in; its words are the row's first ones.
+    """
     key = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source")))
     sized = stored(
         docs.select("doc_id", "source", "text").withColumns({
@@ -90,37 +106,50 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = R
         F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("rows")
     )
     planned = stored(targets(sources, weights, share, repeats), "mix-targets")
-    rows = sized.count()
-    narrow = sized.select("_key", "_row", "_order", "size")
-    amount = share * (planned.agg(F.sum("source_size")).first()[0] or 0)
-    slots = F.least(F.coalesce("slots", F.lit(0)), repeats * F.col("source_size"))
-    known = planned.join(schedule(planned, amount), "nth", "left")
-    known = stored(known.select("_key", "nth", "source_size", "target", "rows", slots.alias("slots")), "mix-slots")
-    placed = by_weight(narrow, known, "_key", "rows", rows)
+    rows, all_words = sized.count(), planned.agg(F.sum("source_size")).first()[0] or 0
+    most = max(BLOCK, -(-int(share * all_words) // MOST_SLOTS))
+    words = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.col("target") / FINE))).cast("long")
+    known = stored(planned.select("_key", "nth", "source_size", "target", "rows", words.alias("words")), "mix-sources")
+    placed = by_weight(sized, known, "_key", "rows", rows)
     # parts follow the leading digits of the digest, and so its order
     parts = max(1, -(-rows // PART))
     part = F.floor(F.conv(F.substring("_order", 1, 8), 16, 10).cast("double") / float(1 << 32) * parts)
-    placed = sums_before(placed, ["nth"], part, ["_order", "_row"], before=F.col("size"))
-    # all words of a source so many times, and its first ones once more
-    times, rest = F.expr("slots div source_size"), F.col("slots") % F.col("source_size")
-    more = F.greatest(F.least(F.col("before") + F.col("size"), rest) - F.col("before"), F.lit(0))
-    taken = F.when(F.col("size") > 0, times * F.col("size") + more).otherwise(0)
-    placed = placed.select("_row", "source_size", "target", taken.alias("taken"))
-    return sized.join(placed, "_row").drop("_row", "_key", "_order")
+    placed = stored(sums_before(placed, ["nth"], part, ["_order", "_row"], before=F.col("size")), "mix-placed")
+    first, last = F.expr("before div words"), F.expr("(before + size - 1) div words")
+    pieces = placed.where("size > 0").select("_row", "nth", "before", "size", "words", F.explode(F.sequence(first, last)).alias("block"))
+    held = F.least(F.expr("before + size"), F.expr("(block + 1) * words")) - F.greatest(F.col("before"), F.expr("block * words"))
+    pieces = pieces.select("_row", "nth", "block", held.alias("held"))
+    uses = pieces.join(schedule(known, repeats), ["nth", "block"])
+    uses = uses.groupBy("_row", "use").agg(F.min("slot").alias("position"), F.sum("held").alias("words"))
+    return placed.select("_row", "doc_id", "source", "tag", "size", "source_size", "target"), stored(uses, "mix-uses")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """doc_id, source, tag (a hash of the text), size, source_size, target and taken: words that the mix takes of it."""
+    placed, uses = _used(docs, weights, share, repeats)
+    taken = uses.groupBy("_row").agg(F.sum("words").alias("taken"))
+    return placed.join(taken, "_row", "left").withColumn("taken", F.coalesce("taken", F.lit(0))).drop("_row")
+
+
+def _first_words(text: Column, n: Column) -> Column:
+    """A text up to the end of its n-th word, as it is."""
+    body = F.ltrim(text, F.lit(BLANKS))
+    rest = F.get(F.split(body, r"[\x20\x09-\x0D]+", n + 1), n)
+    return F.rtrim(F.left(body, F.length(body) - F.length(rest)), F.lit(BLANKS))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: a row for each time a document is used; of one used in part its first words, space-joined."""
-    tag, use = free(docs, "tag", "use")
-    found = mix(docs).groupBy("doc_id", "tag").agg(F.struct(F.max("size").alias("size"), F.sum("taken").alias("taken")).alias(use))
-    found = found.where(F.col(use)["taken"] > 0).withColumnRenamed("tag", tag)
-    single = docs.withColumn(tag, F.xxhash64("text")).dropDuplicates(["doc_id", tag])  # rows that repeat a document: their sum
-    used = single.join(found, same(single, found, ["doc_id", tag])).select(*(single[c] for c in docs.columns), use)
-    size, taken = F.col(use)["size"], F.col(use)["taken"]
-    used = used.withColumn(tag, F.explode(F.sequence(F.lit(1), F.ceil(taken / size))))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, (taken % size).cast("int")), " ")
-    text = F.when(F.col(tag) * size <= taken, F.col("text")).otherwise(part)
+    """The mix itself, in the order of its schedule: a row for each time a document is used; of one used in part its first words."""
+    tag, size, words, position = free(docs, "tag", "size", "words", "position")
+    placed, uses = _used(docs, WEIGHTS, SHARE, REPEATS)
+    found = placed.select("_row", "doc_id", F.col("tag").alias(tag), F.col("size").alias(size)).join(uses, "_row").select(
+        "doc_id", tag, size, F.col("words").cast("int").alias(words), F.col("position").alias(position)
+    )
+    single = docs.withColumn(tag, F.xxhash64("text")).dropDuplicates(["doc_id", tag])  # rows that repeat a document: all their uses
+    used = single.join(found, same(single, found, ["doc_id", tag])).select(*(single[c] for c in docs.columns), size, words, position)
+    text = F.when(F.col(words) >= F.col(size), F.col("text")).otherwise(_first_words(F.col("text"), F.col(words)))
     changed = used.withColumn("text", text)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(docs.columns)
+    order = [F.col(position), F.col("doc_id")]
+    return changed.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)

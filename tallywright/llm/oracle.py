@@ -53,22 +53,22 @@ b AS (
 f AS (SELECT *, mb + most::DOUBLE / weight * (ws - wb) <= amount AS full_ FROM b),
 l AS (SELECT (any_value(amount) - coalesce(sum(most) FILTER (WHERE full_), 0)::BIGINT)
              / (any_value(ws) - coalesce(sum(weight) FILTER (WHERE full_), 0)::BIGINT)::DOUBLE AS level FROM f),
-t AS (SELECT f.*, CASE WHEN full_ THEN most::DOUBLE ELSE level * weight END AS target,
-             greatest(1, ceil(amount / 1048576))::BIGINT AS block FROM f, l),
-p AS (SELECT *, floor(target)::BIGINT AS points FROM t),
+t AS (SELECT f.*, CASE WHEN full_ THEN most::DOUBLE ELSE level * weight END AS target FROM f, l),
+c AS (SELECT *, greatest(1, least(1024, floor(target / 10000)::BIGINT)) AS words FROM t),
+p AS (SELECT *, ceil(target / words)::BIGINT AS points, ceil(source_size::DOUBLE / words)::BIGINT AS blocks
+      FROM c WHERE target > 0 AND source_size > 0),
 q AS (SELECT *, coalesce(sum(points) OVER (ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS low,
              (sum(points) OVER ())::BIGINT AS points_all FROM p),
-g AS (SELECT i, floor((i * 0.6180339887498949::DOUBLE) % 1 * (SELECT any_value(points_all) FROM q))::BIGINT AS place
-      FROM range((SELECT floor(any_value(amount) / any_value(block))::BIGINT FROM q)) r(i)),
-k AS (SELECT nth, row_number() OVER (PARTITION BY nth ORDER BY i) - 1 AS r, ceil(source_size::DOUBLE / block)::BIGINT AS blocks
-      FROM g ASOF JOIN (SELECT * FROM q WHERE points > 0) q ON place >= low),
+g AS (SELECT i, i * 1327217885 % 2147483648 * (SELECT any_value(points_all) FROM q) // 2147483648 AS place
+      FROM range((SELECT coalesce(any_value(points_all), 0) FROM q)) r(i)),
+k AS (SELECT nth, blocks, row_number() OVER (PARTITION BY nth ORDER BY i) - 1 AS r FROM g ASOF JOIN q ON place >= low),
 u AS (SELECT nth, r % blocks AS blk, count(*) AS uses FROM k WHERE r < 2 * blocks GROUP BY ALL),
-x AS (SELECT doc_id, size, source_size, target, nth, block,
+x AS (SELECT doc_id, size, source_size, target, nth, words,
              coalesce(sum(size) OVER (PARTITION BY nth ORDER BY o, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
-      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-y AS (SELECT *, unnest(range(a // block, CASE WHEN size > 0 THEN (a + size - 1) // block + 1 ELSE a // block + 1 END)) AS blk FROM x)
+      FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source),
+y AS (SELECT *, unnest(range(a // words, CASE WHEN size > 0 THEN (a + size - 1) // words + 1 ELSE a // words + 1 END)) AS blk FROM x)
 SELECT doc_id, size, source_size, target,
-       sum(CASE WHEN size > 0 THEN (least(a + size, (blk + 1) * block) - greatest(a, blk * block)) * coalesce(uses, 0) ELSE 0 END)::BIGINT AS taken
+       sum(CASE WHEN size > 0 THEN (least(a + size, (blk + 1) * words) - greatest(a, blk * words)) * coalesce(uses, 0) ELSE 0 END)::BIGINT AS taken
 FROM y LEFT JOIN u USING (nth, blk) GROUP BY doc_id, size, source_size, target, a
 """
 
