@@ -1,8 +1,9 @@
 """Toxic texts by compression distance, with one zstandard dictionary of toxic and one of ordinary text.
 
-A window is one word, or a part of a long run of letters, repeated so that the fixed cost of a compressed block does not hide the difference. Its
-distance is what the toxic dictionary saves beyond the ordinary one. A text is scored by the share of its windows
-that save at least ``saves`` bytes, against a share calibrated on rows that neither dictionary was trained on.
+A window is one word, or a part of a long run of letters, repeated so that the fixed cost of a compressed block does not hide the
+difference. It is compressed with each dictionary by itself, and without one where a dictionary makes it longer; its distance is
+what the toxic dictionary saves beyond the ordinary one. A text is scored by the share of its windows that save at least ``saves``
+bytes, against a share calibrated on rows that neither dictionary was made from.
 
 The dictionaries are trained on a bounded sample of labelled rows (``ROWS_PER_CLASS``): the ordinary one on
 stretches of ordinary text; the toxic one holds the words of toxic text that are, or start with, what a much larger
@@ -69,7 +70,8 @@ class Distances(dict):
 
     def __init__(self, ordinary: bytes, toxic: bytes):
         super().__init__()
-        self._squeeze = [self._compressor(ordinary), self._compressor(ordinary + toxic)]
+        self._squeeze = [self._compressor(ordinary), self._compressor(toxic)]
+        self._alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
         self._known = {toxic[i : i + 4] for i in range(len(toxic) - 3)}
 
     @staticmethod
@@ -88,8 +90,10 @@ class Distances(dict):
         content = window.encode("utf-8", "surrogatepass")
         # what shares no four bytes with the toxic dictionary cannot be shortened by it
         if any(content[i : i + 4] in self._known for i in range(len(content) - 3)):
-            plain, toxic = (len(c.compress(content * REPEATS)) for c in self._squeeze)
-            saved = plain - toxic
+            # a dictionary that makes a window longer is none for it
+            most = len(self._alone.compress(content * REPEATS))
+            ordinary, toxic = (min(most, len(c.compress(content * REPEATS))) for c in self._squeeze)
+            saved = ordinary - toxic
         self[word] = saved
         return saved
 

@@ -79,10 +79,12 @@ def test_toxicity_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.1"
     words = r"(?i)\b(loser|idiot|pathetic|scum|worthless|moron|trash|clown|disgusting|stupid)\b"
     docs = documents(spark, folder).select("doc_id", F.regexp_count("text", F.lit(words)).alias("insults"))
-    rows = QUERIES["op8_toxicity"](spark, folder).join(docs, "doc_id").collect()
+    labels = documents(spark, folder, "labels").dropDuplicates(["doc_id"]).select("doc_id", "toxic")
+    rows = QUERIES["op8_toxicity"](spark, folder).join(docs, "doc_id").join(labels, "doc_id", "left").collect()
     assert all(r.held_out == held_out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
     tested = [r for r in rows if r.held_out]
-    toxic, clean = [r for r in tested if r.insults >= 3], [r for r in tested if not r.insults]
+    # insults are in English texts alone; what is clean in any language is told by its label
+    toxic, clean = [r for r in tested if r.insults >= 3], [r for r in tested if r.toxic == 0]
     assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic) > 50
     assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
 
@@ -116,6 +118,18 @@ def test_toxic_dictionary_shortens_only_its_own_words():
     assert found["idiot"] >= 3 and found["moron"] >= 3 and found["cat"] <= 0 and found["zebra"] == 0 and found["\U0001f600"] == 0
 
 
+def test_a_dictionary_that_lengthens_a_window_is_none():
+    """Nothing is saved beyond what the toxic dictionary saves on the window alone, however badly the ordinary one does."""
+    ordinary = b"".join(b" the %d" % (i * 7919 % 1000) for i in range(5000))
+    toxic = b" ing the other idiot " + b"\n" * 16
+    found = toxicity.Distances(ordinary, toxic)
+    for word in ("the", "ing", "other", "idiot", "thing", "idiotic", "bother"):
+        window = f" {word} ".encode() * toxicity.REPEATS
+        alone = len(found._alone.compress(window))
+        assert found[word] <= alone - min(alone, len(found._squeeze[1].compress(window))), word
+    assert found["idiot"] >= 3
+
+
 @pytest.mark.parametrize("letters", ["abcdefgh", "天地玄黄宇宙洪荒", "กขคงจฉชซ"])
 def test_windows_cover_long_runs(letters):
     for n in (1, 7, 8, 9, 63, 64, 65, 96, 97, 1000):
