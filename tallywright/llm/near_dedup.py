@@ -7,15 +7,19 @@
    the very threshold). So a node with too few shared coordinates has no partner, and the others need only their
    rarest ones: two nodes with enough matches meet in their prefixes. The long lists, which common passages make,
    are skipped wherever a node has enough rarer ones.
-3. In each list all nodes are compared with its centre, the node whose coordinates are shared most. Links that the
-   full sets confirm give components. A list of one component is done: no pair inside it can change a result.
-4. In the other lists the pairs across components remain. A node's shingles that no other of these nodes has count
-   against every partner, which rules out nearly all of them; the rest are compared on the full sets too.
-
-No list is ever expanded into all its pairs, and rows that share a list, a centre or a text are split by salt or
-broadcast of one row (``common.by_weight``). Defined results: a null or empty text, or one without words, has an
-empty set and is linked with nothing. A null id is linked with nothing and stays. Rows that repeat an id and a text
-have the same result. Ids should not be shared by different texts; where they are, their groups count as one.
+3. In each list all nodes are compared with its centre, the node whose coordinates are shared most: first the
+   signatures, then the full sets of those that are left. Confirmed links give components. A list of one component is
+   done: no pair inside it can change a result.
+4. The other lists get a new centre, drawn by hash, and only the nodes of other components are compared with it; this is
+   repeated up to ``ROUNDS`` times, while it finds links. A link between two components makes all their other pairs needless.
+5. In lists that still hold several components, the pairs across them remain. A node's shingles that no other of these nodes
+   has count against every partner, which rules out nearly all of them; the rest are compared as well. So a family of
+   texts that are all alike, but none enough, does cost its pairs: nothing less tells that no two of them are linked.
+
+Rows that share a list, a centre or a text are split by salt or broadcast of one row (``common.by_weight``). Defined results:
+a null or empty text, or one without words, has an empty set and is linked with nothing. A null id is linked with nothing and
+stays. Rows that repeat an id and a text have the same result. Different texts under one id are one document: whatever
+one of them is linked with, the other is too.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ WORDS, PERCENT = 5, 85
 COORDINATES, MISSED = 64, 5e-7
 #: pairs of one centre, and nodes of one list, that a task compares
 TOGETHER = 500
+#: times that lists of several components get a new centre
+ROUNDS = 3
 #: word hashes that a task keeps, and shingles it hashes at once
 KEPT_WORDS, CHUNK = 500_000, 4096
 
@@ -130,20 +136,24 @@ def _prefixes(nodes: DataFrame, percent: int) -> DataFrame:
     return by_node.select("node", "n", "shared", F.explode(rarest.getField("key")).alias("key"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs that are linked, by their full sets. ``b`` may be shared by most pairs."""
-    pairs = stored(pairs, "pairs")
+def _paired(pairs: DataFrame, described: DataFrame) -> DataFrame:
+    """(a, b) with the columns of both nodes, as x_a and x_b. ``b`` may be shared by most pairs."""
     counts = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pair-counts")
     salts = F.ceil(F.col("pairs") / TOGETHER)
-    mine = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("set_a"), F.col("coordinates").alias("coordinates_a"))
-    theirs = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("set_b"), F.col("coordinates").alias("coordinates_b"))
+    mine, theirs = (described.select(*(F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in described.columns)) for side in "ab")
     theirs = theirs.join(counts, "b").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("pairs")
     salted = by_weight(pairs, counts, "b", "pairs", pairs.count()).withColumn("salt", F.pmod(F.xxhash64("a"), salts))
-    met = salted.select("a", "b", "salt").join(mine, "a").join(theirs, ["b", "salt"])
-    met = met.where(_alike(F.least("n_a", "n_b"), F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), percent))
+    return salted.select("a", "b", "salt").join(mine, "a").join(theirs, ["b", "salt"]).drop("salt")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs that are linked, by their full sets, which only pairs with enough equal coordinates meet."""
+    signed = _paired(stored(pairs, "pairs"), sets.select("node", "n", "coordinates"))
     collisions = F.size(F.filter(F.zip_with("coordinates_a", "coordinates_b", lambda x, y: x == y), lambda same: same))
-    met = met.where(collisions >= matches(percent))
-    return met.where(_alike(F.size(F.array_intersect("set_a", "set_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    sizes = _alike(F.least("n_a", "n_b"), F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), percent)
+    near = stored(signed.where(sizes & (collisions >= matches(percent))).select("a", "b"), "near-pairs")
+    met = _paired(near, sets.select("node", "n", "shingles"))
+    return met.where(_alike(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def _starred(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,11 +167,28 @@ def _starred(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _confirmed(pairs.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets, percent)
 
 
+def _labelled(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings with the components of their nodes."""
+    return stored(prefixes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+
+
+def _merging(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, nth: int) -> DataFrame:
+    """Links of nodes with another centre of a list, one of another component."""
+    placed = _labelled(prefixes, labels)
+    drawn = F.max(F.struct(F.xxhash64("node", F.lit(nth)).alias("drawn"), "node", "component"))
+    mixed = stored(
+        placed.groupBy("key").agg(
+            F.count("*").alias("size"), F.min("component").alias("one"), F.max("component").alias("other"), drawn.alias("centre"),
+        ).where("one <> other").select("key", "size", F.col("centre.node").alias("b"), F.col("centre.component").alias("of")),
+        "mixed-centres",
+    )
+    pairs = by_weight(placed, mixed, "key", "size", placed.count()).where("component <> of")
+    return _confirmed(pairs.select(F.col("node").alias("a"), "b").distinct(), sets, percent)
+
+
 def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links across components, among lists that hold several of them."""
-    placed = stored(
-        prefixes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed"
-    )
+    placed = _labelled(prefixes, labels)
     mixed = stored(
         placed.groupBy("key").agg(
             F.count("*").alias("size"), F.min("component").alias("one"), F.max("component").alias("other"),
@@ -212,6 +239,24 @@ def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent:
     return _confirmed(pairs.select("a", "b"), sets, percent)
 
 
+def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of nodes that are linked, given earlier components: one link to its component stands for a node."""
+    return stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)), "components")
+
+
+def _same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the nodes of different texts that have the same id."""
+    none = classes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    several = rows.groupBy("doc_id").agg(F.min("set_key").alias("one"), F.max("set_key").alias("other"))
+    several = stored(several.where("one <> other").select("doc_id"), "repeated-ids")
+    if several.isEmpty():
+        return none
+    texts = stored(rows.join(several, "doc_id").select("doc_id", "set_key").distinct(), "repeated-id-texts")
+    nodes = stored(texts.join(classes.select("set_key", "node"), "set_key").select("doc_id", "node"), "repeated-id-nodes")
+    firsts = stored(nodes.groupBy("doc_id").agg(F.min("node").alias("b"), F.count("*").alias("n")), "repeated-id-firsts")
+    return by_weight(nodes, firsts, "doc_id", "n", nodes.count()).select(F.col("node").alias("a"), "b")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row; pairs with a Jaccard similarity of ``percent`` are linked."""
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -219,29 +264,38 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     described = plain.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
         _described, "doc_id string, n long, set_key binary, coordinates array<long>"
     )
-    rows = stored(described.withColumn("doc_id", F.col("doc_id").cast("long")), "shingled")
+    rows = described.withColumns({"doc_id": F.col("doc_id").cast("long"), "row": F.monotonically_increasing_id()})
+    rows = stored(rows, "shingled")
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    # a node is a set; its number is that of one of its rows
     classes = stored(
         rows.where(linked).groupBy("set_key").agg(
-            F.min("doc_id").alias("node"), F.count("*").alias("rows"),
+            F.min("row").alias("node"), F.min("doc_id").alias("first_id"), F.count("*").alias("rows"),
             F.first("n").alias("n"), F.first("coordinates").alias("coordinates"),
         ),
         "classes",
     )
-    prefixes = stored(_prefixes(classes.dropDuplicates(["node"]), percent), "prefixes")
-    sets = classes.select("node", "set_key").join(prefixes.select("node").distinct(), "node", "left_semi")
-    sets = plain.join(sets, plain["doc_id"] == sets["node"]).select("node", "text", "set_key")
+    prefixes = stored(_prefixes(classes, percent), "prefixes")
+    sets = classes.select("node", "first_id", "set_key").join(prefixes.select("node").distinct(), "node", "left_semi")
+    sets = plain.join(sets, plain["doc_id"] == sets["first_id"]).select("node", "text", "set_key")
     sets = stored(sets.mapInPandas(_sets, "node long, n long, shingles array<long>, coordinates array<long>").dropDuplicates(["node"]), "sets")
-    links = stored(_starred(prefixes, sets, percent), "star-links")
+    links = stored(_starred(prefixes, sets, percent), "star-links").unionByName(_same_ids(rows.where(linked), classes))
     labels = stored(components(links), "star-components")
+    for nth in range(ROUNDS):
+        more = stored(_merging(prefixes, sets, labels, percent, nth), "merging-links")
+        if more.isEmpty():
+            break
+        labels = _with_links(labels, more)
     more = stored(_remaining(prefixes, sets, labels, percent), "other-links")
     if not more.isEmpty():
-        # what is linked already needs one link to its component only
-        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    found = classes.join(labels, "node", "left").select("set_key", "rows", F.coalesce("component", "node").alias("component_id"))
+        labels = _with_links(labels, more)
+    found = classes.join(labels, "node", "left").select("set_key", "rows", "first_id", F.coalesce("component", "node").alias("component"))
+    found = stored(found, "found")
+    named = found.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
+    found = by_weight(found, stored(named, "component-ids"), "component", "n", found.count()).select("set_key", "rows", "component_id")
     parts = rows.select("doc_id", "n", "set_key")
     alone = parts.where(~linked).withColumn("component_id", F.col("doc_id"))
-    joined = by_weight(stored(parts.where(linked), "linked"), stored(found, "found"), "set_key", "rows", rows.count())
+    joined = by_weight(stored(parts.where(linked), "linked"), stored(found, "found-ids"), "set_key", "rows", rows.count())
     whole = joined.select(alone.columns).unionByName(alone)
     return whole.select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")

@@ -189,6 +189,32 @@ def test_near_in_a_hot_group(spark):
     assert near == [700]
 
 
+def test_different_texts_under_one_id_lose_no_link(spark):
+    rng = random.Random(8)
+    a, b, c = ([f"{k}{rng.randrange(10**6)}" for _ in range(60)] for k in "abc")
+    rows = [(1, a), (1, b), (3, [*b, "more"]), (4, [*a, "more"]), (5, c), (6, [*c, "more"]), (6, ["quite", "other"]), (9, ["quite", "other"])]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in rows], "doc_id long, text string")
+    for parts in (1, 3):
+        got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs.repartition(parts)).collect()}
+        assert got == {(1, 1, True), (3, 1, False), (4, 1, False), (5, 5, True), (6, 5, False), (9, 5, False)}
+
+
+def test_near_in_a_family_without_its_original(spark, monkeypatch):
+    """One template, a few words changed in each copy, no copy like the template itself: rounds of new centres merge them."""
+    from tallywright.llm import near_dedup
+
+    made = []
+    paired = near_dedup._paired
+    monkeypatch.setattr(near_dedup, "_paired", lambda pairs, described: made.append(pairs.count()) or paired(pairs, described))
+    rng = random.Random(9)
+    texts = list(family(rng, 200, 200, [2]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()}
+    assert got == brute(dict(enumerate(texts)))
+    assert sum(made[0::2]) < 199 * 200 / 2  # signatures compared; the full sets of fewer
+    assert sum(made[1::2]) <= sum(made[0::2])
+
+
 @pytest.mark.parametrize("percent, coordinates", [(85, 38), (80, 34)])
 def test_near_pairs_between_the_thresholds(spark, percent, coordinates):
     """Pairs of 0.80 to 0.85: linked by the pipeline's stage, apart in op5."""
