@@ -10,8 +10,9 @@
 3. In each list all nodes are compared with its centre, the node whose coordinates are shared most: first the
    signatures, then the full sets of those that are left. Confirmed links give components. A list of one component is
    done: no pair inside it can change a result.
-4. The other lists get a new centre, drawn by hash, and only the nodes of other components are compared with it; this is
-   repeated up to ``ROUNDS`` times, while it finds links. A link between two components makes all their other pairs needless.
+4. The other lists get a new centre, drawn by hash, and each node is compared with the centre of one of its lists, if that
+   is of another component; this is repeated up to ``ROUNDS`` times, while it links many. A link between two components makes
+   all their other pairs needless.
 5. In lists that still hold several components, the pairs across them remain. A node's shingles that no other of these nodes
    has count against every partner, which rules out nearly all of them; the rest are compared as well. So a family of
    texts that are all alike, but none enough, does cost its pairs: nothing less tells that no two of them are linked.
@@ -40,8 +41,8 @@ WORDS, PERCENT = 5, 85
 COORDINATES, MISSED = 64, 5e-7
 #: pairs of one centre, and nodes of one list, that a task compares
 TOGETHER = 500
-#: times that lists of several components get a new centre
-ROUNDS = 3
+#: times that lists of several components get a new centre, and share of the compared pairs that must link to go on
+ROUNDS, WORTHWHILE = 4, 0.1
 #: word hashes that a task keeps, and shingles it hashes at once
 KEPT_WORDS, CHUNK = 500_000, 4096
 
@@ -172,8 +173,8 @@ def _labelled(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(prefixes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
 
 
-def _merging(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, nth: int) -> DataFrame:
-    """Links of nodes with another centre of a list, one of another component."""
+def _merging(prefixes: DataFrame, labels: DataFrame, nth: int) -> DataFrame:
+    """(a, b): each node of a list with several components, and another centre of one of its lists, of another component."""
     placed = _labelled(prefixes, labels)
     drawn = F.max(F.struct(F.xxhash64("node", F.lit(nth)).alias("drawn"), "node", "component"))
     mixed = stored(
@@ -183,7 +184,8 @@ def _merging(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
         "mixed-centres",
     )
     pairs = by_weight(placed, mixed, "key", "size", placed.count()).where("component <> of")
-    return _confirmed(pairs.select(F.col("node").alias("a"), "b").distinct(), sets, percent)
+    one = F.min(F.struct(F.xxhash64("key", F.lit(nth)).alias("drawn"), "b")).alias("one")
+    return pairs.groupBy(F.col("node").alias("a")).agg(one).select("a", F.col("one.b").alias("b"))
 
 
 def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -281,12 +283,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = stored(sets.mapInPandas(_sets, "node long, n long, shingles array<long>, coordinates array<long>").dropDuplicates(["node"]), "sets")
     links = stored(_starred(prefixes, sets, percent), "star-links").unionByName(_same_ids(rows.where(linked), classes))
     labels = stored(components(links), "star-components")
+    late = links.limit(0)
     for nth in range(ROUNDS):
-        more = stored(_merging(prefixes, sets, labels, percent, nth), "merging-links")
-        if more.isEmpty():
+        pairs = stored(_merging(prefixes, labels, nth), "merging-pairs")
+        late = stored(_confirmed(pairs, sets, percent), "merging-links")
+        if late.count() < WORTHWHILE * pairs.count() or late.isEmpty():
             break
-        labels = _with_links(labels, more)
-    more = stored(_remaining(prefixes, sets, labels, percent), "other-links")
+        labels, late = _with_links(labels, late), late.limit(0)
+    more = stored(_remaining(prefixes, sets, labels, percent).unionByName(late), "other-links")
     if not more.isEmpty():
         labels = _with_links(labels, more)
     found = classes.join(labels, "node", "left").select("set_key", "rows", "first_id", F.coalesce("component", "node").alias("component"))
