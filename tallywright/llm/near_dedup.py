@@ -138,21 +138,25 @@ def _prefixes(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _paired(pairs: DataFrame, described: DataFrame) -> DataFrame:
-    """(a, b) with the columns of both nodes, as x_a and x_b. ``b`` may be shared by most pairs."""
-    counts = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pair-counts")
-    salts = F.ceil(F.col("pairs") / TOGETHER)
+    """(a, b, salt) with the columns of both nodes, as x_a and x_b. A ``b`` has at most about ``TOGETHER`` pairs of one salt."""
     mine, theirs = (described.select(*(F.col(c).alias(side if c == "node" else f"{c}_{side}") for c in described.columns)) for side in "ab")
-    theirs = theirs.join(counts, "b").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("pairs")
-    salted = by_weight(pairs, counts, "b", "pairs", pairs.count()).withColumn("salt", F.pmod(F.xxhash64("a"), salts))
-    return salted.select("a", "b", "salt").join(mine, "a").join(theirs, ["b", "salt"]).drop("salt")
+    needed = pairs.select("b", "salt").distinct().join(theirs, "b")
+    return pairs.join(mine, "a").join(needed, ["b", "salt"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the pairs that are linked, by their full sets, which only pairs with enough equal coordinates meet."""
-    signed = _paired(stored(pairs, "pairs"), sets.select("node", "n", "coordinates"))
+    """(a, b) of the pairs that are linked, by their full sets, which only pairs with enough equal coordinates meet.
+
+    ``b`` may be shared by most pairs, which are split by salt.
+    """
+    pairs = stored(pairs, "pairs")
+    counts = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pair-counts")
+    salt = F.pmod(F.xxhash64("a"), F.ceil(F.col("pairs") / TOGETHER)).alias("salt")
+    salted = stored(by_weight(pairs, counts, "b", "pairs", pairs.count()).select("a", "b", salt), "salted-pairs")
+    signed = _paired(salted, sets.select("node", "n", "coordinates"))
     collisions = F.size(F.filter(F.zip_with("coordinates_a", "coordinates_b", lambda x, y: x == y), lambda same: same))
     sizes = _alike(F.least("n_a", "n_b"), F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), percent)
-    near = stored(signed.where(sizes & (collisions >= matches(percent))).select("a", "b"), "near-pairs")
+    near = stored(signed.where(sizes & (collisions >= matches(percent))).select("a", "b", "salt"), "near-pairs")
     met = _paired(near, sets.select("node", "n", "shingles"))
     return met.where(_alike(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
