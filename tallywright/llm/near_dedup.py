@@ -7,9 +7,9 @@
    the very threshold). So a node with too few shared coordinates has no partner, and the others need only their
    rarest ones: two nodes with enough matches meet in their prefixes. The long lists, which common passages make,
    are skipped wherever a node has enough rarer ones.
-3. In each list all nodes are compared with its centre, the node whose coordinates are shared most: first the
-   signatures, then the full sets of those that are left. Confirmed links give components. A list of one component is
-   done: no pair inside it can change a result.
+3. A list's centre is the node whose coordinates are shared most, and each node is compared with the most shared centre
+   of its lists: first the signatures, then the full sets of those that are left. Confirmed links give components. A list
+   of one component is done: no pair inside it can change a result.
 4. The other lists get a new centre, drawn by hash, and each node is compared with the centre of one of its lists, if that
    is of another component; this is repeated up to ``ROUNDS`` times, while it links many. A link between two components makes
    all their other pairs needless.
@@ -162,14 +162,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _starred(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of nodes with the centre of one of their lists."""
+    """Links of each node with one centre: of those of its lists, the one whose coordinates are shared most."""
     centres = stored(
         prefixes.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("shared", "node")).alias("centre"))
-        .where("size > 1").select("key", "size", F.col("centre.node").alias("b")),
+        .where("size > 1"),
         "centres",
     )
-    pairs = by_weight(prefixes, centres, "key", "size", prefixes.count())
-    return _confirmed(pairs.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets, percent)
+    met = by_weight(prefixes.select("key", "node"), centres, "key", "size", prefixes.count())
+    pairs = met.groupBy(F.col("node").alias("a")).agg(F.max("centre").alias("centre")).select("a", F.col("centre.node").alias("b"))
+    return _confirmed(pairs.where("a <> b"), sets, percent)
 
 
 def _labelled(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
