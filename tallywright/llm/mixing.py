@@ -138,18 +138,20 @@ def _first_words(text: Column, n: Column) -> Column:
     return F.rtrim(F.left(body, F.length(body) - F.length(rest)), F.lit(BLANKS))
 
 
+def uses(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
+    """The schedule by document: doc_id, source, tag, size, use, position (of its first slot) and words (its first ones)."""
+    placed, used = _used(docs, weights, share, repeats)
+    return placed.select("_row", "doc_id", "source", "tag", "size").join(used, "_row").drop("_row")
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself, in the order of its schedule: a row for each time a document is used; of one used in part its first words."""
-    tag, size, words, position = free(docs, "tag", "size", "words", "position")
-    placed, uses = _used(docs, WEIGHTS, SHARE, REPEATS)
-    found = placed.select("_row", "doc_id", F.col("tag").alias(tag), F.col("size").alias(size)).join(uses, "_row").select(
-        "doc_id", tag, size, F.col("words").cast("int").alias(words), F.col("position").alias(position)
-    )
+    """The mix itself: a row for each time a document is used; of one used in part its first words. ``uses`` has their positions."""
+    tag, size, words = free(docs, "tag", "size", "words")
+    found = uses(docs).select("doc_id", F.col("tag").alias(tag), F.col("size").alias(size), F.col("words").cast("int").alias(words))
     single = docs.withColumn(tag, F.xxhash64("text")).dropDuplicates(["doc_id", tag])  # rows that repeat a document: all their uses
-    used = single.join(found, same(single, found, ["doc_id", tag])).select(*(single[c] for c in docs.columns), size, words, position)
+    used = single.join(found, same(single, found, ["doc_id", tag])).select(*(single[c] for c in docs.columns), size, words)
     text = F.when(F.col(words) >= F.col(size), F.col("text")).otherwise(_first_words(F.col("text"), F.col(words)))
     changed = used.withColumn("text", text)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    order = [F.col(position), F.col("doc_id")]
-    return changed.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)
+    return changed.select(docs.columns)

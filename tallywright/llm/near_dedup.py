@@ -7,7 +7,7 @@
    the very threshold). So a node with too few shared coordinates has no partner, and the others need only their
    rarest ones: two nodes with enough matches meet in their prefixes. The long lists, which common passages make,
    are skipped wherever a node has enough rarer ones.
-3. A list's centre is the node whose coordinates are shared most, and each node is compared with the most shared centre
+3. A list's centre is the node whose coordinates are shared most, and each node is compared with the most shared centres
    of its lists: first the signatures, then the full sets of those that are left. Confirmed links give components. A list
    of one component is done: no pair inside it can change a result.
 4. The other lists get a new centre, drawn by hash, and each node is compared with the centre of one of its lists, if that
@@ -41,6 +41,8 @@ WORDS, PERCENT = 5, 85
 COORDINATES, MISSED = 64, 5e-7
 #: pairs of one centre, and nodes of one list, that a task compares
 TOGETHER = 500
+#: centres that a node meets to begin with; the other pairs are left to the later steps
+CENTRES = 8
 #: times that lists of several components get a new centre, and share of the compared pairs that must link to go on
 ROUNDS, WORTHWHILE = 4, 0.1
 #: word hashes that a task keeps, and shingles it hashes at once
@@ -162,15 +164,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _starred(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of each node with one centre: of those of its lists, the one whose coordinates are shared most."""
+    """Links of nodes with the centres of their lists, the ``CENTRES`` whose coordinates are shared most."""
     centres = stored(
         prefixes.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("shared", "node")).alias("centre"))
         .where("size > 1"),
         "centres",
     )
     met = by_weight(prefixes.select("key", "node"), centres, "key", "size", prefixes.count())
-    pairs = met.groupBy(F.col("node").alias("a")).agg(F.max("centre").alias("centre")).select("a", F.col("centre.node").alias("b"))
-    return _confirmed(pairs.where("a <> b"), sets, percent)
+    # at most a node's prefix of them
+    most = F.slice(F.sort_array(F.collect_set("centre"), asc=False), 1, CENTRES)
+    pairs = met.groupBy(F.col("node").alias("a")).agg(most.alias("centres"))
+    pairs = pairs.select("a", F.explode("centres.node").alias("b")).where("a <> b")
+    return _confirmed(pairs, sets, percent)
 
 
 def _labelled(prefixes: DataFrame, labels: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def test_blocks_of_many_words(spark, monkeypatch, block, fine):
 
 def sources_in_order(rows):
     """Shares of each source among the words in every tenth of the schedule."""
-    words = [(r.source, len(r.text.split())) for r in rows]
+    words = [(r.source, r.words) for r in sorted(rows, key=lambda r: r.position)]
     total, tenths, at = sum(n for _, n in words), [defaultdict(int) for _ in range(10)], 0
     for source, n in words:
         tenths[min(9, 10 * at // total)][source] += n
@@ -80,8 +80,7 @@ def sources_in_order(rows):
 
 def test_sources_alternate_along_the_schedule(spark):
     table = [(i, f"s{i % 3}", " ".join(["word"] * 20)) for i in range(6000)]
-    mixed = mixed_documents(spark.createDataFrame(table, "doc_id long, source string, text string"))
-    shares = sources_in_order(mixed.collect())
+    shares = sources_in_order(mixing.uses(spark.createDataFrame(table, "doc_id long, source string, text string")).collect())
     whole = {s: sum(t.get(s, 0) for t in shares) / 10 for s in ("s0", "s1", "s2")}
     assert whole["s0"] > whole["s1"] > whole["s2"]
     assert all(abs(t.get(s, 0) - whole[s]) < 0.03 for t in shares for s in whole)
