@@ -41,8 +41,8 @@ WORDS, PERCENT = 5, 85
 COORDINATES, MISSED = 64, 5e-7
 #: pairs of one centre, and nodes of one list, that a task compares
 TOGETHER = 500
-#: centres that a node meets to begin with; the other pairs are left to the later steps
-CENTRES = 8
+#: centres that a node meets to begin with: those of all its lists
+CENTRES = COORDINATES
 #: times that lists of several components get a new centre, and share of the compared pairs that must link to go on
 ROUNDS, WORTHWHILE = 4, 0.1
 #: word hashes that a task keeps, and shingles it hashes at once
@@ -146,21 +146,26 @@ def _paired(pairs: DataFrame, described: DataFrame) -> DataFrame:
     return pairs.join(mine, "a").join(needed, ["b", "salt"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, by_signature: bool = True) -> DataFrame:
     """(a, b) of the pairs that are linked, by their full sets, which only pairs with enough equal coordinates meet.
 
-    ``b`` may be shared by most pairs, which are split by salt.
+    Pairs that were chosen by their shingles already go to the sets at once (``by_signature`` false). ``b`` may be shared by most pairs, which are split by salt.
     """
     pairs = stored(pairs, "pairs")
     counts = stored(pairs.groupBy("b").agg(F.count("*").alias("pairs")), "pair-counts")
     salt = F.pmod(F.xxhash64("a"), F.ceil(F.col("pairs") / TOGETHER)).alias("salt")
     salted = stored(by_weight(pairs, counts, "b", "pairs", pairs.count()).select("a", "b", salt), "salted-pairs")
+    near = _signed(salted, sets, percent) if by_signature else salted
+    met = _paired(near, sets.select("node", "n", "shingles"))
+    return met.where(_alike(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+
+def _signed(salted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs with enough equal coordinates, and sizes that allow a link."""
     signed = _paired(salted, sets.select("node", "n", "coordinates"))
     collisions = F.size(F.filter(F.zip_with("coordinates_a", "coordinates_b", lambda x, y: x == y), lambda same: same))
     sizes = _alike(F.least("n_a", "n_b"), F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), percent)
-    near = stored(signed.where(sizes & (collisions >= matches(percent))).select("a", "b", "salt"), "near-pairs")
-    met = _paired(near, sets.select("node", "n", "shingles"))
-    return met.where(_alike(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    return stored(signed.where(sizes & (collisions >= matches(percent))).select("a", "b", "salt"), "near-pairs")
 
 
 def _starred(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,7 +253,7 @@ def _remaining(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percent:
         (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("component_a") != F.col("component_b"))
         & _alike(F.least("common_a", "common_b"), F.col("n_a"), F.col("n_b"), percent) & once,
     )
-    return _confirmed(pairs.select("a", "b"), sets, percent)
+    return _confirmed(pairs.select("a", "b"), sets, percent, by_signature=False)
 
 
 def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:

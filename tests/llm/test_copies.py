@@ -211,8 +211,7 @@ def test_near_in_a_family_without_its_original(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()}
     assert got == brute(dict(enumerate(texts)))
-    assert sum(made[0::2]) < 199 * 200 / 2  # signatures compared; the full sets of fewer
-    assert sum(made[1::2]) <= sum(made[0::2])
+    assert sum(made) < 199 * 200 / 2  # meetings of two signatures or sets
 
 
 @pytest.mark.parametrize("percent, coordinates", [(85, 38), (80, 34)])
