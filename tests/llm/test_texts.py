@@ -277,3 +277,49 @@ def test_only_candidate_rules_run(spark):
 @pytest.mark.parametrize("path", ["/en/", "/en", "/"])
 def test_tokens_of_a_rule_are_whole(path):
     assert url_rules.host_rule("allow", "example.net", path).tokens == ("example", "net", *(["en"] if path == "/en/" else []))
+
+
+LINES = [
+    None, "", "! a comment", "[Adblock Plus 2.0]",
+    "||example.net^", "||ads.example.com^*banner", "/banner/*/img^", "|static.", ".gif|", "@@||example.net/en/", "@@/banner/free/", "track*er",
+    "-promo-", "||Example.ORG/Path/", "*", "^adk^",
+]
+ADDRESSES = [
+    None, "", "http://example.net", "http://example.net/en/1", "http://badexample.net/", "http://x.ads.example.com/a/banner1",
+    "http://a.b/banner/1/img/2", "http://a.b/banner/1/img", "http://a.b/banner/free/img/", "http://static.a/b", "http://a/static.b", "http://a/b.GIF",
+    "http://a/b.gif/c", "http://a/trackxer", "http://a/tracker", "http://a/x-promo-y", "http://EXAMPLE.org/PATH/1", "http://example.org/pathx",
+    "http://a/\u212aad\u212a/", "http://a/ad\u212a/", "http://a/adk/", "http://a.net/banner/casino",
+]
+
+
+def test_filter_rules():
+    rule = url_rules.filter_rule("@@||Example.net/a*b^c|")
+    assert (rule.name, rule.action, rule.tokens, rule.exact) == ("@@||Example.net/a*b^c|", "allow", ("example", "net", "c"), False)
+    assert url_rules.filter_rule("banner/img").tokens == () and url_rules.filter_rule("/banner/img").tokens == ("banner",)
+    assert [url_rules.filter_rule(line) for line in LINES[:4]] == [None] * 4
+
+
+@pytest.mark.parametrize("index_bytes", [url_rules.INDEX_BYTES, 0])
+@pytest.mark.parametrize("general", [True, False])
+def test_all_rules_run_on_all_urls_give_the_same(spark, monkeypatch, index_bytes, general):
+    """The index, sent or joined, against every rule run on every URL; lists are short, so that the joined ones are split."""
+    monkeypatch.setattr(url_rules, "TOGETHER", 2)
+    lines = [line for line in LINES if general or line != "*"] * 2 + [f"/word{i}/" for i in range(40)]
+    urls = ADDRESSES + [f"http://host{i % 7}.net/word{i}/" for i in range(60)] + ["http://a/word3/"] * 200
+    extra = (*url_rules.HOST_RULES, *url_rules.WORD_RULES)
+    rules = url_rules.filter_rules(spark.createDataFrame([(x,) for x in lines], "value string"))
+    rules = rules.unionByName(url_rules.rule_table(spark, extra))
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, row string")
+    got = {r.page_id: (r.rule, r.pattern, r.verdict, r.row) for r in url_rules.judge(pages, rules, index_bytes=index_bytes).collect()}
+    known = [*filter(None, map(url_rules.filter_rule, lines)), *extra]
+    assert len(got) == len(urls)
+    for i, url in enumerate(urls):
+        rest = (url or "").partition("://")[2]
+        host, path = re.match(r"([^/?#]*)([^?#]*)", rest).groups()
+        fits = [r for r in known if re.search(r.pattern, host.lower() + path)]
+        hosts = sorted((-len(r.name), r.action != "block", r.name, r.action) for r in fits if r.exact)
+        others = sorted((r.action != "allow", r.name, r.action) for r in fits if not r.exact)
+        want = (hosts[0][2], None, hosts[0][3]) if hosts else (None, *others[0][1:]) if others else (None, None, "allow")
+        assert got[i] == (*want, "x"), url
+    assert url_rules.judge(pages.limit(0), rules, index_bytes=index_bytes).count() == 0
+    assert {r.verdict for r in url_rules.judge(pages, rules.limit(0), index_bytes=index_bytes).collect()} == {"allow"}
