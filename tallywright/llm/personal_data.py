@@ -1,8 +1,10 @@
 """Personal data: expressions propose spans, checksums confirm them, words nearby adjust the score.
 
 The kinds email, ip, card and phone are found by fixed expressions and always stay once their check passes.
-Beyond them an IBAN is reported if its mod-97 check holds, and a number written as 3-2-4 digits only if a word
-nearby says what it is. The score (0 to 1) starts from how much the form proves, and rises with such a word.
+Beyond them an IBAN is reported if its mod-97 check holds, a key in the form of a well-known issuer at once, and a number
+written as 3-2-4 digits or a token of random letters and digits only if a word nearby says what it is. The score (0 to 1)
+starts from how much the form proves, and rises with such a word, in English, German, French or Spanish. A random token
+has at least 20 characters of ``[A-Za-z0-9_+-]``, two letters, four digits and 3 bits a character; longer ones than 256 are none.
 
 Offsets are code points, the end exclusive. Spans of different kinds may overlap. Defined results: a null or
 empty text has no spans. Every expression runs in time linear in the text, also on long runs of one character.
@@ -10,7 +12,9 @@ empty text has no spans. Every expression runs in time linear in the text, also
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,15 +34,26 @@ _IBAN_LENGTHS = {
 }
 _GROUPED = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
-#: score of a confirmed form, words that speak for it, and the score from which a span is reported
+#: keys whose issuer gives them a form of their own
+_KEY = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|xox[abp]-[0-9A-Za-z-]{20,80}|AIza[0-9A-Za-z_-]{35})(?![A-Za-z0-9_-])"
+)
+_RANDOM = re.compile(r"(?<![A-Za-z0-9_+-])[A-Za-z0-9_+-]{20,256}(?![A-Za-z0-9_+-])")
+_LETTER = re.compile(r"[^\W\d_]+")
+
+#: score of a confirmed form, and words that speak for it
 KINDS = {
-    "email": (0.9, ("mail", "contact", "write")),
-    "ip": (0.6, ("ip", "address", "host", "server")),
-    "card": (0.8, ("card", "visa", "credit", "payment")),
-    "phone": (0.7, ("phone", "call", "tel", "mobile", "fax")),
-    "iban": (0.9, ("iban", "bank", "account")),
-    "ssn": (0.3, ("ssn", "social", "security")),
-}
+    "email": (0.9, "mail email contact write kontakt schreiben contacter écrire correo contacto escribir"),
+    "ip": (0.6, "ip address host server adresse rechner serveur dirección servidor"),
+    "card": (0.8, "card visa credit payment karte kreditkarte zahlung carte paiement tarjeta crédito pago"),
+    "phone": (0.7, "phone call tel mobile fax telefon anruf handy téléphone appel appeler teléfono móvil llamar"),
+    "iban": (0.9, "iban bank account konto bankverbindung banque compte banco cuenta"),
+    "ssn": (0.3, "ssn social security sozialversicherung sécurité sociale seguridad"),
+    "key": (0.9, "key token secret password schlüssel clé clave"),
+    "token": (0.3, "key token secret password apikey passwd passwort schlüssel geheim clé jeton secrète clave secreto contraseña"),
+}
+KINDS = {kind: (score, frozenset(words.split())) for kind, (score, words) in KINDS.items()}
+#: the score from which a span is reported
 ENOUGH, CONTEXT_BONUS, CONTEXT_WIDTH = 0.5, 0.3, 40
 BASE = ("email", "ip", "card", "phone")
 
@@ -105,7 +120,24 @@ def _grouped(text: str):
     yield from (m.span() for m in _GROUPED.finditer(text))
 
 
-_FINDERS = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _grouped}
+def _keys(text: str):
+    yield from (m.span() for m in _KEY.finditer(text))
+
+
+def _bits(token: str) -> float:
+    """Entropy of a token's characters, in bits a character."""
+    return -sum(n / len(token) * math.log2(n / len(token)) for n in Counter(token).values())
+
+
+def _tokens(text: str):
+    for m in _RANDOM.finditer(text):
+        token = m.group()
+        digits = len(_digits(token))
+        if digits >= 4 and sum(map(str.isalpha, token)) >= 2 and not _KEY.fullmatch(token) and _bits(token) >= 3:
+            yield m.span()
+
+
+_FINDERS = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _grouped, "key": _keys, "token": _tokens}
 
 
 def spans(text: str | None) -> list[tuple[str, int, int, float]]:
@@ -115,7 +147,7 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
         score, words = KINDS[kind]
         for start, end in finder(text or ""):
             near = text[max(0, start - CONTEXT_WIDTH) : start] + " " + text[end : end + CONTEXT_WIDTH]
-            known = not set(words).isdisjoint(re.findall("[a-z]+", near.lower()))
+            known = not words.isdisjoint(_LETTER.findall(near.lower()))
             total = min(1.0, score + CONTEXT_BONUS * known)
             if kind in BASE or total >= ENOUGH:
                 found.append((kind, start, end, total))
@@ -136,3 +168,8 @@ def personal_data(text: str = "text") -> Column:
 def joined(found: Column) -> Column:
     """Spans as text: kind:start:end, joined by commas."""
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def scores(found: Column) -> Column:
+    """Scores of the spans as text, in hundredths, in the order of the spans."""
+    return F.array_join(F.transform(found, lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",")

@@ -16,7 +16,7 @@ from tallywright.llm.merkle import prove
 from tallywright.llm.mixing import mix
 from tallywright.llm.near_dedup import near_duplicates
 from tallywright.llm.packing import pack_documents
-from tallywright.llm.personal_data import BASE, joined, personal_data
+from tallywright.llm.personal_data import BASE, joined, personal_data, scores
 from tallywright.llm.toxicity import scored
 from tallywright.llm.url_rules import judge
 from tallywright.llm.vector_search import top_k
@@ -55,7 +55,10 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = documents(spark, folder).select("doc_id", personal_data().alias("found"))
     base = F.filter("found", lambda s: s["kind"].isin(*BASE))
     counts = [_number_of(kind).alias(f"n_{kind}") for kind in BASE]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+    spans = F.col("found")
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"), scores(spans).alias("scores")
+    )
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -224,10 +224,60 @@ def test_account_is_found_beside_other_tokens():
 
 
 def test_long_runs_take_linear_time(spark):
-    for run in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "+1" * 100_000, "1." * 100_000, "+1(((" * 50_000, "A1" * 100_000, "DE11 " * 50_000):
+    for run in ("a" * 300_000, "1" * 300_000, "a@" * 100_000, "+1" * 100_000, "1." * 100_000, "+1(((" * 50_000, "A1" * 100_000, "DE11 " * 50_000,
+                "a1-" * 100_000, "xoxb-" * 60_000, "AKIA" * 75_000, "ghp_" * 75_000):
         spans(run)
 
 
+FORMS = {
+    "email": "a.b@example.com", "ip": "10.0.0.1", "card": "4111 1111 1111 1111", "phone": "+1 (988) 555-2485",
+    "iban": "DE89 3704 0044 0532 0130 00", "ssn": "123-45-6789", "key": "AKIA" + "Q7ZK" * 4,
+    "token": "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b",
+}
+CONTEXTS = {
+    "email": ("Mail", "Kontakt", "écrire", "correo"), "ip": ("server", "Rechner", "serveur", "dirección"),
+    "card": ("Visa", "Karte", "carte", "tarjeta"), "phone": ("call", "Telefon", "téléphone", "móvil"),
+    "iban": ("bank", "Konto", "compte", "cuenta"), "ssn": ("SSN", "Sozialversicherung", "sécurité", "seguridad"),
+    "key": ("secret", "Schlüssel", "clé", "clave"), "token": ("token", "Passwort", "jeton", "CONTRASEÑA"),
+}
+
+
+@pytest.mark.parametrize("kind", pii.KINDS)
+def test_words_nearby_raise_the_score(kind):
+    """Each kind, in four languages, before and after the span; a word further away or inside another word does not count."""
+    form, (least, _) = FORMS[kind], pii.KINDS[kind]
+    alone = [s for s in spans(f"xx {form} xx") if s[0] == kind]
+    assert alone == ([(kind, 3, 3 + len(form), least)] if least >= pii.ENOUGH else [])
+    for word in CONTEXTS[kind]:
+        for text in (f"{word}: {form}.", f"({form}) {word}"):
+            ((_, start, end, score),) = [s for s in spans(text) if s[0] == kind]
+            assert text[start:end] == form and score == min(1.0, least + pii.CONTEXT_BONUS)
+        for text in (f"{word}{' ' * 60}{form}", f"q{word}q: {form}"):
+            assert [s[3] for s in spans(text) if s[0] == kind] == [s[3] for s in alone]
+
+
+@pytest.mark.parametrize(
+    "plain",
+    ["a" * 40, "1234567890" * 3, "one-of-the-longest-words-there-are", "ab1234" * 50, "aaaa1111aaaa1111aaaa1111", "short1234"],
+)
+def test_what_is_no_random_token(plain):
+    assert not [s for s in spans(f'token = "{plain}"') if s[0] in ("key", "token")]
+
+
+def test_planted_tokens_are_found(spark):
+    """Every quoted value of a token in the table, and no token where nothing says so."""
+    docs = documents(spark, MIDDLE).where("text is not null").select("text").collect()
+    planted = [(m.span(1), r.text) for r in docs for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text)]
+    assert planted and all((("token", *at)) in [s[:3] for s in spans(text)] for at, text in planted)
+    assert sum(s[0] in ("key", "token") for r in docs for s in spans(r.text)) == len(planted)
+
+
+def test_scores_follow_their_spans(spark):
+    text = f"call +1 (988) 555-2485, mail a@b.de, 10.0.0.1 ... {' ' * 50} 123-45-6789"
+    row = spark.createDataFrame([(text,)], "text string").select(joined(personal_data()).alias("s"), pii.scores(personal_data()).alias("n")).first()
+    assert row.n.split(",") == [str(round(100 * s[3])) for s in spans(text)] and len(row.n.split(",")) == len(row.s.split(",")) == 3
+
+
 def test_personal_data_on_odd_rows(spark):
     got = odd.clashing(spark).select("text", joined(personal_data()).alias("spans")).collect()
     assert len(got) == len(odd.rows()) and {r.spans for r in got} == {""}
