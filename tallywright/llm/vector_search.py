@@ -7,13 +7,16 @@ vector of that class must reach: beyond 1 the query skips the class. In a block,
 tests its largest coordinates against the range that the threshold leaves them, and one with a low threshold takes
 the prefix of long enough vectors. Products are exact integers; the k best of each block meet once more by query.
 
-Work is split by blocks only, so that one vector may be repeated in most rows. Defined results: a vector that is
+Work is split by blocks only, so that one vector may be repeated in most rows. A block is shuffled once; the queries
+that may find something there follow it, sorted behind its vectors, and are answered ``QUERIES`` at a time. Defined results: a vector that is
 null or holds a null or non-finite component takes no part. A shorter vector counts as padded with zeros. Rows that
 repeat an id are candidates each, and the own row alone is left out. Scores beyond 64 bits are cut to the limit.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -64,6 +67,11 @@ class _Block:
         self.unit = self.ints / np.where(self.length > 0, self.length, 1)[:, None]
         self._sorted: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
+    def widen(self, width: int) -> None:
+        """Pads the vectors with zeros."""
+        if (more := width - self.ints.shape[1]) > 0:
+            self.ints, self.unit = (np.pad(m, ((0, 0), (0, more))) for m in (self.ints, self.unit))
+
     def within(self, query: np.ndarray, cosine: float) -> np.ndarray:
         """Places of the vectors whose largest coordinates allow this cosine with a unit query."""
         found = None
@@ -93,13 +101,14 @@ class _Block:
         return scores[order], self.vec_id[at[order]]
 
 
-def _searcher(k: int):
-    def search(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        columns = ["row", "query_id", "vec_id", "score"]
-        if not len(vectors) or not len(queries):
-            return pd.DataFrame([], columns=columns).astype("int64")
-        width = max(max(map(len, vectors["ints"])), max(map(len, queries["ints"])))
-        block, asked = _Block(vectors, width), _matrix(queries["ints"], width)
+_FOUND = ["row", "query_id", "vec_id", "score"]
+_FOUND_TYPES = "row long, query_id long, vec_id long, score long"
+
+
+def _searcher(k: int) -> Callable[[_Block, pd.DataFrame], pd.DataFrame]:
+    def search(block: _Block, queries: pd.DataFrame) -> pd.DataFrame:
+        block.widen(max(map(len, queries["ints"])))
+        asked = _matrix(queries["ints"], block.ints.shape[1])
         least, lengths = queries["least"].fillna(-np.inf).to_numpy(), queries["length"].to_numpy()
         with np.errstate(divide="ignore", invalid="ignore"):
             cosine = np.where((lengths > 0) & (least > 0), least / (lengths * block.length[0]), -np.inf)
@@ -123,14 +132,43 @@ def _searcher(k: int):
         for i in np.flatnonzero((cosine >= COORDINATE_FROM) & (cosine <= 1)):
             at = block.within(asked[i] / lengths[i], cosine[i])
             keep(i, _products(asked[i : i + 1], block.ints[at])[0], at)
-        return pd.concat(found)[columns] if found else pd.DataFrame([], columns=columns).astype("int64")
+        return pd.concat(found)[_FOUND] if found else pd.DataFrame([], columns=_FOUND).astype("int64")
 
     return search
 
 
-def _meet(vectors: DataFrame, queries: DataFrame, keys: list[str], k: int) -> DataFrame:
-    found = vectors.groupBy(*keys).cogroup(queries.groupBy(*keys))
-    return found.applyInPandas(_searcher(k), "row long, query_id long, vec_id long, score long")
+def _answered(k: int):
+    """Goes through rows sorted by block, the vectors of a block before its queries; holds one block and one batch."""
+    search = _searcher(k)
+
+    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, vectors, block = None, [], None
+        for batch in batches:
+            for key, rows in batch.groupby(["part", "class", "block"], sort=False):
+                if key != at:
+                    at, vectors, block = key, [], None
+                if not rows["asking"].all():
+                    vectors.append(rows[~rows["asking"]])
+                queries = rows[rows["asking"]].rename(columns={"vec_id": "query_id"})
+                if not len(queries) or not vectors:
+                    continue
+                if block is None:
+                    together = pd.concat(vectors)
+                    block = _Block(together, max(map(len, together["ints"])))
+                for start in range(0, len(queries), QUERIES):
+                    yield search(block, queries.iloc[start : start + QUERIES])
+
+    return answer
+
+
+def _meet(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The k best of each (part, class, block) for each query that is sent there."""
+    keys = ["part", "class", "block"]
+    both = vectors.withColumns({"asking": F.lit(False), "least": F.lit(None).cast("double")}).select(
+        *keys, "asking", "row", "vec_id", "ints", "length", "least"
+    )
+    both = both.unionByName(queries.withColumn("asking", F.lit(True)).select(both.columns))
+    return both.repartition(*keys).sortWithinPartitions(*keys, "asking").mapInPandas(_answered(k), _FOUND_TYPES)
 
 
 def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
@@ -147,18 +185,21 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
     classes = rows.groupBy("class").agg(F.count("*").alias("n"), F.max("length").alias("longest")).collect()  # <= CLASSES
     blocks = {r["class"]: -(-r["n"] // BLOCK) for r in classes}
     n_blocks = F.create_map(*(F.lit(x) for item in (blocks or {0: 1}).items() for x in item))[F.col("class")]
-    query_blocks = max(1, -(-asked // QUERIES))
-    spread = F.xxhash64("row")
-    candidates = rows.withColumn("block", F.pmod(spread, n_blocks).cast("int")).select(
-        "class", "block", "row", "vec_id", "ints", "length",
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("group"),
-    )
-    queries = rows.where("asks").toDF(*rows.columns).select(
-        "row", F.col("vec_id").alias("query_id"), "ints", "length", F.pmod(spread, F.lit(query_blocks)).cast("int").alias("group")
+    spread, whole = F.xxhash64("row"), F.lit(0).alias("part")
+    columns = ["row", "vec_id", "ints", "length"]
+    candidates = rows.select(whole, "class", F.pmod(spread, n_blocks).cast("int").alias("block"), *columns)
+    queries = rows.where("asks").select(*columns).toDF(*columns)
+    # one block of the longest class is enough to begin with: a copy of it for so many queries
+    parts = max(1, -(-asked // (QUERIES * 4)))
+    longest = max(blocks, default=0)
+    first = candidates.where((F.col("class") == longest) & (F.col("block") == 0)).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     )
-    # one block of the longest class is enough to begin with
-    first = candidates.where((F.col("class") == max(blocks, default=0)) & (F.col("block") == 0))
-    begun = _meet(first, queries.withColumn("least", F.lit(None).cast("double")), ["group"], k)
+    begin = queries.select(
+        F.pmod(spread, F.lit(parts)).cast("int").alias("part"), F.lit(longest).alias("class"), F.lit(0).alias("block"), *columns,
+        F.lit(None).cast("double").alias("least"),
+    )
+    begun = _meet(first, begin, k)
     floors = begun.groupBy("row").agg(F.when(F.count("*") >= k, F.min("score").cast("double")).alias("least"))
     # a query goes to the blocks of the classes that can hold a better vector
     table = F.array(*(
@@ -170,10 +211,9 @@ def top_k(vectors: DataFrame, asks: Column, k: int = 5) -> DataFrame:
     )
     sent = queries.join(floors, "row", "left").withColumn("_to", F.explode(reachable))
     sent = sent.select(
-        F.col("_to.class").alias("class"), F.explode(F.sequence(F.lit(0), F.col("_to.blocks") - 1)).alias("block"),
-        *queries.columns, "least",
-    )
-    found = _meet(candidates, sent, ["class", "block", "group"], k)
+        whole, F.col("_to.class").alias("class"), F.explode(F.sequence(F.lit(0), F.col("_to.blocks") - 1)).alias("block"), *columns, "least"
+    )
+    found = _meet(candidates, sent, k)
     best = Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -79,3 +79,15 @@ def test_one_vector_in_most_rows(spark, small_blocks):
     rng = random.Random(2)
     rows = [(i, [1.0, 0.5, -0.25], 1) for i in range(150)] + [(150 + i, [_single(rng.uniform(-2, 2)) for _ in range(3)], 1) for i in range(60)]
     check(spark, rows, every=10)
+
+
+def test_blocks_and_their_queries_span_batches(spark, small_blocks):
+    """A block's vectors come in several batches, and so do its queries; some queries have more components than the block."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6 if i % 10 else 9)], None) for i in range(150)]
+    rows = [(i, list(map(_single, v)), label) for i, v, label in rows] + [(7, [1.0] * 6, None)] * 60
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        check(spark, rows, every=2)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
