@@ -6,9 +6,9 @@ of the new turn. If the earlier output is no longer a prefix, the template has r
 outputs part is reported. Inside a span the text is found the same way: the last turn is rendered once more with two
 texts of one letter; up to their first difference goes the turn's opening, after it its closing.
 
-Turns are streamed in order through the tasks. A prefix starts again at every ``RESTART``-th turn with the turns since
-the last restart, so a task holds at most twice as many, and a conversation of any length costs time in proportion to it. Up to
-that length all prefixes are rendered from the first turn. A template that looks back further needs a larger ``restart``.
+Turns are streamed in order through the tasks. Every prefix is rendered from the first turn on, since a template may look
+back any distance: a task holds the turns of one conversation, and the time grows with the square of their number.
+Where a template is known to look back at most ``restart`` turns, that parameter keeps only so many of them.
 
 Defined results: a null text or role counts as empty. Rows of a null conversation are one conversation. Turns follow
 their number, null first, then role and text; rows that repeat a turn are turns of their own. Other columns are ignored.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from os.path import commonprefix
 
 import pyarrow as pa
@@ -27,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Turns = list[tuple[str, str]]
-RESTART = 16
 LOSS_ROLES = ("assistant",)
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -51,13 +51,14 @@ def _schema(columns: dict[str, pa.DataType]) -> str:
 
 def escape(text: str) -> str:
     """Takes the power from control strings: a backslash more between ``<`` and ``|``."""
-    return _CONTROL.sub(r"<\\\1|", text)
+    return _CONTROL.sub(r"<\\\1|", text) if "<" in text else text
 
 
 def unescape(text: str) -> str:
     return _ESCAPED.sub(r"<\1|", text)
 
 
+@lru_cache(1024)
 def _escape_role(role: str) -> str:
     return escape(role.replace("\\", "\\\\").replace("\n", "\\n"))
 
@@ -86,7 +87,7 @@ def text_span(render: Callable[[Turns], str], before: Turns, role: str, output:
 class Incremental:
     """One conversation, turn by turn."""
 
-    def __init__(self, render: Callable[[Turns], str], restart: int, original: Callable[[str], str]):
+    def __init__(self, render: Callable[[Turns], str], restart: int | None, original: Callable[[str], str]):
         self.render, self.restart, self.original = render, restart, original
         self.turns: Turns = []
         self.output = render([])
@@ -94,7 +95,7 @@ class Incremental:
 
     def add(self, role: str, text: str) -> tuple:
         """formatted, start (of the turn in it), text_start, text_end, whether the text reads back, rewritten_at."""
-        if len(self.turns) >= 2 * self.restart:
+        if self.restart and len(self.turns) >= 2 * self.restart:
             self.turns = self.turns[-self.restart :]
             self.output = self.render(self.turns)
         output = self.render([*self.turns, (role, text)])
@@ -135,7 +136,7 @@ def format_conversations(
     render: Callable[[Turns], str] = marked_turns,
     original: Callable[[str], str] = unescape,
     loss_roles: tuple[str, ...] = LOSS_ROLES,
-    restart: int = RESTART,
+    restart: int | None = None,
 ) -> DataFrame:
     """A row for each turn, conversations together and their turns in order.
 

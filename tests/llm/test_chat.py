@@ -100,3 +100,13 @@ def test_restarts_change_nothing(restart):
     turns = list(zip(["user", "assistant"] * 30, texts(60, 9)))
     whole, parts = Incremental(marked_turns, 100, unescape), Incremental(marked_turns, restart, unescape)
     assert [whole.add(*t) for t in turns] == [parts.add(*t) for t in turns]
+
+
+def test_history_is_compared_from_the_first_turn_on(spark):
+    def forgets_the_first(turns):  # once there are 50 turns
+        return "".join(f"{role}:{'' if i == 0 and len(turns) >= 50 else text};" for i, (role, text) in enumerate(turns))
+
+    rows = [(1, i, ("user", "assistant")[i % 2], f"turn {i}") for i in range(60)]
+    got = format_conversations(spark.createDataFrame(rows, COLUMNS), forgets_the_first, lambda text: text).collect()
+    assert [(r.nth, r.rewritten_at) for r in got if r.rewritten_at is not None] == [(49, len("user:"))]
+    assert [r.nth for r in got if r.role == "assistant" and not r.in_loss] == [49]
