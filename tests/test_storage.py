@@ -139,3 +139,18 @@ def test_a_run_removes_what_it_stored(spark):
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     outside = session.stored(spark.range(5), "rows")
     assert folder not in outside.inputFiles()[0] and outside.count() == 5
+
+
+def test_tasks_are_bounded_and_smaller_ones_kept(spark):
+    read, merged = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    old = {key: spark.conf.get(key, None) for key in (read, merged, parts)}
+    try:
+        spark.conf.set(read, "128MB")
+        spark.conf.set(merged, "4KB")
+        spark.conf.set(parts, "24")
+        session.configure(spark)
+        assert [spark.conf.get(key) for key in old] == [str(16 << 20), str(4 << 10), "400"]
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
