@@ -127,3 +127,13 @@ def test_references_share_one_shuffle(spark, no_broadcast):
     assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
     got = sorted(map(tuple, lost.collect()))
     assert got == [("a", "b_id", 6, 14)] + [("a", "id", i, 1) for i in range(6, 100)]
+
+
+def logical(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_item_id_does_not_travel_through_lookups(spark, no_broadcast):
+    text = logical(QUERIES["order_item_revenue"](Sample(spark, SMALL)))
+    *_, units, below = text.split("Join LeftOuter")
+    assert "order_item_id" not in units.split("\n", 1)[1].partition("xxhash64")[0] and below.count("xxhash64") == 2
