@@ -176,3 +176,12 @@ def test_unreachable_dimensions(frames, group):
 def test_unknown_metric(frames):
     with pytest.raises(KeyError):
         metrics.metric_query(frames, ["profit"])
+
+
+def test_order_facts_are_the_order_mart_without_variety(spark):
+    from tallywright.catalog.queries import Sample
+
+    w = Sample(spark, "/root/testdata/sf0.001")
+    mart, facts = w.fct_orders.drop("distinct_products", "distinct_categories"), w.order_facts
+    assert facts.columns == mart.columns
+    assert sorted(map(tuple, facts.collect()), key=repr) == sorted(map(tuple, mart.collect()), key=repr)

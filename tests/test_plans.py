@@ -133,6 +133,16 @@ def logical(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("name", [
+    "fct_daily_revenue", "revenue_concentration", "mart_customer_cohorts_to_data_end", "chk_revenue_reconciles", "mq_multi_metric",
+    "met_average_order_value",
+])
+def test_order_facts_do_not_take_the_long_chain(spark, no_broadcast, name):
+    df = QUERIES[name](Sample(spark, SMALL))
+    grouped = [line for line in logical(df).splitlines() if "Aggregate [order_id" in line]
+    assert not [line for line in grouped if "category" in line]
+
+
 def test_an_item_id_does_not_travel_through_lookups(spark, no_broadcast):
     text = logical(QUERIES["order_item_revenue"](Sample(spark, SMALL)))
     *_, units, below = text.split("Join LeftOuter")
