@@ -282,3 +282,18 @@ def test_config_is_read_by_orders_and_items_alike(spark):
              [{"id": 1, "order_id": 1, "status": "Returned", "created_at": ts("2024-01-01")}])
     row = one(w.fct_orders)
     assert row.is_revenue_recognised and row.net_revenue == Decimal("10.00")
+
+
+def test_ranks_of_a_catalogue_with_repeated_products(spark):
+    """Each row of a product month meets each of its ranks, whichever way the ranks are taken."""
+    rows = [(1, p, c, float(v)) for p, c, v in [(1, "a", 5), (1, "a", 5), (2, "a", 7), (3, "b", 1), (3, "c", 1), (None, "a", 2)]]
+    df = spark.createDataFrame(rows, "revenue_month int, product_id int, category string, net_revenue double")
+    named = finance.ranked_in_category(df, df.select("product_id", "category"))
+    got = sorted((r.product_id or 0, r.category, r.revenue_rank_in_category) for r in named.collect())
+    assert got == [
+        (0, "a", 4), (1, "a", 2), (1, "a", 2), (1, "a", 3), (1, "a", 3), (2, "a", 1),
+        (3, "b", 1), (3, "b", 1), (3, "c", 1), (3, "c", 1),
+    ]
+    single = df.where("product_id = 2 or product_id is null")
+    got = finance.ranked_in_category(single, single.select("product_id", "category")).collect()
+    assert sorted((r.product_id or 0, r.revenue_rank_in_category) for r in got) == [(0, 2), (2, 1)]

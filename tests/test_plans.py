@@ -133,6 +133,22 @@ def logical(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_product_months_are_built_once(spark, no_broadcast):
+    """Ranks, totals and rows of the mart come from stored product months."""
+    text = logical(QUERIES["mart_product_performance"](Sample(spark, SMALL)))
+    assert "l_partkey" not in text and "inventory_item_id" not in text
+
+
+def test_ranks_in_category_carry_nothing_else(spark, monkeypatch):
+    from tallywright.operators import scan
+
+    kept, stored = [], scan.stored
+    monkeypatch.setattr(scan, "stored", lambda df, label: (kept.append((label, set(df.columns))), stored(df, label))[1])
+    QUERIES["win_rank_in_category"](Sample(spark, SMALL))
+    placed = [columns for label, columns in kept if label == "placed"]
+    assert placed == [{"revenue_month", "category", "product_id", "net_revenue", "_part", "_place"}]
+
+
 @pytest.mark.parametrize("name", [
     "fct_daily_revenue", "revenue_concentration", "mart_customer_cohorts_to_data_end", "chk_revenue_reconciles", "mq_multi_metric",
     "met_average_order_value",
