@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallywright.session import shared_folder, stored
+from tallywright.session import shared_folder, small_batches, stored
 
-__all__ = ["FEW", "by_weight", "documents", "free", "in_order", "same", "shared_folder", "stored", "sums_before", "words_in"]
+__all__ = ["FEW", "by_weight", "documents", "free", "in_order", "same", "shared_folder", "small_batches", "stored", "sums_before", "words_in"]
 
 #: a key counts as heavy if it holds at least one row in this many; so there are at most this many heavy keys
 FEW = 1000

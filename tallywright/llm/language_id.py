@@ -20,12 +20,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import free
+from tallywright.llm.common import free, small_batches
 
 #: slots that n-grams are hashed to; lengths of the n-grams; labelled rows learned from, for each language
 SLOTS, LENGTHS, ROWS_PER_LANGUAGE = 1 << 15, (1, 2, 3), 2000
 #: characters that are handled at once, so that neither a long text nor a full batch needs much memory
 PIECE = 1 << 20
+#: slots of short texts that are summed at once: each takes eight bytes for itself and for each language
+HELD = 1 << 17
 
 
 def letters() -> np.ndarray:
@@ -100,7 +102,7 @@ def classify(texts: list[str | None], names, weights, is_letter) -> tuple[list[s
                 held.append(slots)
                 owners.append(i)
                 size += len(slots)
-                if size > PIECE:
+                if size > HELD:
                     add()
                     size = 0
     add()
@@ -164,6 +166,7 @@ def identify(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Dat
 
 def in_a_language(docs: DataFrame) -> DataFrame:
     """The documents that have a language: texts without a single letter go, also if no language was learned."""
+    small_batches(docs.sparkSession)
     model = learn(docs.where(~held_out()))
     if not model.names:  # one language of equal weights: what is left is whether there is a letter
         model = Model(["any"], np.zeros((SLOTS, 1), np.float32), model.letters)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywright.llm.common import by_weight, stored
+from tallywright.llm.common import by_weight, small_batches, stored
 from tallywright.llm.components import components
 
 WORDS, PERCENT = 5, 85
@@ -46,7 +46,7 @@ CENTRES = COORDINATES
 #: times that lists of several components get a new centre, and share of the compared pairs that must link to go on
 ROUNDS, WORTHWHILE = 4, 0.1
 #: word hashes that a task keeps, and shingles it hashes at once
-KEPT_WORDS, CHUNK = 500_000, 4096
+KEPT_WORDS, CHUNK = 50_000, 4096
 
 _random = np.random.default_rng(20_240_501)
 _SEEDS = _random.integers(0, 2**64, COORDINATES, np.uint64)
@@ -276,6 +276,7 @@ def _same_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row; pairs with a Jaccard similarity of ``percent`` are linked."""
+    small_batches(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # ids pass as text: pandas has no integer column with nulls
     described = plain.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(

@@ -10,6 +10,7 @@ import odd
 import pytest
 from pyspark.sql import functions as F
 
+from tallywright import session
 from tallywright.llm.common import shared_folder
 from tallywright.llm.exact_dedup import DigestIndex, without_copies
 from tallywright.llm.line_dedup import drop_shared_lines
@@ -176,6 +177,34 @@ def test_near_on_odd_rows(spark):
     assert near_duplicates(odd.empty(spark)).count() == 0
 
 
+def test_python_workers_get_small_batches(spark, monkeypatch):
+    """Workers keep the memory of their largest batch: 1000 rows and about 4 MB of texts bound it, in both stages with texts."""
+    from tallywright.llm import near_dedup
+
+    described, most_rows, most_bytes = near_dedup._described, 1000, 5 << 20
+
+    def watched(batches):
+        def small():
+            for batch in batches:
+                assert len(batch) <= most_rows and batch["text"].str.len().sum() <= most_bytes
+                yield batch
+
+        return described(small())
+
+    @F.pandas_udf("long")
+    def together(texts):
+        return texts.str.len() * 0 + max(len(texts), texts.str.len().sum() * most_rows // most_bytes)
+
+    monkeypatch.setattr(near_dedup, "_described", watched)
+    text = F.repeat(F.lit("x"), F.when(F.col("id") < 2000, 10).otherwise(20_000))
+    docs = spark.range(2600, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text"))
+    for stage in (near_duplicates, lambda rows: corpus_pipeline.language_id(spark, rows, "").select("doc_id", together("text").alias("m"))):
+        for key in session.BATCHES:
+            spark.conf.unset(key)
+        found = stage(docs).collect()
+        assert len(found) == 2600 and all(r.m <= most_rows for r in found if "m" in r)
+
+
 def test_near_in_a_hot_group(spark):
     """A third of all rows are copies of one text, and a third are near copies of another."""
     rng = random.Random(6)
