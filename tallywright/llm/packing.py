@@ -14,12 +14,18 @@ each. An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import itertools
+import json
+import re
 import zlib
 from collections.abc import Iterator
+from string import punctuation
+from struct import pack as pack_numbers
 from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +39,27 @@ GAP = 0.002
 #: pieces that one task numbers
 PART = 50_000
 #: words whose ids a task keeps at once, characters that it splits together, and new words in one call
-KEPT_WORDS, TOGETHER, AT_ONCE = 800_000, 1 << 22, 512
+KEPT_WORDS, TOGETHER, AT_ONCE = 800_000, 1 << 23, 512
+#: how the tokenizer must normalize and split for letters to go to its model at once
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+#: Latin, Greek and Cyrillic, where all versions of Unicode agree on letters and case
+_OLD_SCRIPTS = re.compile("[a-z\xaa-\u052f]+").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that a byte-level model has for each byte: itself if it prints, else one from 256 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = itertools.count(256)
+    return {byte: chr(byte if byte in prints else next(others)) for byte in range(256)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 class Words:
@@ -51,9 +77,11 @@ class Words:
         self._tokenizer = tokenizer
         # strings that stand for one token, in this case only
         self._special = [t.content.lower() for t in tokenizer.get_added_tokens_decoder().values()]
+        parts = [part and json.loads(part.__getstate__()) for part in (tokenizer.normalizer, tokenizer.pre_tokenizer)]
+        self._apart = parts == [NORMALIZER, SPLITTER] and not any(s.rstrip(punctuation).isalpha() for s in self._special)
         self._ids: dict[str, bytes] = {}
 
-    def _split(self, text: str) -> list[str]:
+    def _plain(self, text: str) -> str:
         # the tokenizer normalizes and then ignores case; where that order, a final sigma or a special string matters, it
         # gets the text as it is
         if "Σ" not in text:
@@ -61,33 +89,75 @@ class Words:
             as_it_is = any(s in lower for s in self._special)
             if not as_it_is and (text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", lower))):
                 text = lower
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
 
-    def _learn(self, new: set[str]) -> None:
-        """Ids of new words, many in one call: the offsets of the tokens tell whose they are."""
+    def _learn(self, new: list[str]) -> None:
+        """Ids of new words."""
         ids = self._ids
-        # a full stop or comma after letters alone is a token of its own, so the letters' ids do; not after letters that
+        # punctuation after letters alone is a token of its own, so the letters' ids do; not after letters that
         # the tokenizer takes apart, whose marks join it
-        ends = [w for w in new if len(w) > 1 and w[-1] in ".," and w[:-1].isalpha() and (w.isascii() or is_normalized("NFC", w))]
-        needed = list(new.difference(ends).union((w[:-1] for w in ends), ".,").difference(ids))
-        groups = [needed[at : at + AT_ONCE] for at in range(0, len(needed), AT_ONCE)]
+        ends, needed = [], set()
+        for word in new:
+            letters = word.rstrip(punctuation) if self._apart else word
+            if len(letters) < len(word) and letters.isalpha() and (letters.isascii() or self._stays(letters)):
+                ends.append((word, letters))
+                needed.add(letters)
+                needed.add(word[len(letters) :])
+            else:
+                needed.add(word)
+        needed = needed.difference(ids)
+        whole = set(filter(self._in_model, needed)) if self._apart else set()
+        self._learn_letters(whole)
+        self._learn_any(list(needed - whole))
+        for word, letters in ends:
+            ids[word] = ids[letters] + ids[word[len(letters) :]]
+
+    @staticmethod
+    def _in_model(word: str) -> bool:
+        """Whether the tokenizer leaves a word as it is and in one piece: small letters, normalized."""
+        if word.isascii():
+            return word.isalpha() and word.islower()
+        return bool(word.isalpha() and _OLD_SCRIPTS(word) and word == word.lower() and is_normalized("NFC", word))
+
+    @staticmethod
+    def _stays(letters: str) -> bool:
+        """Whether letters stay letters without marks, normalized and in small: a dotted capital I does not."""
+        return is_normalized("NFC", letters) and letters.lower().isalpha()
+
+    def _learn_letters(self, words: set[str]) -> None:
+        """Words that are one piece go to the model at once, without the steps before it."""
+        tokenize = self._tokenizer.model.tokenize
+        for word in words:
+            found = tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS))
+            self._ids[word] = pack_numbers(f"<{len(found)}I", *[t.id for t in found])
+
+    def _learn_any(self, words: list[str]) -> None:
+        """Many words in one call: the offsets of the tokens tell whose they are."""
+        groups = [words[at : at + AT_ONCE] for at in range(0, len(words), AT_ONCE)]
         for group, found in zip(groups, self._tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
             starts = np.cumsum([0, *(len(w) + 1 for w in group)])
             cuts = (4 * np.searchsorted([at for at, _ in found.offsets], starts)).tolist()
             numbers = np.array(found.ids, "<u4").tobytes()
             for word, start, end in zip(group, cuts, cuts[1:]):
-                ids[word] = numbers[start:end]
-        for word in ends:
-            ids[word] = ids[word[:-1]] + ids[word[-1]]
+                self._ids[word] = numbers[start:end]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        rows = [self._split(t) for t in texts]
+        if not texts:
+            return []
+        words = pc.split_pattern(pa.array(map(self._plain, texts), pa.large_string()), " ")
+        borders = words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
+        del words
+        distinct = coded.dictionary.to_pylist()
         if len(self._ids) > KEPT_WORDS:
             self._ids.clear()
-        self._learn(set().union(*rows).difference(self._ids))
-        ids = self._ids.__getitem__
-        return [b"".join(map(ids, row)) for row in rows]
+        self._learn([w for w in distinct if w not in self._ids])
+        ids = pa.array([self._ids[w] for w in distinct], pa.large_binary()).take(coded.indices)
+        _, at, numbers = ids.buffers()  # the ids of all words, one after the other
+        cuts = np.frombuffer(at, np.int64)[borders].tolist()
+        numbers = numbers or pa.py_buffer(b"")
+        return [numbers[start:end].to_pybytes() for start, end in zip(cuts, cuts[1:])]
 
 
 def _slices(text: str) -> list[str]:

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import odd
@@ -10,7 +11,7 @@ import pytest
 from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from tallywright.llm import packing
 from tallywright.llm.common import documents
@@ -114,6 +115,55 @@ def test_words_that_change_when_normalized(tokenizer, end):
             assert words.encode([text]) == [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()], text
 
 
+def test_letters_go_to_the_model_at_once(tokenizer):
+    """Only odd words, and each run of punctuation once, take the steps before the model."""
+    texts = ["plain words, größer. été$$$ naïve!!", "слова, λέξη. words$$$ more!!", "nochmals größer, und été."]
+    expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    words, sent = Words(PATH), []
+
+    def encode_batch(groups, **options):
+        sent.extend(w for group in groups for w in group.split(" "))
+        return tokenizer.encode_batch(groups, **options)
+
+    words._tokenizer = SimpleNamespace(model=tokenizer.model, encode_batch=encode_batch)
+    assert words.encode(texts) == expected
+    assert sorted(sent) == ["!!", "$$$", ",", "."]
+
+
+def test_letters_of_old_scripts_like_the_tokenizer(tokenizer):
+    words = Words(PATH)
+    letters = [chr(c) for c in range(0x21, 0x530)]
+    texts = [f"a{c}b {c}{c} x{c}{end} {c}{end}" for c in letters for end in ("", ".", "'s", "'", "<|", "1")]
+    for text in (*texts, " ".join(texts)):
+        assert words.encode([text]) == [np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()], text
+
+
+def test_another_tokenizer_takes_all_its_steps():
+    """Words of letters go to the model at once only if the steps before it are known to leave them."""
+    changes = [
+        {"normalizer": normalizers.Lowercase()},
+        {"normalizer": normalizers.Sequence([normalizers.NFC(), normalizers.Replace("o", "0"), normalizers.Lowercase()])},
+        {"pre_tokenizer": pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.Split("o", "isolated"), pre_tokenizers.ByteLevel(False, use_regex=False),
+        ])},
+    ]
+    for change in changes:
+        other = Tokenizer.from_file(PATH)
+        for name, part in change.items():
+            setattr(other, name, part)
+        words = Words.__new__(Words)
+        words._use(other)
+        text = "foo, boots. food"
+        assert words.encode([text, "", text]) == [
+            np.array(other.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in (text, "", text)
+        ]
+
+
+def test_no_texts_and_no_words():
+    words = Words(PATH)
+    assert words.encode([]) == [] and words.encode([""]) == [b""] and words.encode(["", " ", "\n"]) == [b""] * 3
+
+
 def test_long_texts_in_slices(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "TOGETHER", 50)
     text = "some words, and\nmore of them. " * 20 + "x" * 120
