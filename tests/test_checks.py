@@ -7,6 +7,7 @@ import pytest
 from frames import shop, ts
 from pyspark.sql import functions as F
 
+from tallywright.catalog.queries import QUERIES
 from tallywright.config import Config
 from tallywright.operators import checks
 from tallywright.plans import contracts, invariants
@@ -57,6 +58,30 @@ def test_orphans_are_counted_per_key(spark):
     assert [tuple(r) for r in checks.orphans(child, "k", parent, "k").collect()] == [(9, 2)]
 
 
+def test_every_declared_reference_is_looked_up(spark, cfg):
+    day = {"created_at": ts("2024-02-05")}
+    w = shop(
+        spark, cfg,
+        [{"order_id": 1, "user_id": 1, **day}, {"order_id": 2, "user_id": 9, **day}, {"order_id": 3, "user_id": None, **day}],
+        [{"id": 1, "order_id": 1, "inventory_item_id": 44, **day}, {"id": 2, "order_id": 5, "product_id": 7, **day},
+         {"id": 3, "order_id": 5, "product_id": 7, **day}, {"id": 4, "order_id": 3, "product_id": None, **day}],
+        inventory_rows=[{"id": 4, "product_id": 8}],
+    )
+    lost = {(r.table_name, r.column_name, r.key): r.n_rows for r in QUERIES["semi_fk"](w).collect()}
+    assert lost == {
+        ("source.orders", "user_id", 9): 1, ("source.order_items", "order_id", 5): 2, ("source.order_items", "product_id", 7): 2,
+        ("orders", "user_id", 9): 1, ("order_items", "order_id", 5): 2, ("order_items", "product_id", 7): 2,
+        ("order_items", "inventory_item_id", 44): 1, ("inventory_items", "product_id", 8): 1, ("fct_orders", "user_id", 9): 1,
+        ("fct_order_items", "order_id", 5): 2, ("fct_order_items", "product_id", 7): 2, ("orders", "order_id", 2): 1,
+    }
+
+
+def test_a_conditional_reference_leaves_out_other_rows(spark):
+    frames = {"a": _values(spark, [(1, 0.0), (8, 0.0), (9, 1.0), (None, 1.0)]), "b": _values(spark, [(1, 0.0), (None, 0.0)])}
+    refers = [contracts.Contract("relationships", "a", ("k",), parent="b", parent_key="k", where="v > 0")]
+    assert [tuple(r) for r in contracts.lost_references(frames.get, refers).collect()] == [("a", "k", 9, 1)]
+
+
 def test_report_counts_failures_of_every_kind(spark):
     frames = {
         "a": _values(spark, [(1, -1.0), (1, 5.0), (7, None)]),
