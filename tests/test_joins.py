@@ -69,3 +69,27 @@ def test_the_same_mart_with_measured_keys(spark, plain_execution):
     whole = economics.enrich_items(items, sample.inventory_items, sample.products)
     assert split.columns == whole.columns
     assert split.exceptAll(whole).count() == 0 and whole.exceptAll(split).count() == 0
+
+
+@pytest.mark.parametrize("hot", [[], [1], [1, 2, 3]])
+def test_orders_roll_up_alike_with_measured_hot_keys(spark, hot):
+    rows = [(order, f"c{i % 3}" if i % 5 else None, i % 4, i) for order in (1, 2, 3, None) for i in range(40 if order == 1 else 7)]
+    money = {name: "id" for name in economics.AMOUNTS}
+    items = spark.createDataFrame(rows, "order_id bigint, category string, product_id bigint, id bigint").select(
+        "order_id", "category", "product_id", *(F.col(c).cast("decimal(18,2)").alias(name) for name, c in money.items()),
+        (F.col("id") % 2).alias("net_units"), (F.col("id") % 3 == 0).alias("is_returned"), (F.col("id") % 7 == 0).alias("is_cancelled"))
+    chain, dealt = economics.roll_up_orders(items), economics.roll_up_orders(items, hot)
+    assert dealt.columns == chain.columns and dealt.count() == 4
+    assert dealt.exceptAll(chain).count() == 0 and chain.exceptAll(dealt).count() == 0
+
+
+def test_usual_orders_are_dealt_once(spark):
+    spread = {"order_id": "id", "category": "string(id % 2)", "product_id": "id % 3", "net_units": "id", "is_returned": "id = 1", "is_cancelled": "id = 2"}
+    ids = spark.createDataFrame([(i,) for i in range(9)], "id bigint")
+    items = ids.selectExpr(*(f"{value} {name}" for name, value in spread.items()), *(f"cast(id as decimal(18,2)) {c}" for c in economics.AMOUNTS))
+
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(order_id")
+
+    assert shuffles(economics.roll_up_orders(items)) == 3
+    assert shuffles(economics.roll_up_orders(items, [3])) == 1 + 3  # all but the hot orders go by their order at once

@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -6,6 +7,10 @@ from pyspark.sql import functions as F
 
 from tallywright import session
 from tallywright.catalog.queries import SAMPLE_CONFIG, Sample
+from tallywright.operators import scan
+from tallywright.operators.joins import hot_keys
+from tallywright.plans import warehouse
+from tallywright.plans.contracts import run_report
 from tallywright.plans.warehouse import MARTS, Warehouse, build
 from tallywright.sources import sinks, tables
 from tallywright.sources.schemas import SCHEMAS
@@ -141,6 +146,74 @@ def test_a_run_removes_what_it_stored(spark):
     assert folder not in outside.inputFiles()[0] and outside.count() == 5
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.length()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def _left(spark, before):
+    """Shuffle files that are new and still there; Spark removes them in the background."""
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_a_finished_step_leaves_no_shuffle_files(spark, tmp_path):
+    setting = spark.conf.get(session.FREEING)
+    dealt = spark.range(1000).repartition(5, "id")
+    before = _shuffle_files(spark)
+    assert dealt.select(F.sum("id")).first()[0] == 499500 and _shuffle_files(spark) - before
+    before = _shuffle_files(spark)
+    kept = [session.stored(dealt, "rows"), sinks.write_table(dealt, str(tmp_path / "t")),
+            sinks.write_clustered(dealt, str(tmp_path / "c"), ["id"])]
+    months = dealt.withColumn("d", F.lit(date(2024, 1, 1)))
+    kept.append(sinks.write_month_partitioned(months, str(tmp_path / "m"), "d", [], ["id"]))
+    assert hot_keys(dealt.select(F.lit(7).cast("bigint").alias("k")), "k") == {"k": [7]}
+    assert not _left(spark, before) and spark.conf.get(session.FREEING) == setting
+    assert [df.count() for df in kept] == [1000] * 4
+
+
+def test_a_build_and_its_report_leave_no_shuffle_files(spark, tmp_path):
+    sample = Sample(spark, SMALL)
+    before = _shuffle_files(spark)
+    with session.run_folder(spark):
+        built = build(sample.sources, SAMPLE_CONFIG, str(tmp_path / "marts"))
+        report = run_report(lambda name: sample.events if name == "events" else built.frame(name), SAMPLE_CONFIG)
+        assert not _left(spark, before)
+        assert report.count() == 129 and report.where("failures is null").isEmpty()
+
+
+def test_a_build_keeps_no_step_of_a_mart_after_it(spark, tmp_path, monkeypatch):
+    """What a mart stores is narrow, and gone when the next one is built."""
+    kept = {}
+
+    def keep(df, label):
+        kept[label] = stored(df, label)
+        return kept[label]
+
+    stored = session.stored
+    for module in (warehouse, scan):
+        monkeypatch.setattr(module, "stored", keep)
+    build(Sample(spark, SMALL).sources, SAMPLE_CONFIG, str(tmp_path / "marts"))
+    assert {"joined-items", "named-months", "placed"} <= set(kept)
+    columns = set(kept["joined-items"].columns)
+    assert {"sale_price", "unit_cost"} <= columns and not {"net_revenue", "net_cogs", "net_margin_pct"} & columns
+    for df in kept.values():
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+            spark.read.schema(df.schema).parquet(*df.inputFiles()).collect()
+
+
+def test_columns_are_finished_when_the_rows_have_been_ranged(spark, tmp_path):
+    df = spark.range(90).select("id", F.expr("date_add(date'2024-01-01', cast(id as int))").alias("d"))
+    kept = sinks.write_month_partitioned(
+        df, str(tmp_path / "m"), "d", [], ["id"], finish=lambda rows: rows.withColumn("twice", 2 * F.col("id")))
+    assert set(kept.columns) == {"id", "d", "twice", "partition_month"}
+    assert sorted((r.id, r.twice) for r in kept.collect()) == [(i, 2 * i) for i in range(90)]
+    assert len(list((tmp_path / "m").glob("partition_month=*"))) == 3
+
+
 def test_tasks_are_bounded_and_smaller_ones_kept(spark):
     read, merged = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
